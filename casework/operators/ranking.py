@@ -121,11 +121,13 @@ def dense_rank_column(df: DataFrame, by: str | Sequence[str], order: str, name:
 
 
 def dense_ids(df: DataFrame, order: Sequence[str], name: str = "row_id",
-              rows_per_bucket: int = 1_000_000) -> DataFrame:
+              rows_per_bucket: int = 1_000_000, min_buckets: int | None = None) -> DataFrame:
     """``row_number() over (order by <order>)`` without a single-partition window.
 
     The leading order column (numeric) is cut into equal value ranges, about
-    ``rows_per_bucket`` rows each on evenly spread keys: a one-row aggregate
+    ``rows_per_bucket`` rows each on evenly spread keys, and at least
+    ``min_buckets`` ranges (default: the session's shuffle partition count)
+    so that small inputs still spread over all cores. A one-row aggregate
     (min, max, count; broadcast) sets the range width, so the number of
     ranges grows with the data. Rows are counted per range, a running sum
     over the ranges gives each range's offset (a window over one row per
@@ -141,9 +143,12 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str = "row_id",
     """
     order = list(order)
     lead = order[0]
+    if min_buckets is None:
+        conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
+        min_buckets = int(conf) if str(conf).isdigit() else 200
     stats = df.agg(F.min(lead).alias("__lo"), F.max(lead).alias("__hi"),
                    F.count(F.lit(1)).alias("__cnt"))
-    n_buckets = F.greatest(F.ceil(F.col("__cnt") / F.lit(rows_per_bucket)), F.lit(1))
+    n_buckets = F.greatest(F.ceil(F.col("__cnt") / F.lit(rows_per_bucket)), F.lit(max(min_buckets, 1)))
     width = (F.col("__hi") - F.col("__lo") + 1) / n_buckets
     with_b = (df.crossJoin(F.broadcast(stats))
               .withColumn("__b", F.floor((F.col(lead) - F.col("__lo")) / width))
