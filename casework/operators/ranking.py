@@ -161,3 +161,19 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str = "row_id",
         name,
         F.row_number().over(Window.partitionBy("__b").orderBy(*order)) + F.col("__off"))
     return numbered.drop("__b", "__off").withColumn(name, F.col(name).cast("bigint"))
+
+
+def sort_like_sql(df: DataFrame, *keys: str | tuple[str, str]) -> DataFrame:
+    """``ORDER BY k1 [DESC], ...`` with PostgreSQL's NULL placement made explicit.
+
+    PostgreSQL puts NULLs last ascending and first descending; Spark's
+    defaults are the opposite, so each key states its NULL order. Keys are
+    names (ascending) or ``(name, "desc")``. The sort is a range-partitioned
+    shuffle plus per-partition sorts, so it scales out with the result.
+    """
+    cols = []
+    for k in keys:
+        name, direction = (k, "asc") if isinstance(k, str) else k
+        c = F.col(name)
+        cols.append(c.desc_nulls_first() if direction == "desc" else c.asc_nulls_last())
+    return df.orderBy(*cols)

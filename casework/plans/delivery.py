@@ -24,7 +24,8 @@ from casework.functions import (
 from casework.functions.arrays import bag_edit
 from casework.operators import (
     cond_counts, correlation_summary, counted_list, dense_ids, filtered_lists, join_back,
-    ordered_list, pay_per_unit, price_by, split_valid, success_rate, tagged_explode_outer,
+    ordered_list, pay_per_unit, price_by, sort_like_sql, split_valid, success_rate,
+    tagged_explode_outer,
     top_with_ties, with_group_stats,
 )
 from casework.operators.contract import check, not_null
@@ -86,14 +87,16 @@ def unique_orders(lines: DataFrame) -> DataFrame:
 
 
 def delivered_per_runner(deliveries: DataFrame) -> DataFrame:
-    return (deliveries.where(F.col("cancellation").isNull()).groupBy("runner_id")
-            .agg(F.count(F.lit(1)).alias("n_orders_delivered")))
+    out = (deliveries.where(F.col("cancellation").isNull()).groupBy("runner_id")
+           .agg(F.count(F.lit(1)).alias("n_orders_delivered")))
+    return sort_like_sql(out, ("n_orders_delivered", "desc"))
 
 
 def delivered_per_product(lines: DataFrame, deliveries: DataFrame, names: DataFrame) -> DataFrame:
     counts = (_delivered_lines(lines, deliveries).groupBy("pizza_id")
               .agg(F.count(F.lit(1)).alias("n_delivery")))
-    return counts.join(names, "pizza_id").select("pizza_name", "n_delivery")
+    return sort_like_sql(counts.join(names, "pizza_id").select("pizza_name", "n_delivery"),
+                         ("n_delivery", "desc"))
 
 
 def products_per_customer(lines: DataFrame) -> DataFrame:
@@ -123,20 +126,23 @@ def delivered_with_both_changes(lines: DataFrame, deliveries: DataFrame) -> Data
 
 
 def volume_per_hour(lines: DataFrame) -> DataFrame:
-    return lines.groupBy(hour_of_day("order_time").alias("hour_of_day")).agg(
+    out = lines.groupBy(hour_of_day("order_time").alias("hour_of_day")).agg(
         F.count("order_id").alias("n_pizzas_ordered"))
+    return sort_like_sql(out, ("n_pizzas_ordered", "desc"))
 
 
 def volume_per_weekday(lines: DataFrame) -> DataFrame:
-    return lines.groupBy(weekday_name("order_time").alias("day_of_week")).agg(
+    out = lines.groupBy(weekday_name("order_time").alias("day_of_week")).agg(
         F.count("order_id").alias("n_pizzas_ordered"))
+    return sort_like_sql(out, ("n_pizzas_ordered", "desc"))
 
 
 # ---------------------------------------------------------------- B. runners
 
 def signups_per_week(runners: DataFrame) -> DataFrame:
-    return runners.groupBy(week_from_jan1("registration_date").alias("week_num")).agg(
+    out = runners.groupBy(week_from_jan1("registration_date").alias("week_num")).agg(
         F.count(F.lit(1)).alias("n_runners"))
+    return sort_like_sql(out, ("n_runners", "desc"))
 
 
 def _pickup_ts(deliveries: DataFrame) -> DataFrame:
@@ -151,9 +157,10 @@ def avg_pickup_minutes(lines: DataFrame, deliveries: DataFrame) -> DataFrame:
         F.round(elapsed_micros("order_time", "pickup_ts").cast("decimal(20,0)")
                 / F.lit(60_000_000).cast("decimal(20,0)"), 2).alias("pickup_duration_min")
     ).distinct()
-    return per_order.groupBy("runner_id").agg(
+    out = per_order.groupBy("runner_id").agg(
         F.round(F.sum("pickup_duration_min") / F.count("pickup_duration_min").cast("decimal(20,0)"), 2)
         .alias("avg_pickup_duration_min"))
+    return sort_like_sql(out, "avg_pickup_duration_min")
 
 
 def size_vs_prep_time(lines: DataFrame, deliveries: DataFrame) -> DataFrame:
@@ -186,14 +193,16 @@ def speed_per_delivery(deliveries: DataFrame) -> DataFrame:
     speed = F.col("distance_km") * 60 / F.col("duration_min")
     d = d.withColumn("__speed", speed)
     out = with_group_stats(d, ["runner_id"], {"__avg": F.avg("__speed")})
-    return out.select("runner_id", "order_id", "pickup_time", "distance_km", "duration_min",
-                      F.round("__speed", 2).alias("speed_kmh"),
-                      F.round("__avg", 2).alias("avg_speed_kmh"))
+    out = out.select("runner_id", "order_id", "pickup_time", "distance_km", "duration_min",
+                     F.round("__speed", 2).alias("speed_kmh"),
+                     F.round("__avg", 2).alias("avg_speed_kmh"))
+    return sort_like_sql(out, "runner_id", "pickup_time")
 
 
 def success_percentage(deliveries: DataFrame) -> DataFrame:
-    return success_rate(deliveries, "runner_id", F.col("cancellation").isNull(),
-                        "success_percentage", 2)
+    out = success_rate(deliveries, "runner_id", F.col("cancellation").isNull(),
+                       "success_percentage", 2)
+    return sort_like_sql(out, ("success_percentage", "desc"))
 
 
 # ---------------------------------------------------------------- C. ingredients
@@ -225,10 +234,11 @@ def order_item_labels(lines: DataFrame, changes: DataFrame, toppings: DataFrame,
                             "extra": F.col("mod_type") == "extra"})
     base = lines.select("order_item_id", "pizza_id").join(names, "pizza_id")
     full = join_back(base, lists, ["order_item_id"], how="left")
-    return full.select(
+    out = full.select(
         "order_item_id",
         F.concat("pizza_name", optional_fragment(" - Exclude ", "exclusion"),
                  optional_fragment(" - Extra ", "extra")).alias("order_item"))
+    return sort_like_sql(out, "order_item_id")
 
 
 def _line_ingredients(lines: DataFrame, recipes: DataFrame) -> DataFrame:
@@ -251,8 +261,9 @@ def ingredient_use_delivered(lines: DataFrame, deliveries: DataFrame, recipes: D
                              toppings: DataFrame) -> DataFrame:
     ok = deliveries.where(F.col("cancellation").isNull()).select("order_id")
     items = _line_ingredients(lines.join(ok, "order_id", "left_semi"), recipes)
-    return (_named(items, toppings).groupBy("topping_name")
-            .agg(F.count("ingredient_id").alias("total_quantity_used")))
+    out = (_named(items, toppings).groupBy("topping_name")
+           .agg(F.count("ingredient_id").alias("total_quantity_used")))
+    return sort_like_sql(out, ("total_quantity_used", "desc"))
 
 
 # ---------------------------------------------------------------- D. pricing, ratings

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from casework.operators import (
     dense_rank_column, first_after_anchor, first_per, last_before_anchor,
-    member_flag, points, relative_to_anchor, top_with_ties, totals_relative,
+    member_flag, points, relative_to_anchor, sort_like_sql, top_with_ties, totals_relative,
     within_days_after,
 )
 
@@ -67,8 +67,9 @@ def totals_before_joining(sales: DataFrame, menu: DataFrame, members: DataFrame)
 def points_per_customer(sales: DataFrame, menu: DataFrame, doubled: str = "sushi") -> DataFrame:
     """10 points per $1, the ``doubled`` product earns twice."""
     pts = points(F.col("price"), 10, [(F.col("product_name") == doubled, 2)])
-    return (_priced(sales, menu).groupBy("customer_id")
-            .agg(F.sum("price").alias("total_spent"), F.sum(pts).alias("points_earned")))
+    out = (_priced(sales, menu).groupBy("customer_id")
+           .agg(F.sum("price").alias("total_spent"), F.sum(pts).alias("points_earned")))
+    return sort_like_sql(out, ("points_earned", "desc"))
 
 
 def points_with_bonus_week(sales: DataFrame, menu: DataFrame, members: DataFrame,
@@ -84,18 +85,21 @@ def points_with_bonus_week(sales: DataFrame, menu: DataFrame, members: DataFrame
     if doubled:
         rules.append((F.col("product_name") == doubled, 2))
     pts = points(F.col("price"), 10, rules)
-    return (rel.where(F.month("order_date") == month).groupBy("customer_id")
-            .agg(F.sum(pts).alias("points_earned")))
+    out = (rel.where(F.month("order_date") == month).groupBy("customer_id")
+           .agg(F.sum(pts).alias("points_earned")))
+    return sort_like_sql(out, ("points_earned", "desc"))
 
 
 def member_table(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     flagged = member_flag(sales, members, "customer_id", "order_date", "join_date")
-    return flagged.join(menu, "product_id").select(
+    out = flagged.join(menu, "product_id").select(
         "customer_id", "order_date", "product_name", "price", "member")
+    return sort_like_sql(out, "customer_id", "order_date", ("price", "desc"))
 
 
 def member_ranking(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     t = member_table(sales, menu, members)
-    return dense_rank_column(t, ["customer_id", "member"], "order_date", "ranking",
-                             where=F.col("member") == "Y")
+    out = dense_rank_column(t, ["customer_id", "member"], "order_date", "ranking",
+                            where=F.col("member") == "Y")
+    return sort_like_sql(out, "customer_id", "order_date", ("price", "desc"))
 

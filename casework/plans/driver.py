@@ -33,7 +33,8 @@ from casework.operators import (
     dense_rank_column, filtered_lists, first_after_anchor, first_event_anchor, first_per,
     join_back, last_before_anchor, member_flag, milestone_after_anchor, next_value,
     nth_per, ordered_list, pay_per_unit, points, price_by, relative_to_anchor,
-    share_of_total, state_at, success_rate, tagged_explode_outer, top_with_ties,
+    share_of_total, sort_like_sql, state_at, success_rate, tagged_explode_outer,
+    top_with_ties,
     totals_relative, with_group_stats, within_days_after,
 )
 from casework.operators.contract import check, not_null
@@ -160,9 +161,9 @@ def points_rules(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
     e = t.events
     pts = points(_money("value"), 10, [(F.col("event_type") == "purchase", 2)])
-    return (e.groupBy("user_id")
-             .agg(F.sum(_money("value")).cast("double").alias("total_spent"),
-                  F.sum(pts).cast("double").alias("points_earned")))
+    out = e.groupBy("user_id").agg(F.sum(_money("value")).cast("double").alias("total_spent"),
+                                   F.sum(pts).cast("double").alias("points_earned"))
+    return sort_like_sql(out, ("points_earned", "desc"))
 
 
 def points_bonus_window(spark: SparkSession, d: str) -> DataFrame:
@@ -171,15 +172,17 @@ def points_bonus_window(spark: SparkSession, d: str) -> DataFrame:
     e = relative_to_anchor(_visits(t), _members(t), "user_id", "visit_date", "join_date", "any")
     bonus = within_days_after(F.col("visit_date"), F.col("join_date"), 7)
     pts = points(_money("value"), 10, [(bonus, 2)])
-    return (e.where(F.month("visit_date") == 1)
-             .groupBy("user_id").agg(F.sum(pts).cast("double").alias("points_earned")))
+    out = (e.where(F.month("visit_date") == 1)
+           .groupBy("user_id").agg(F.sum(pts).cast("double").alias("points_earned")))
+    return sort_like_sql(out, ("points_earned", "desc"))
 
 
 def member_flag_q(spark: SparkSession, d: str) -> DataFrame:
     """Every event with member flag Y (on/after the user's join date) or N."""
     t = Tables(spark, d)
     out = member_flag(_visits(t), _members(t), "user_id", "visit_date", "join_date")
-    return out.select("user_id", "event_id", "visit_date", "event_type", "value", "member")
+    out = out.select("user_id", "event_id", "visit_date", "event_type", "value", "member")
+    return sort_like_sql(out, "user_id", "visit_date", ("value", "desc"))
 
 
 def member_rank(spark: SparkSession, d: str) -> DataFrame:
@@ -188,8 +191,9 @@ def member_rank(spark: SparkSession, d: str) -> DataFrame:
     flagged = member_flag(_visits(t), _members(t), "user_id", "visit_date", "join_date")
     ranked = dense_rank_column(flagged, ["user_id"], "visit_date", "ranking",
                                where=F.col("member") == "Y")
-    return ranked.select("user_id", "event_id", "visit_date", "event_type", "value", "member",
-                         F.col("ranking").cast("bigint").alias("ranking"))
+    out = ranked.select("user_id", "event_id", "visit_date", "event_type", "value", "member",
+                        F.col("ranking").cast("bigint").alias("ranking"))
+    return sort_like_sql(out, "user_id", "visit_date", ("value", "desc"))
 
 
 # ---------------------------------------------------------------- case 2 shapes
@@ -258,7 +262,8 @@ def bag_edit_counts(spark: SparkSession, d: str) -> DataFrame:
                    F.array(F.col("p_type")))
     items = (per_part.join(t.part.select("p_partkey", "p_name", "p_type"), "p_partkey")
              .select("n_lines", F.explode(bag).alias("ingredient")))
-    return items.groupBy("ingredient").agg(F.sum("n_lines").alias("total_quantity_used"))
+    out = items.groupBy("ingredient").agg(F.sum("n_lines").alias("total_quantity_used"))
+    return sort_like_sql(out, ("total_quantity_used", "desc"))
 
 
 def counted_list_q(spark: SparkSession, d: str) -> DataFrame:
@@ -282,10 +287,11 @@ def optional_label(spark: SparkSession, d: str) -> DataFrame:
                            {"returned": F.col("l_returnflag") == "R",
                             "open": F.col("l_linestatus") == "O"})
     orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
-    return lists.join(orders, "l_orderkey").select(
+    out = lists.join(orders, "l_orderkey").select(
         "l_orderkey",
         F.concat("o_orderstatus", optional_fragment(" - Returned ", "returned"),
                  optional_fragment(" - Open ", "open")).alias("order_item"))
+    return sort_like_sql(out, "l_orderkey")
 
 
 def standard_list(spark: SparkSession, d: str) -> DataFrame:
@@ -316,7 +322,8 @@ def delivered_before_dim(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
     counts = _delivered(t).groupBy(F.col("l_partkey").alias("p_partkey")).agg(
         F.count(F.lit(1)).alias("n_delivered"))
-    return counts.join(t.part.select("p_partkey", "p_name"), "p_partkey")
+    out = counts.join(t.part.select("p_partkey", "p_name"), "p_partkey")
+    return sort_like_sql(out, ("n_delivered", "desc"))
 
 
 def largest_order(spark: SparkSession, d: str) -> DataFrame:
@@ -335,22 +342,25 @@ def both_changes(spark: SparkSession, d: str) -> DataFrame:
 
 def volume_by_hour(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
-    return t.events.groupBy(hour_of_day("ts").alias("hour_of_day")).agg(
+    out = t.events.groupBy(hour_of_day("ts").alias("hour_of_day")).agg(
         F.count("event_id").alias("n_events"))
+    return sort_like_sql(out, ("n_events", "desc"))
 
 
 def volume_by_weekday(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
-    return t.events.groupBy(weekday_name("ts").alias("day_of_week")).agg(
+    out = t.events.groupBy(weekday_name("ts").alias("day_of_week")).agg(
         F.count("event_id").alias("n_events"))
+    return sort_like_sql(out, ("n_events", "desc"))
 
 
 def signups_by_week(spark: SparkSession, d: str) -> DataFrame:
     """Sign-ups per 7-day period counted from 1 January (``'WW'`` weeks)."""
     t = Tables(spark, d)
-    return (t.events.where(F.col("event_type") == "signup")
-            .groupBy(week_from_jan1("ts").alias("week_num"))
-            .agg(F.count(F.lit(1)).alias("n_signups")))
+    out = (t.events.where(F.col("event_type") == "signup")
+           .groupBy(week_from_jan1("ts").alias("week_num"))
+           .agg(F.count(F.lit(1)).alias("n_signups")))
+    return sort_like_sql(out, ("n_signups", "desc"))
 
 
 def _order_delays(t: Tables) -> DataFrame:
@@ -371,8 +381,9 @@ def pickup_delay(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
     delays = _order_delays(t).select(
         "o_orderstatus", elapsed_minutes("o_orderdate", "pickup", 2).alias("delay_min"))
-    return delays.groupBy("o_orderstatus").agg(
+    out = delays.groupBy("o_orderstatus").agg(
         _exact_avg(F.col("delay_min"), 2).cast("double").alias("avg_pickup_min"))
+    return sort_like_sql(out, "avg_pickup_min")
 
 
 def size_vs_delay_label(spark: SparkSession, d: str) -> DataFrame:
@@ -416,16 +427,18 @@ def rate_with_avg(spark: SparkSession, d: str) -> DataFrame:
     unit = _money("l_extendedprice") / _money("l_quantity")
     lines = _delivered(t).select("l_orderkey", "l_linenumber", "l_suppkey", unit.alias("unit"))
     out = with_group_stats(lines, ["l_suppkey"], {"__avg": F.avg("unit")})
-    return out.select("l_orderkey", "l_linenumber", "l_suppkey",
-                      F.round("unit", 2).cast("double").alias("unit_price"),
-                      F.round("__avg", 2).cast("double").alias("avg_unit_price"))
+    out = out.select("l_orderkey", "l_linenumber", "l_suppkey",
+                     F.round("unit", 2).cast("double").alias("unit_price"),
+                     F.round("__avg", 2).cast("double").alias("avg_unit_price"))
+    return sort_like_sql(out, "l_suppkey", "l_orderkey")
 
 
 def success_rate_q(spark: SparkSession, d: str) -> DataFrame:
     """Percent of lines not returned, per supplier."""
     t = Tables(spark, d)
-    return success_rate(t.lineitem, "l_suppkey", F.col("l_returnflag") != "R",
-                        "success_percentage", 2)
+    out = success_rate(t.lineitem, "l_suppkey", F.col("l_returnflag") != "R",
+                       "success_percentage", 2)
+    return sort_like_sql(out, ("success_percentage", "desc"))
 
 
 # Fixed prices per line status for the income jobs.
@@ -487,16 +500,18 @@ def journey(spark: SparkSession, d: str) -> DataFrame:
     o = t.orders.where(F.col("o_orderdate").between(
         F.lit(f"{JOURNEY_FROM} 00:00:00").cast("timestamp_ntz"),
         F.lit(f"{JOURNEY_TO} 00:00:00").cast("timestamp_ntz")))
-    return o.join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_name"), "o_custkey") \
+    out = o.join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_name"), "o_custkey") \
         .select("o_custkey", "c_name", "o_orderkey", "o_orderstatus", "o_orderdate")
+    return sort_like_sql(out, "o_custkey", "o_orderdate")
 
 
 def month_starts(spark: SparkSession, d: str) -> DataFrame:
     """Open orders per month (month start as a date)."""
     t = Tables(spark, d)
-    return (t.orders.where(F.col("o_orderstatus") == "O")
-            .groupBy(month_start("o_orderdate").alias("month"))
-            .agg(F.count("o_orderkey").alias("n_orders")))
+    out = (t.orders.where(F.col("o_orderstatus") == "O")
+           .groupBy(month_start("o_orderdate").alias("month"))
+           .agg(F.count("o_orderkey").alias("n_orders")))
+    return sort_like_sql(out, "month")
 
 
 EVENTS_BOUND = "2024-01-15"
@@ -505,8 +520,9 @@ EVENTS_BOUND = "2024-01-15"
 def events_after(spark: SparkSession, d: str) -> DataFrame:
     """Events per type strictly after a date."""
     t = Tables(spark, d)
-    return (t.events.where(date_after("ts", EVENTS_BOUND))
-            .groupBy("event_type").agg(F.count("event_id").alias("n_events")))
+    out = (t.events.where(date_after("ts", EVENTS_BOUND))
+           .groupBy("event_type").agg(F.count("event_id").alias("n_events")))
+    return sort_like_sql(out, ("n_events", "desc"))
 
 
 def churn_rate(spark: SparkSession, d: str) -> DataFrame:
@@ -537,10 +553,11 @@ def next_plan_rank(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
     second = nth_per(t.events.select("user_id", "ts", "event_type"), "user_id", "ts", 2)
     counts = second.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_customer_after_first"))
-    return counts.crossJoin(F.broadcast(_total_users(t))).select(
+    out = counts.crossJoin(F.broadcast(_total_users(t))).select(
         "event_type", "n_customer_after_first",
         exact_ratio("n_customer_after_first", "n_total_customers", 1, 100)
         .cast("double").alias("percentage"))
+    return sort_like_sql(out, ("percentage", "desc"))
 
 
 def next_plan_lead(spark: SparkSession, d: str) -> DataFrame:
@@ -552,7 +569,8 @@ def next_plan_lead(spark: SparkSession, d: str) -> DataFrame:
     counts = (firsts.where(F.col("next_type").isNotNull())
               .groupBy(F.col("next_type").alias("event_type"))
               .agg(F.count(F.lit(1)).alias("conversion_count")))
-    return share_of_total(counts, "conversion_count", "percentage", 2)
+    return sort_like_sql(share_of_total(counts, "conversion_count", "percentage", 2),
+                         ("percentage", "desc"))
 
 
 STATE_DATE = "2024-01-15"

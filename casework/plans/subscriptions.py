@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from casework.functions import day_bucket_label, exact_ratio, month_start, percent_text
 from casework.operators import (
-    milestone_after_anchor, next_value, nth_per, share_of_total, state_at,
+    milestone_after_anchor, next_value, nth_per, share_of_total, sort_like_sql, state_at,
 )
 
 # Plan ids with a role in the questions.
@@ -26,8 +26,9 @@ def _d(s: str) -> _dt.date:
 
 def journey(subs: DataFrame, plans: DataFrame, first_id: int = 1, last_id: int = 8) -> DataFrame:
     """Plan history of a key range of customers, with plan names."""
-    return (subs.where(F.col("customer_id").between(first_id, last_id)).join(plans, "plan_id")
-            .select("customer_id", "plan_name", "start_date"))
+    out = (subs.where(F.col("customer_id").between(first_id, last_id)).join(plans, "plan_id")
+           .select("customer_id", "plan_name", "start_date"))
+    return sort_like_sql(out, "customer_id", "start_date")
 
 
 def customers_ever(subs: DataFrame) -> DataFrame:
@@ -35,9 +36,10 @@ def customers_ever(subs: DataFrame) -> DataFrame:
 
 
 def trials_per_month(subs: DataFrame) -> DataFrame:
-    return (subs.where(F.col("plan_id") == TRIAL)
-            .groupBy(month_start("start_date").alias("month"))
-            .agg(F.count("plan_id").alias("n_trial_plans")))
+    out = (subs.where(F.col("plan_id") == TRIAL)
+           .groupBy(month_start("start_date").alias("month"))
+           .agg(F.count("plan_id").alias("n_trial_plans")))
+    return sort_like_sql(out, "month")
 
 
 def events_after(subs: DataFrame, plans: DataFrame, bound: str = "2021-01-01",
@@ -45,8 +47,9 @@ def events_after(subs: DataFrame, plans: DataFrame, bound: str = "2021-01-01",
     """Plan changes strictly after ``bound`` (as coded), per plan name."""
     b = F.lit(_d(bound))
     cond = F.col("start_date") >= b if inclusive else F.col("start_date") > b
-    return (subs.where(cond).join(plans, "plan_id").groupBy("plan_name")
-            .agg(F.count("plan_id").alias("n_events")))
+    out = (subs.where(cond).join(plans, "plan_id").groupBy("plan_name")
+           .agg(F.count("plan_id").alias("n_events")))
+    return sort_like_sql(out, ("n_events", "desc"))
 
 
 def churn_rate(subs: DataFrame) -> DataFrame:
@@ -72,9 +75,10 @@ def plan_after_trial_rank(subs: DataFrame, plans: DataFrame) -> DataFrame:
     counts = second.groupBy("plan_id", "plan_name").agg(
         F.count(F.lit(1)).alias("n_customer_after_trial"))
     tot = subs.agg(F.countDistinct("customer_id").alias("__n"))
-    return counts.crossJoin(F.broadcast(tot)).select(
+    out = counts.crossJoin(F.broadcast(tot)).select(
         "plan_id", "plan_name", "n_customer_after_trial",
         exact_ratio("n_customer_after_trial", "__n", 1, 100).alias("percentage"))
+    return sort_like_sql(out, ("percentage", "desc"))
 
 
 def plan_after_trial_lead(subs: DataFrame, plans: DataFrame) -> DataFrame:
@@ -85,7 +89,8 @@ def plan_after_trial_lead(subs: DataFrame, plans: DataFrame) -> DataFrame:
     counts = (conv.join(plans.withColumnRenamed("plan_id", "next_plan_id"), "next_plan_id")
               .groupBy("next_plan_id", "plan_name")
               .agg(F.count(F.lit(1)).alias("conversion_count")))
-    return share_of_total(counts, "conversion_count", "percentage", 2)
+    return sort_like_sql(share_of_total(counts, "conversion_count", "percentage", 2),
+                         ("percentage", "desc"))
 
 
 def plan_breakdown_at(subs: DataFrame, plans: DataFrame, at: str = "2020-12-31") -> DataFrame:
