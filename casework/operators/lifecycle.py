@@ -75,8 +75,8 @@ def first_row_next(df: DataFrame, key: str, order: Sequence[str], value: str,
     first = df.groupBy(key).agg(F.min(ordering).alias("__first"))
     rest = join_back(df, first, [key]).where(ordering > F.col("__first"))
     second = rest.groupBy(key).agg(F.min_by(value, ordering).alias(name))
-    firsts = df.join(first.select(key, F.col("__first")), [key]) \
-        .where(ordering == F.col("__first")).select(key, F.col(value).alias("current"))
+    firsts = (join_back(df, first, [key]).where(ordering == F.col("__first"))
+              .select(key, F.col(value).alias("current")))
     return join_back(firsts, second, [key], how="left")
 
 

@@ -91,3 +91,8 @@ def test_member_ranking(t):
                       ("A", D("2021-01-11"), 3), ("B", D("2021-01-11"), 1), ("B", D("2021-01-16"), 2),
                       ("B", D("2021-02-01"), 3)]
     assert all(r.ranking is None for r in got if r.member == "N")
+
+
+def test_points_sorted_desc(t):
+    got = [r.customer_id for r in q.points_per_customer(t["sales"], t["menu"]).collect()]
+    assert got == ["B", "A", "C"]

@@ -115,3 +115,20 @@ def test_cleaning_and_bags(spark):
     assert got == [1, 3, 1, 1]
     n = b.select(bag_edit(F.col("b"), F.lit(None).cast("array<int>"), None, "int").alias("x")).first().x
     assert n == [1, 2, 3]
+
+
+def test_first_row_next_equals_lead_on_first_rows(skewed):
+    from casework.operators import first_row_next
+    got = first_row_next(skewed, "k", ["ts", "id"], "state", "nxt")
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    want = (skewed.withColumn("rn", F.row_number().over(w))
+            .withColumn("nxt", F.lead("state").over(w)).where("rn = 1")
+            .select("k", F.col("state").alias("current"), "nxt"))
+    assert rows(got) == rows(want)
+
+
+def test_sort_like_sql_null_placement(spark):
+    from casework.operators import sort_like_sql
+    df = spark.createDataFrame([(1,), (None,), (3,)], "x int")
+    assert [r.x for r in sort_like_sql(df, "x").collect()] == [1, 3, None]
+    assert [r.x for r in sort_like_sql(df, ("x", "desc")).collect()] == [None, 3, 1]
