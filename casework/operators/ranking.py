@@ -150,14 +150,17 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str = "row_id",
                    F.count(F.lit(1)).alias("__cnt"))
     n_buckets = F.greatest(F.ceil(F.col("__cnt") / F.lit(rows_per_bucket)), F.lit(max(min_buckets, 1)))
     width = (F.col("__hi") - F.col("__lo") + 1) / n_buckets
+    # NULL leading keys sort first, so they form range -1; range ids are never
+    # NULL and a plain equi-join keeps the hash partitioning on "__b" for the
+    # numbering window (no second shuffle of the rows).
     with_b = (df.crossJoin(F.broadcast(stats))
-              .withColumn("__b", F.floor((F.col(lead) - F.col("__lo")) / width))
+              .withColumn("__b", F.coalesce(F.floor((F.col(lead) - F.col("__lo")) / width),
+                                            F.lit(-1).cast("bigint")))
               .drop("__lo", "__hi", "__cnt"))
     counts = with_b.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
-    running = Window.orderBy(F.col("__b").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, -1)
+    running = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__b", F.coalesce(F.sum("__n").over(running), F.lit(0)).alias("__off"))
-    numbered = join_back(with_b, offsets, ["__b"]).withColumn(
+    numbered = with_b.join(offsets, "__b").withColumn(
         name,
         F.row_number().over(Window.partitionBy("__b").orderBy(*order)) + F.col("__off"))
     return numbered.drop("__b", "__off").withColumn(name, F.col(name).cast("bigint"))

@@ -132,3 +132,11 @@ def test_sort_like_sql_null_placement(spark):
     df = spark.createDataFrame([(1,), (None,), (3,)], "x int")
     assert [r.x for r in sort_like_sql(df, "x").collect()] == [1, 3, None]
     assert [r.x for r in sort_like_sql(df, ("x", "desc")).collect()] == [None, 3, 1]
+
+
+def test_dense_ids_with_null_leading_keys(spark):
+    data = [(None, 5), (3, 1), (None, 2), (1, 7), (2, 2), (3, 0)]
+    df = spark.createDataFrame(data, "a int, b int")
+    got = dense_ids(df, ["a", "b"], "rid", rows_per_bucket=2)
+    want = df.withColumn("rid", F.row_number().over(Window.orderBy("a", "b")))
+    assert rows(got, "a", "b", "rid") == rows(want, "a", "b", "rid")
