@@ -20,7 +20,7 @@ from casework.operators.ranking import join_back
 
 
 def next_value(df: DataFrame, key: str, order: Sequence[str], value: str, name: str,
-               bucket: Column | None = None) -> DataFrame:
+               bucket: Column | None = None, first_flag: str | None = None) -> DataFrame:
     """Add ``lead(value) over (partition by key order by order...)`` as ``name``.
 
     Rows are windowed per (key, bucket), where ``bucket`` is monotone in the
@@ -31,23 +31,30 @@ def next_value(df: DataFrame, key: str, order: Sequence[str], value: str, name:
     largest sort is one entity-day, not one entity.
 
     ``order`` should be total within an entity (add a tie-breaker column);
-    with ties the single window's choice is arbitrary anyway.
+    with ties the single window's choice is arbitrary anyway. With
+    ``first_flag``, a boolean column of that name marks each entity's first
+    row (first row of its first bucket), read from the same two windows.
     """
     order = list(order)
     b = bucket if bucket is not None else F.to_date(F.col(order[0]))
     x = df.withColumn("__b", b)
     w_in = Window.partitionBy(key, "__b").orderBy(*order)
     x = (x.withColumn("__lead_in", F.lead(value).over(w_in))
-          .withColumn("__is_last", F.lead(F.lit(True)).over(w_in).isNull()))
+          .withColumn("__is_last", F.lead(F.lit(True)).over(w_in).isNull())
+          .withColumn("__is_head", F.lag(F.lit(True)).over(w_in).isNull()))
     heads = (x.groupBy(key, "__b")
               .agg(F.min_by(value, F.struct(*order)).alias("__head")))
+    w_b = Window.partitionBy(key).orderBy("__b")
     heads = heads.select(
         key, "__b",
-        F.lead("__head").over(Window.partitionBy(key).orderBy("__b")).alias("__next_head"))
+        F.lead("__head").over(w_b).alias("__next_head"),
+        F.lag(F.lit(True)).over(w_b).isNull().alias("__first_b"))
     out = join_back(x, heads, [key, "__b"])
     out = out.withColumn(name, F.when(F.col("__is_last"), F.col("__next_head"))
                          .otherwise(F.col("__lead_in")))
-    return out.drop("__b", "__lead_in", "__is_last", "__next_head")
+    if first_flag:
+        out = out.withColumn(first_flag, F.col("__is_head") & F.col("__first_b"))
+    return out.drop("__b", "__lead_in", "__is_last", "__is_head", "__next_head", "__first_b")
 
 
 def state_at(df: DataFrame, key: str, time: str, state: str, at: Column,

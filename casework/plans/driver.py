@@ -564,9 +564,9 @@ def next_plan_lead(spark: SparkSession, d: str) -> DataFrame:
     """Next event type after each user's first event, counts and share (lead)."""
     t = Tables(spark, d)
     e = t.events.select("user_id", "ts", "event_id", "event_type")
-    with_next = next_value(e, "user_id", ["ts", "event_id"], "event_type", "next_type")
-    firsts = first_per(with_next.withColumn("__o", F.struct("ts", "event_id")), "user_id", "__o")
-    counts = (firsts.where(F.col("next_type").isNotNull())
+    with_next = next_value(e, "user_id", ["ts", "event_id"], "event_type", "next_type",
+                           first_flag="is_first")
+    counts = (with_next.where(F.col("is_first") & F.col("next_type").isNotNull())
               .groupBy(F.col("next_type").alias("event_type"))
               .agg(F.count(F.lit(1)).alias("conversion_count")))
     return sort_like_sql(share_of_total(counts, "conversion_count", "percentage", 2),

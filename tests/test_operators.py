@@ -140,3 +140,10 @@ def test_dense_ids_with_null_leading_keys(spark):
     got = dense_ids(df, ["a", "b"], "rid", rows_per_bucket=2)
     want = df.withColumn("rid", F.row_number().over(Window.orderBy("a", "b")))
     assert rows(got, "a", "b", "rid") == rows(want, "a", "b", "rid")
+
+
+def test_next_value_first_flag(skewed):
+    got = next_value(skewed, "k", ["ts", "id"], "state", "nxt", first_flag="first")
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    want = skewed.withColumn("first", F.row_number().over(w) == 1)
+    assert rows(got, "id", "first") == rows(want, "id", "first")
