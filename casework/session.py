@@ -15,6 +15,8 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot key's partition even when that costs an extra shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -44,17 +46,36 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int,
+               target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Shuffle sizing for a cluster run: enough initial partitions that each
+    holds about ``target_partition_bytes`` of the largest input (and at
+    least three waves of tasks); AQE then coalesces small ones and splits
+    skewed ones at run time.
+    """
+    initial = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes // 2),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a private scratch folder is
-    created and registered, so lineage cuts never land on a machine-local path
-    on a real cluster.
+    A private scratch folder is created only for ``local[...]`` sessions
+    without the setting (tests, single-machine runs). On a cluster the
+    setting must name a shared folder; a machine-local default would be lost
+    with its executor, so its absence is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     local = tempfile.mkdtemp(prefix="casework-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
