@@ -26,7 +26,7 @@ def next_value(df: DataFrame, key: str, order: Sequence[str], value: str, name:
     Rows are windowed per (key, bucket), where ``bucket`` is monotone in the
     order (default: the calendar day of the first order column). The last
     row of a bucket takes the first value of the entity's next non-empty
-    bucket, found on a one-row-per-bucket table (``min_by`` aggregate plus a
+    bucket, found on a one-row-per-bucket table (the bucket heads plus a
     lead over buckets). The result equals the single window's, but the
     largest sort is one entity-day, not one entity.
 
@@ -42,8 +42,8 @@ def next_value(df: DataFrame, key: str, order: Sequence[str], value: str, name:
     x = (x.withColumn("__lead_in", F.lead(value).over(w_in))
           .withColumn("__is_last", F.lead(F.lit(True)).over(w_in).isNull())
           .withColumn("__is_head", F.lag(F.lit(True)).over(w_in).isNull()))
-    heads = (x.groupBy(key, "__b")
-              .agg(F.min_by(value, F.struct(*order)).alias("__head")))
+    # the first row of each bucket is already flagged by the bucket window
+    heads = x.where(F.col("__is_head")).select(key, "__b", F.col(value).alias("__head"))
     w_b = Window.partitionBy(key).orderBy("__b")
     heads = heads.select(
         key, "__b",
