@@ -58,20 +58,30 @@ def counted_list(df: DataFrame, by: Sequence[str], item: str, name: str,
 
 
 def filtered_lists(df: DataFrame, by: Sequence[str], item: str, lists: dict[str, Column],
-                   sep: str = ", ") -> DataFrame:
+                   sep: str = ", ", counted: bool = False) -> DataFrame:
     """Several ``string_agg(item, sep ORDER BY item) FILTER (WHERE p)`` at once.
 
     One aggregate counts, per (group, item), how many rows match each filter;
     a second collects those counts per group. Each named list is NULL when no
     row of the group matches its filter. Groups appear when they have at
     least one non-NULL item.
+
+    With ``counted=True`` the rows are already aggregated: each value of
+    ``lists`` is a count column (how often the row's item belongs to that
+    list), e.g. from a cheaper aggregate on a numeric key before the item
+    labels were joined. Rows with the same item in a group need not be
+    merged: sorted, their repeats come out adjacent.
     """
     by = list(by)
     names = list(lists)
-    counted = (df.where(F.col(item).isNotNull()).groupBy(*by, item)
-                 .agg(*[F.count_if(lists[n]).alias(f"__n{i}") for i, n in enumerate(names)]))
+    src = df.where(F.col(item).isNotNull())
+    if counted:
+        per_item = src.select(*by, item, *[lists[n].alias(f"__n{i}") for i, n in enumerate(names)])
+    else:
+        per_item = (src.groupBy(*by, item)
+                    .agg(*[F.count_if(lists[n]).alias(f"__n{i}") for i, n in enumerate(names)]))
     entry = F.struct(F.col(item).alias("k"), *[F.col(f"__n{i}") for i in range(len(names))])
-    grouped = counted.groupBy(*by).agg(F.array_sort(F.collect_list(entry)).alias("__e"))
+    grouped = per_item.groupBy(*by).agg(F.array_sort(F.collect_list(entry)).alias("__e"))
     def repeat_by(field: str):
         # one-argument lambda: F.transform reads a two-argument one as (x, index)
         return lambda e: F.array_repeat(e["k"].cast("string"), e[field].cast("int"))

@@ -278,12 +278,14 @@ def counted_list_q(spark: SparkSession, d: str) -> DataFrame:
 def optional_label(spark: SparkSession, d: str) -> DataFrame:
     """Per order: ``status - Returned a, b - Open c`` (fragments only when present)."""
     t = Tables(spark, d)
-    lines = t.lineitem.select("l_orderkey", "l_returnflag", "l_linestatus",
-                              F.col("l_partkey").alias("p_partkey")) \
-        .join(t.part.select("p_partkey", "p_name"), "p_partkey")
-    lists = filtered_lists(lines, ["l_orderkey"], "p_name",
-                           {"returned": F.col("l_returnflag") == "R",
-                            "open": F.col("l_linestatus") == "O"})
+    # count per (order, part) on numeric keys first, then attach the names
+    per_part = t.lineitem.groupBy("l_orderkey", F.col("l_partkey").alias("p_partkey")).agg(
+        F.count_if(F.col("l_returnflag") == "R").alias("n_returned"),
+        F.count_if(F.col("l_linestatus") == "O").alias("n_open"))
+    named = per_part.join(t.part.select("p_partkey", "p_name"), "p_partkey")
+    lists = filtered_lists(named, ["l_orderkey"], "p_name",
+                           {"returned": F.col("n_returned"), "open": F.col("n_open")},
+                           counted=True)
     orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
     out = lists.join(orders, "l_orderkey").select(
         "l_orderkey",

@@ -147,3 +147,13 @@ def test_next_value_first_flag(skewed):
     w = Window.partitionBy("k").orderBy("ts", "id")
     want = skewed.withColumn("first", F.row_number().over(w) == 1)
     assert rows(got, "id", "first") == rows(want, "id", "first")
+
+
+def test_filtered_lists_counted_equals_row_form(spark):
+    data = [(1, 10, "b", True), (1, 11, "b", False), (1, 12, "a", True), (1, 10, "b", True),
+            (2, 13, "x", False)]
+    df = spark.createDataFrame(data, "g int, key int, item string, f boolean")
+    rowwise = filtered_lists(df, ["g"], "item", {"yes": F.col("f"), "no": ~F.col("f")})
+    pre = df.groupBy("g", "key", "item").agg(F.count_if("f").alias("y"), F.count_if(~F.col("f")).alias("n"))
+    counted = filtered_lists(pre, ["g"], "item", {"yes": F.col("y"), "no": F.col("n")}, counted=True)
+    assert rows(rowwise) == rows(counted) == [(1, "a, b, b", "b"), (2, None, "x")]
