@@ -1,20 +1,22 @@
 """Ranking with ties: top-k per group, first/last/n-th per entity, dense ids.
 
-Design for skew
----------------
-``rank() = 1`` and ``dense_rank() = 1`` select exactly the rows whose order
-value equals the group's best value. Instead of sorting every row of a
-group in one window task, the best value is a two-phase aggregate (map-side
-partial max/min, so a key holding a third of the rows costs one small
-partial per map task) and the rows are kept by joining that one-row-per-group
-result back. The join is an equi-join on the group key (a broadcast when AQE
-finds the per-group side small, else a sort-merge join that AQE's skew-join
-rule splits). Global top-with-ties joins a single row, broadcast by
-construction.
-
-Ranks that must be *materialised* for every row (``dense_rank`` as a column)
-rank the distinct (group, value) pairs and join them back: the window then
-sees one row per distinct value, not one per input row.
+Design for skew (measured with ``scripts/skew_probe.py``)
+-------------------------------------------------------
+* ``rank() / dense_rank() = k`` per group is written as the window plus the
+  filter, because Catalyst then inserts a *partial* ``WindowGroupLimit``
+  before the shuffle: every map task keeps only its local top-k rows per
+  key, so a key holding a third of the rows ships a handful of rows, not a
+  third of the table.
+* The global top with ties (no partition key) compares each row with a
+  one-row maximum joined by broadcast, so no single task ever sees more than
+  its own input split.
+* Ranks materialised for every row (``dense_rank`` as a column) rank the
+  distinct (group, value) pairs and join the rank back: the window sees one
+  row per distinct value, not one per input row.
+* Global row numbers (``dense_ids``) use value ranges of the leading key
+  instead of a single-partition window.
+
+Ordering follows PostgreSQL: NULLs last ascending, first descending.
 """
 
 from __future__ import annotations
@@ -48,56 +50,51 @@ def join_back(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "
     return out.drop(*[f"__k_{k}" for k in keys])
 
 
+def _ordered(value: str, descending: bool) -> Column:
+    c = F.col(value)
+    return c.desc_nulls_first() if descending else c.asc_nulls_last()
+
+
 def top_with_ties(df: DataFrame, value: str, by: str | Sequence[str] | None = None,
                   largest: bool = True) -> DataFrame:
     """Rows whose ``value`` is the best in their group (``rank() ... = 1``).
 
     ``largest=True`` keeps the maximum (``ORDER BY value DESC``), else the
-    minimum. Ties are all kept. NULL values never win (they are ignored by
-    the aggregate), matching ``NULLS LAST`` ordering.
+    minimum. Ties are all kept. Per group this is the window with a rank
+    filter (partial group limit before the shuffle). Without groups, rows
+    equal to the one-row maximum (broadcast) are kept; NULL values never win
+    there.
     """
     by = _as_list(by)
-    agg = F.max(value) if largest else F.min(value)
-    best = (df.groupBy(*by).agg(agg.alias("__best")) if by
-            else df.agg(agg.alias("__best")))
     if not by:
+        best = df.agg((F.max(value) if largest else F.min(value)).alias("__best"))
         # exactly one row: broadcasting it is bounded by construction
         return (df.join(F.broadcast(best), F.col(value) == F.col("__best"))
                 .drop("__best"))
-    return join_back(df, best, by).where(F.col(value) == F.col("__best")).drop("__best")
+    w = Window.partitionBy(*by).orderBy(_ordered(value, largest))
+    return df.withColumn("__r", F.rank().over(w)).where(F.col("__r") == 1).drop("__r")
 
 
 def first_per(df: DataFrame, by: str | Sequence[str], order: str) -> DataFrame:
     """All rows at each group's earliest ``order`` value (dense_rank asc = 1)."""
-    return top_with_ties(df, order, by, largest=False)
+    return nth_per(df, by, order, 1)
 
 
 def last_per(df: DataFrame, by: str | Sequence[str], order: str) -> DataFrame:
     """All rows at each group's latest ``order`` value (dense_rank desc = 1)."""
-    return top_with_ties(df, order, by, largest=True)
+    return nth_per(df, by, order, 1, descending=True)
 
 
-def nth_value_per(df: DataFrame, by: str | Sequence[str], order: str, n: int) -> DataFrame:
-    """Per group, the n-th smallest *distinct* ``order`` value as ``__nth``.
+def nth_per(df: DataFrame, by: str | Sequence[str], order: str, n: int,
+            descending: bool = False) -> DataFrame:
+    """All rows at each group's n-th distinct ``order`` value (dense_rank = n).
 
-    Built from n rounds of "minimum strictly above the previous one", each a
-    partial aggregate plus an equi-join on the group key; no group is ever
-    sorted in a single task. Groups with fewer than n distinct values drop out.
+    Catalyst turns the filter into a group limit of n that also runs before
+    the shuffle, so only rows that can still rank within the first n leave
+    each map task.
     """
-    by = _as_list(by)
-    keys = df.select(*by, order).where(F.col(order).isNotNull())
-    cur = keys.groupBy(*by).agg(F.min(order).alias("__nth"))
-    for _ in range(n - 1):
-        cur = (join_back(keys, cur, by).where(F.col(order) > F.col("__nth"))
-               .groupBy(*by).agg(F.min(order).alias("__nth")))
-    return cur
-
-
-def nth_per(df: DataFrame, by: str | Sequence[str], order: str, n: int) -> DataFrame:
-    """All rows at each group's n-th distinct ``order`` value (dense_rank = n)."""
-    by = _as_list(by)
-    nth = nth_value_per(df, by, order, n)
-    return join_back(df, nth, by).where(F.col(order) == F.col("__nth")).drop("__nth")
+    w = Window.partitionBy(*_as_list(by)).orderBy(_ordered(order, descending))
+    return df.withColumn("__r", F.dense_rank().over(w)).where(F.col("__r") == n).drop("__r")
 
 
 def dense_rank_column(df: DataFrame, by: str | Sequence[str], order: str, name: str,
