@@ -24,7 +24,7 @@ from pyspark.sql import SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from casework.operators import (  # noqa: E402
-    dense_rank_column, next_value, nth_per, state_at, top_with_ties,
+    dense_ids, dense_rank_column, next_value, nth_per, state_at, top_with_ties, with_group_stats,
 )
 
 
@@ -38,6 +38,9 @@ def main() -> None:
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
              .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+             # skew thresholds scaled down with the data (defaults: 256 MB / 64 MB)
+             .config("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "256KB")
+             .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
              .config("spark.sql.autoBroadcastJoinThreshold", "-1")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.ui.enabled", "false")
@@ -50,8 +53,11 @@ def main() -> None:
     src = os.path.join(scratch, "events_hot")
     if not os.path.exists(src):
         ev = spark.read.parquet(f"{sf_dir}/events.parquet")
-        ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0).cast("bigint"))
-                      .otherwise(F.col("user_id"))).write.parquet(src)
+        # many files, as on a cluster: AQE splits a skewed partition by ranges
+        # of map outputs, so a single-file input could never be split
+        (ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0).cast("bigint"))
+                       .otherwise(F.col("user_id")))
+           .repartition(32).write.parquet(src))
     e = spark.read.parquet(src).withColumn("day", F.to_date("ts"))
     total = e.count()
     w_user = Window.partitionBy("user_id")
@@ -78,6 +84,14 @@ def main() -> None:
                 "n", F.lead("event_id").over(w_user.orderBy("ts", "event_id"))).where("n IS NULL"),
         "state at date: state_at (max_by aggregate)":
             state_at(e, "user_id", "ts", "event_type", F.col("day") <= "2024-01-15", ["event_id"]),
+        "average per user on every row: window avg":
+            e.withColumn("a", F.avg("value").over(w_user)),
+        "average per user on every row: with_group_stats":
+            with_group_stats(e, ["user_id"], {"a": F.avg("value")}),
+        "global row number: window row_number":
+            e.withColumn("rid", F.row_number().over(Window.orderBy("event_id"))),
+        "global row number: dense_ids":
+            dense_ids(e, ["event_id"], "rid"),
     }
     for name, df in variants.items():
         spark.sparkContext.setJobDescription(name)
