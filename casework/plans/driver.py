@@ -341,6 +341,7 @@ def both_changes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def volume_by_hour(spark: SparkSession, d: str) -> DataFrame:
+    """Events per hour of day."""
     t = Tables(spark, d)
     out = t.events.groupBy(hour_of_day("ts").alias("hour_of_day")).agg(
         F.count("event_id").alias("n_events"))
@@ -348,6 +349,7 @@ def volume_by_hour(spark: SparkSession, d: str) -> DataFrame:
 
 
 def volume_by_weekday(spark: SparkSession, d: str) -> DataFrame:
+    """Events per weekday name."""
     t = Tables(spark, d)
     out = t.events.groupBy(weekday_name("ts").alias("day_of_week")).agg(
         F.count("event_id").alias("n_events"))
@@ -441,7 +443,7 @@ def success_rate_q(spark: SparkSession, d: str) -> DataFrame:
     return sort_like_sql(out, ("success_percentage", "desc"))
 
 
-# Fixed prices per line status for the income jobs.
+# Price per line status for the income jobs.
 LINE_PRICES = {"F": 12, "O": 10}
 
 
