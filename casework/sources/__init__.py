@@ -2,3 +2,4 @@ from casework.sources.tables import (  # noqa: F401
     CASE_SCHEMAS, DRIVER_SCHEMAS, Tables, load_table, table_path,
 )
 from casework.sources.sinks import append, append_table, materialize  # noqa: F401
+from casework.sources.layout import bucket_driver_tables, write_bucketed  # noqa: F401

@@ -18,6 +18,7 @@ def spark():
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.ui.enabled", "false")
              .config("spark.driver.memory", "4g")
+             .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="casework-test-wh-"))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     if not spark.conf.get("spark.checkpoint.dir", None):
