@@ -25,6 +25,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _as_list(cols: str | Sequence[str] | None) -> list[str]:
@@ -126,20 +127,27 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str = "row_id",
     ``min_buckets`` ranges (default: the session's shuffle partition count)
     so that small inputs still spread over all cores. A one-row aggregate
     (min, max, count; broadcast) sets the range width, so the number of
-    ranges grows with the data. Rows are counted per range, a running sum
-    over the ranges gives each range's offset (a window over one row per
-    range, not per input row), and ``row_number`` within a range plus the
-    offset is the global id. Ranges are monotone in the order, so the ids are
-    dense and identical to the global window's; every range is numbered by
-    its own task.
+    ranges grows with the data.
+
+    A range holding more than twice the target (a hot leading value) is split
+    further: its rows are keyed by (leading value, equal-width range of the
+    second order column, if numeric), which is still monotone in the order.
+
+    Rows are counted per key, a running sum over the keys gives each key's
+    offset (a window over one row per key, not per input row), and
+    ``row_number`` within a key plus the offset is the global id. The ids are
+    dense and identical to the global window's; every key is numbered by its
+    own task.
 
     ``order`` should be a total order (list every column that can break a
-    tie) for the ids to be deterministic. A single leading value holding a
-    large share of the rows stays in one range; put a higher-cardinality
-    column first for such data.
+    tie) for the ids to be deterministic. Rows equal in both leading columns
+    stay together in one task.
     """
     order = list(order)
     lead = order[0]
+    second = None
+    if len(order) > 1 and isinstance(df.schema[order[1]].dataType, T.NumericType):
+        second = order[1]
     if min_buckets is None:
         conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
         min_buckets = int(conf) if str(conf).isdigit() else 200
@@ -147,20 +155,39 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str = "row_id",
                    F.count(F.lit(1)).alias("__cnt"))
     n_buckets = F.greatest(F.ceil(F.col("__cnt") / F.lit(rows_per_bucket)), F.lit(max(min_buckets, 1)))
     width = (F.col("__hi") - F.col("__lo") + 1) / n_buckets
-    # NULL leading keys sort first, so they form range -1; range ids are never
-    # NULL and a plain equi-join keeps the hash partitioning on "__b" for the
-    # numbering window (no second shuffle of the rows).
-    with_b = (df.crossJoin(F.broadcast(stats))
-              .withColumn("__b", F.coalesce(F.floor((F.col(lead) - F.col("__lo")) / width),
-                                            F.lit(-1).cast("bigint")))
-              .drop("__lo", "__hi", "__cnt"))
-    counts = with_b.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
-    running = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__b", F.coalesce(F.sum("__n").over(running), F.lit(0)).alias("__off"))
-    numbered = with_b.join(offsets, "__b").withColumn(
+    # NULL leading keys sort first, so they form range -1. Key columns are
+    # never NULL, so plain equi-joins keep the hash partitioning the
+    # numbering window needs (no second shuffle of the rows).
+    keyed = (df.crossJoin(F.broadcast(stats))
+             .withColumn("__b", F.coalesce(F.floor((F.col(lead) - F.col("__lo")) / width),
+                                           F.lit(-1).cast("bigint")))
+             .drop("__lo", "__hi", "__cnt"))
+    keys = ["__b"]
+    if second is not None:
+        per_range = keyed.groupBy("__b").agg(F.count(F.lit(1)).alias("__nb"),
+                                             F.min(second).alias("__lo2"),
+                                             F.max(second).alias("__hi2"))
+        n_sub = F.ceil(F.col("__nb") / F.lit(rows_per_bucket))
+        per_range = per_range.select(
+            "__b", (F.col("__nb") > 2 * rows_per_bucket).alias("__hot"), "__lo2",
+            ((F.col("__hi2") - F.col("__lo2") + 1) / n_sub).alias("__w2"))
+        zero = F.lit(0).cast(df.schema[lead].dataType)
+        # one row per range: at most max(count / rows_per_bucket, min_buckets)
+        # rows by construction, so the broadcast is bounded
+        keyed = (keyed.join(F.broadcast(per_range), "__b")
+                 .withColumn("__v", F.coalesce(F.when(F.col("__hot"), F.col(lead)), zero))
+                 .withColumn("__s", F.when(F.col("__hot"), F.coalesce(
+                     F.floor((F.col(second) - F.col("__lo2")) / F.col("__w2")),
+                     F.lit(-1).cast("bigint"))).otherwise(F.lit(0).cast("bigint")))
+                 .drop("__hot", "__lo2", "__w2"))
+        keys = ["__b", "__v", "__s"]
+    counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    running = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, F.coalesce(F.sum("__n").over(running), F.lit(0)).alias("__off"))
+    numbered = keyed.join(offsets, keys).withColumn(
         name,
-        F.row_number().over(Window.partitionBy("__b").orderBy(*order)) + F.col("__off"))
-    return numbered.drop("__b", "__off").withColumn(name, F.col(name).cast("bigint"))
+        F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) + F.col("__off"))
+    return numbered.drop(*keys, "__off").withColumn(name, F.col(name).cast("bigint"))
 
 
 def sort_like_sql(df: DataFrame, *keys: str | tuple[str, str]) -> DataFrame:

@@ -157,3 +157,12 @@ def test_filtered_lists_counted_equals_row_form(spark):
     pre = df.groupBy("g", "key", "item").agg(F.count_if("f").alias("y"), F.count_if(~F.col("f")).alias("n"))
     counted = filtered_lists(pre, ["g"], "item", {"yes": F.col("y"), "no": F.col("n")}, counted=True)
     assert rows(rowwise) == rows(counted) == [(1, "a, b, b", "b"), (2, None, "x")]
+
+
+def test_dense_ids_split_hot_leading_value(spark):
+    # key 7 holds a third of the rows: its range is split by the second column
+    data = [(7 if i % 3 == 0 else i, i % 50, i) for i in range(600)]
+    df = spark.createDataFrame(data, "a long, b int, c long")
+    got = dense_ids(df, ["a", "b", "c"], "rid", rows_per_bucket=20, min_buckets=4)
+    want = df.withColumn("rid", F.row_number().over(Window.orderBy("a", "b", "c")))
+    assert rows(got, "c", "rid") == rows(want, "c", "rid")
