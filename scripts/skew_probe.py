@@ -92,6 +92,10 @@ def main() -> None:
             e.withColumn("rid", F.row_number().over(Window.orderBy("event_id"))),
         "global row number: dense_ids":
             dense_ids(e, ["event_id"], "rid"),
+        "row number by (user, event): window row_number":
+            e.withColumn("rid", F.row_number().over(Window.orderBy("user_id", "event_id"))),
+        "row number by (user, event): dense_ids (hot user split)":
+            dense_ids(e, ["user_id", "event_id"], "rid", rows_per_bucket=3125),
     }
     for name, df in variants.items():
         spark.sparkContext.setJobDescription(name)
