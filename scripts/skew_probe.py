@@ -123,9 +123,11 @@ def main() -> None:
         d = stage_to_desc.get(sid)
         if d:
             per_variant[d] = max(per_variant[d], rec)
-    print(json.dumps({"rows": total, "hot_user_rows": total // 3 + 1,
-                      "max_shuffle_rows_read_by_one_task": {k: per_variant.get(k, 0) for k in variants}},
-                     indent=1))
+    result = {"rows": total, "hot_user_rows": total // 3 + 1,
+              "max_shuffle_rows_read_by_one_task": {k: per_variant.get(k, 0) for k in variants}}
+    with open(os.path.join(scratch, "skew_probe.json"), "w") as f:
+        json.dump(result, f)
+    print(json.dumps(result, indent=1))
 
 
 if __name__ == "__main__":
