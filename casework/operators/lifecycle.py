@@ -4,7 +4,7 @@ conversion after the first event, time to a milestone.
 Event logs are keyed by entity and ordered by time. A plain
 ``lead() over (partition by entity order by time)`` sorts each entity in one
 task, which fails when one entity holds a large share of the log. The
-operators here avoid that: ``next_value`` splits every entity into time
+operators here avoid that: ``next_value`` splits every entity into hourly
 buckets, and last-state questions use ``max_by`` aggregates, which combine
 map-side.
 """
@@ -24,11 +24,12 @@ def next_value(df: DataFrame, key: str, order: Sequence[str], value: str, name:
     """Add ``lead(value) over (partition by key order by order...)`` as ``name``.
 
     Rows are windowed per (key, bucket), where ``bucket`` is monotone in the
-    order (default: the calendar day of the first order column). The last
+    order (default: the hour of the first order column, a time or date; for
+    dates that is the day). The last
     row of a bucket takes the first value of the entity's next non-empty
     bucket, found on a one-row-per-bucket table (the bucket heads plus a
     lead over buckets). The result equals the single window's, but the
-    largest sort is one entity-day, not one entity.
+    largest sort is one entity-hour, not one entity.
 
     ``order`` should be total within an entity (add a tie-breaker column);
     with ties the single window's choice is arbitrary anyway. With
@@ -36,7 +37,7 @@ def next_value(df: DataFrame, key: str, order: Sequence[str], value: str, name:
     row (first row of its first bucket), read from the same two windows.
     """
     order = list(order)
-    b = bucket if bucket is not None else F.to_date(F.col(order[0]))
+    b = bucket if bucket is not None else F.date_trunc("hour", F.col(order[0]))
     x = df.withColumn("__b", b)
     w_in = Window.partitionBy(key, "__b").orderBy(*order)
     x = (x.withColumn("__lead_in", F.lead(value).over(w_in))

@@ -46,7 +46,7 @@ notes = {
     "(partial per map task; sort-based because the ordering key is a struct) instead of `lead` + "
     "`IS NULL`. The share of total joins a one-row total by broadcast; AQE reuses the counts exchange "
     "(`ReusedExchange` in the executed plan).",
-"next_plan_lead": "`lead(event_type)` per user, bucketed by day: the window partitions on (user, day), bucket "
+"next_plan_lead": "`lead(event_type)` per user, bucketed by hour: the window partitions on (user, hour), bucket "
     "heads come from the same window's first-row flag, and a second small window over one row per bucket "
     "links each bucket to the next. The user's first row is flagged by the same windows, so no extra "
     "aggregate or join is needed to restrict to it.",
@@ -62,8 +62,8 @@ PROBE_PAIRS = [
      "dense rank of day: dense_rank_column (distinct pairs)",
      "`dense_rank_column`: window over distinct (user, day) pairs, joined back"),
     ("next event type (lead)", "next event type: window lead",
-     "next event type: next_value (user, day buckets)",
-     "`next_value`: window per (user, day), bucket heads linked by a small window"),
+     "next event type: next_value (user, hour buckets)",
+     "`next_value`: window per (user, hour), bucket heads linked by a small window"),
     ("state at a date", "state at date: window lead + IS NULL",
      "state at date: state_at (max_by aggregate)", "`state_at`: `max_by` aggregate, combined map-side"),
     ("average per user on every row", "average per user on every row: window avg",

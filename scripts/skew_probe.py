@@ -77,7 +77,7 @@ def main() -> None:
             dense_rank_column(e, ["user_id"], "day", "r"),
         "next event type: window lead":
             e.withColumn("n", F.lead("event_type").over(w_user.orderBy("ts", "event_id"))),
-        "next event type: next_value (user, day buckets)":
+        "next event type: next_value (user, hour buckets)":
             next_value(e, "user_id", ["ts", "event_id"], "event_type", "n"),
         "state at date: window lead + IS NULL":
             e.where(F.col("day") <= "2024-01-15").withColumn(
