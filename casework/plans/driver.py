@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casework.functions import (
-    date_after, date_at_most, day_bucket_label, days_between, elapsed_micros,
+    date_after, date_at_most, day_bucket_label, days_between, distinct_count, elapsed_micros,
     elapsed_minutes, exact_ratio, hour_of_day, in_year, minute_field, month_start,
     null_tokens, optional_fragment, parse_measure, percent_text, tokens,
     week_from_jan1, weekday_name,
@@ -98,11 +98,11 @@ def spend_per_customer(spark: SparkSession, d: str) -> DataFrame:
             .agg(F.sum("order_total").cast("double").alias("total")))
 
 
-def visit_days(spark: SparkSession, d: str) -> DataFrame:
-    """Distinct visit days per user."""
+def visit_days(spark: SparkSession, d: str, approx: bool = False) -> DataFrame:
+    """Distinct visit days per user (``approx=True``: HyperLogLog++ estimate)."""
     t = Tables(spark, d)
     return t.events.groupBy("user_id").agg(
-        F.countDistinct(F.to_date("ts")).alias("n_visited"))
+        distinct_count(F.to_date("ts"), approx).alias("n_visited"))
 
 
 def first_day_items(spark: SparkSession, d: str) -> DataFrame:

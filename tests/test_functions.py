@@ -76,3 +76,10 @@ def test_parse_measure_spellings(spark):
     got = [r.x for r in df.select(parse_measure("s").alias("x")).collect()]
     assert got == [Decimal(x) if x else None for x in
                    ["20", "23.4", "23.4", "32", "20", "25", "15", "10", None, None, None, None]]
+
+
+def test_distinct_count_exact_and_approx(spark):
+    from casework.functions import distinct_count
+    df = spark.range(0, 5000).select((F.col("id") % 1000).alias("v"))
+    r = df.agg(distinct_count("v").alias("e"), distinct_count("v", approx=True, rsd=0.02).alias("a")).first()
+    assert r.e == 1000 and abs(r.a - 1000) <= 60
