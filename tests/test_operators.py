@@ -166,3 +166,20 @@ def test_dense_ids_split_hot_leading_value(spark):
     got = dense_ids(df, ["a", "b", "c"], "rid", rows_per_bucket=20, min_buckets=4)
     want = df.withColumn("rid", F.row_number().over(Window.orderBy("a", "b", "c")))
     assert rows(got, "c", "rid") == rows(want, "c", "rid")
+
+
+def test_null_group_keys_behave_like_windows(spark):
+    data = [(None, 1, "a"), (None, 2, "b"), (None, 2, "c"), (1, 5, "d"), (1, 3, "e"), (2, None, "f")]
+    df = spark.createDataFrame(data, "k int, v int, s string")
+    w = Window.partitionBy("k")
+    got = top_with_ties(df, "v", by="k")
+    want = df.withColumn("r", F.rank().over(w.orderBy(F.col("v").desc_nulls_first()))).where("r = 1")
+    assert rows(got, "s") == rows(want, "s")
+    got = dense_rank_column(df, ["k"], "v", "r")
+    want = df.withColumn("r", F.dense_rank().over(w.orderBy("v")))
+    assert rows(got, "s", "r") == rows(want, "s", "r")
+    got = with_group_stats(df, ["k"], {"m": F.max("v")})
+    assert rows(got, "s", "m") == rows(df.withColumn("m", F.max("v").over(w)), "s", "m")
+    got = next_value(df.withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")),
+                     "k", ["ts", "s"], "s", "n")
+    assert rows(got, "s", "n") == rows(df.withColumn("n", F.lead("s").over(w.orderBy("s"))), "s", "n")
