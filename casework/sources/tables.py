@@ -92,18 +92,31 @@ def load_table(spark: SparkSession, base: str, name: str,
 
 
 class Tables:
-    """Lazy accessor: ``t = Tables(spark, sf_dir); t.orders`` reads once per name."""
+    """Lazy accessor: ``t = Tables(spark, sf_dir); t.orders`` reads once per name.
+
+    Reader DataFrames are shared by all ``Tables`` of one session and folder,
+    so consecutive jobs reuse each table's file index instead of listing the
+    files again (seconds per table on object storage with many files). Call
+    ``Tables.refresh()`` after files under a folder were added or replaced.
+    """
+
+    _shared: dict[tuple, DataFrame] = {}
 
     def __init__(self, spark: SparkSession, base: str, fmt: str = "parquet"):
         self.spark, self.base, self.fmt = spark, base, fmt
-        self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        if name not in self._cache:
-            self._cache[name] = load_table(self.spark, self.base, name, fmt=self.fmt)
-        return self._cache[name]
+        key = (id(self.spark), self.spark.sparkContext.applicationId, self.base, self.fmt, name)
+        if key not in Tables._shared:
+            Tables._shared[key] = load_table(self.spark, self.base, name, fmt=self.fmt)
+        return Tables._shared[key]
+
+    @classmethod
+    def refresh(cls) -> None:
+        """Forget shared readers, so the next access lists the files again."""
+        cls._shared.clear()
 
     def register_views(self, *names: str) -> None:
         """Expose tables to ``spark.sql`` under their own names."""

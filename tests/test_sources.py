@@ -45,3 +45,12 @@ def test_materialize_writes_under_checkpoint_dir(spark):
 def test_unknown_format_is_refused(spark, tmp_path):
     with pytest.raises(ValueError):
         load_table(spark, str(tmp_path), "menu", fmt="orc")
+
+
+def test_tables_share_readers_and_refresh(spark, tmp_path):
+    frame(spark, "menu", MENU).write.parquet(str(tmp_path / "menu.parquet"))
+    a, b = Tables(spark, str(tmp_path)), Tables(spark, str(tmp_path))
+    assert a.menu is b.menu
+    frame(spark, "menu", MENU).write.mode("append").parquet(str(tmp_path / "menu.parquet"))
+    Tables.refresh()
+    assert Tables(spark, str(tmp_path)).menu.count() == 6
