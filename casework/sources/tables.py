@@ -108,7 +108,7 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        key = (id(self.spark), self.spark.sparkContext.applicationId, self.base, self.fmt, name)
+        key = (id(self.spark), self.spark.conf.get("spark.app.id", ""), self.base, self.fmt, name)
         if key not in Tables._shared:
             Tables._shared[key] = load_table(self.spark, self.base, name, fmt=self.fmt)
         return Tables._shared[key]
