@@ -1,4 +1,8 @@
-"""Case-study fixture rows (transcribed literal rows) as Spark DataFrames."""
+"""Case-study fixture rows as Spark DataFrames.
+
+Fixed values: the literal rows of the three case studies, transcribed in
+their natural order (the subscription case only for customers 1-13).
+"""
 
 from __future__ import annotations
 

@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 from fixtures import MEMBERS, MENU, SALES, frame
 
-from casework.plans import diner as q
+from casework.plans import loyalty as q
 
 D = dt.date.fromisoformat
 
