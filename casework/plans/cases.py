@@ -10,6 +10,7 @@ Parquet under ``out/<question id>``.
 
 from __future__ import annotations
 
+import os
 import sys
 from collections.abc import Callable
 
@@ -115,17 +116,34 @@ CASES: dict[str, tuple[list[str], Callable[[], dict[str, Question]]]] = {
 }
 
 
+def _has_table(folder: str, name: str, fmt: str) -> bool:
+    ext = "parquet" if fmt == "parquet" else fmt
+    if "://" in folder:
+        return True
+    return os.path.exists(os.path.join(folder, f"{name}.{ext}")) or os.path.exists(
+        os.path.join(folder, name))
+
+
 def run_case(spark: SparkSession, case: str, folder: str, out: str | None = None,
              fmt: str = "parquet") -> dict[str, DataFrame]:
     """All questions of ``case`` over the tables in ``folder``.
 
-    The ratings questions of the delivery case (D3, D4) take a ratings table
-    and are run through ``delivery.record_ratings`` /
-    ``delivery.delivered_order_rows`` directly.
+    The ratings questions of the delivery case run when the folder also
+    holds ``runner_ratings`` (order_id, runner_id, rating): D3 splits it by the
+    ratings contract (valid rows, and rejected rows with their reason), D4
+    builds the wide row per delivered, validly rated order.
     """
     names, questions = CASES[case]
     tables = {n: load_table(spark, folder, n, fmt=fmt) for n in names}
     results = {qid: q(tables) for qid, q in questions().items()}
+    if case == "delivery" and _has_table(folder, "runner_ratings", fmt):
+        ratings = load_table(spark, folder, "runner_ratings", fmt=fmt)
+        lines = dv.clean_order_lines(tables["customer_orders"])
+        dels = dv.clean_deliveries(tables["runner_orders"])
+        valid, rejected = dv.record_ratings(ratings)
+        results["Q-C2-D3"] = valid
+        results["Q-C2-D3-rejected"] = rejected
+        results["Q-C2-D4"] = dv.delivered_order_rows(lines, dels, valid)
     if out:
         for qid, df in results.items():
             df.write.mode("overwrite").parquet(f"{out.rstrip('/')}/{qid}")

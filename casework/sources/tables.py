@@ -56,6 +56,7 @@ CASE_SCHEMAS: dict[str, T.StructType] = {
     "pizza_names": _schema(("pizza_id", _I), ("pizza_name", _S)),
     "pizza_recipes": _schema(("pizza_id", _I), ("toppings", _S)),
     "pizza_toppings": _schema(("topping_id", _I), ("topping_name", _S)),
+    "runner_ratings": _schema(("order_id", _I), ("runner_id", _I), ("rating", _I)),
     "plans": _schema(("plan_id", _I), ("plan_name", _S), ("price", T.DecimalType(5, 2))),
     "subscriptions": _schema(("customer_id", _I), ("plan_id", _I), ("start_date", T.DateType())),
 }
