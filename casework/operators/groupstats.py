@@ -2,8 +2,8 @@
 
 A window without ORDER BY over the whole group equals the group aggregate
 joined back to its rows. The aggregate is two-phase (partial per map task),
-so a hot group is reduced before the shuffle, and the join back is a plain
-equi-join that AQE can broadcast or split.
+so a hot group is reduced before the shuffle, and the join back is a
+(NULL-safe) equi-join that AQE can broadcast or split.
 """
 
 from __future__ import annotations

@@ -64,7 +64,9 @@ def state_at(df: DataFrame, key: str, time: str, state: str, at: Column,
     ``time`` satisfying ``at`` (e.g. ``time <= '2020-12-31'``).
 
     Same rows as "filter, then ``lead``, keep rows without a successor", but
-    as a ``max_by`` aggregate: partial per map task, no sort.
+    as a ``max_by`` aggregate: partial per map task, so only one row per
+    entity and task is shuffled and no window sorts a whole entity. (The
+    struct ordering makes Spark use its sort-based aggregate.)
     """
     ordering = F.struct(F.col(time), *[F.col(c) for c in tiebreak])
     return (df.where(at).groupBy(key)
