@@ -1,6 +1,6 @@
 from casework.operators.ranking import (  # noqa: F401
     dense_ids, dense_rank_column, first_per, join_back, last_per, nth_per,
-    sort_like_sql, top_with_ties,
+    scalar_row, sort_like_sql, top_with_ties, with_scalars,
 )
 from casework.operators.anchor import (  # noqa: F401
     first_after_anchor, first_event_anchor, last_before_anchor, member_flag,

@@ -7,8 +7,8 @@ Design for skew (measured with ``scripts/skew_probe.py``)
   before the shuffle: every map task keeps only its local top-k rows per
   key, so a key holding a third of the rows ships a handful of rows, not a
   third of the table.
-* The global top with ties (no partition key) compares each row with a
-  one-row maximum joined by broadcast, so no single task ever sees more than
+* The global top with ties (no partition key) filters rows equal to the
+  maximum, a scalar subquery run once, so no single task ever sees more than
   its own input split.
 * Ranks materialised for every row (``dense_rank`` as a column) rank the
   distinct (group, value) pairs and join the rank back: the window sees one
@@ -42,7 +42,7 @@ def join_back(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "
     """
     keys = list(keys)
     if not keys:
-        return df.crossJoin(F.broadcast(small))
+        return with_scalars(df, small)
     renamed = small
     for k in keys:
         renamed = renamed.withColumnRenamed(k, f"__k_{k}")
@@ -51,6 +51,22 @@ def join_back(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "
     return out.drop(*[f"__k_{k}" for k in keys])
 
 
+def scalar_row(one_row: DataFrame) -> Column:
+    """The single row of a global aggregate as a struct-valued scalar subquery.
+
+    ``one_row`` must yield exactly one row (an aggregate without grouping
+    keys). Spark runs it once, before the outer plan, and inlines the value:
+    nothing is joined and no row of the outer plan is paired with anything.
+    """
+    return one_row.select(F.struct(*one_row.columns)).scalar()
+
+
+def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach every column of a one-row aggregate to each row of ``df``."""
+    packed = scalar_row(one_row)
+    return df.select("*", *[packed.getField(c).alias(c) for c in one_row.columns])
+
+
 def _ordered(value: str, descending: bool) -> Column:
     c = F.col(value)
     return c.desc_nulls_first() if descending else c.asc_nulls_last()
@@ -63,15 +79,13 @@ def top_with_ties(df: DataFrame, value: str, by: str | Sequence[str] | None = No
     ``largest=True`` keeps the maximum (``ORDER BY value DESC``), else the
     minimum. Ties are all kept. Per group this is the window with a rank
     filter (partial group limit before the shuffle). Without groups, rows
-    equal to the one-row maximum (broadcast) are kept; NULL values never win
+    equal to the maximum (a scalar subquery) are kept; NULL values never win
     there.
     """
     by = _as_list(by)
     if not by:
-        best = df.agg((F.max(value) if largest else F.min(value)).alias("__best"))
-        # exactly one row: broadcasting it is bounded by construction
-        return (df.join(F.broadcast(best), F.col(value) == F.col("__best"))
-                .drop("__best"))
+        best = df.agg(F.max(value) if largest else F.min(value)).scalar()
+        return df.where(F.col(value) == best)
     w = Window.partitionBy(*by).orderBy(_ordered(value, largest))
     return df.withColumn("__r", F.rank().over(w)).where(F.col("__r") == 1).drop("__r")
 
@@ -126,8 +140,8 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str = "row_id",
     ``rows_per_bucket`` rows each on evenly spread keys, and at least
     ``min_buckets`` ranges (default: the session's shuffle partition count)
     so that small inputs still spread over all cores. A one-row aggregate
-    (min, max, count; broadcast) sets the range width, so the number of
-    ranges grows with the data.
+    (min, max, count; a scalar subquery) sets the range width, so the number
+    of ranges grows with the data.
 
     A range holding more than twice the target (a hot leading value) is split
     further: its rows are keyed by (leading value, equal-width range of the
@@ -151,17 +165,17 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str = "row_id",
     if min_buckets is None:
         conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
         min_buckets = int(conf) if str(conf).isdigit() else 200
-    stats = df.agg(F.min(lead).alias("__lo"), F.max(lead).alias("__hi"),
-                   F.count(F.lit(1)).alias("__cnt"))
-    n_buckets = F.greatest(F.ceil(F.col("__cnt") / F.lit(rows_per_bucket)), F.lit(max(min_buckets, 1)))
-    width = (F.col("__hi") - F.col("__lo") + 1) / n_buckets
+    n_buckets = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_bucket)),
+                           F.lit(max(min_buckets, 1)))
+    stats = scalar_row(df.agg(
+        F.min(lead).alias("lo"),
+        ((F.max(lead) - F.min(lead) + 1) / n_buckets).alias("width")))
     # NULL leading keys sort first, so they form range -1. Key columns are
     # never NULL, so plain equi-joins keep the hash partitioning the
     # numbering window needs (no second shuffle of the rows).
-    keyed = (df.crossJoin(F.broadcast(stats))
-             .withColumn("__b", F.coalesce(F.floor((F.col(lead) - F.col("__lo")) / width),
-                                           F.lit(-1).cast("bigint")))
-             .drop("__lo", "__hi", "__cnt"))
+    keyed = df.withColumn(
+        "__b", F.coalesce(F.floor((F.col(lead) - stats.getField("lo")) / stats.getField("width")),
+                          F.lit(-1).cast("bigint")))
     keys = ["__b"]
     if second is not None:
         per_range = keyed.groupBy("__b").agg(F.count(F.lit(1)).alias("__nb"),

@@ -27,14 +27,12 @@ def share_of_total(counts: DataFrame, count_col: str, name: str = "percentage",
                    scale: int = 2) -> DataFrame:
     """``100.0 * n / sum(n) over ()`` for an already aggregated frame.
 
-    The total is a one-row aggregate joined by broadcast, so the grouped
-    rows never have to meet in a single window partition.
+    The total is a one-row aggregate read as a scalar subquery, so the
+    grouped rows never have to meet in a single window partition.
     """
-    total = counts.agg(F.sum(count_col).alias("__total"))
-    return (counts.crossJoin(F.broadcast(total))
-            .withColumn(name, exact_ratio(F.col(count_col), F.col("__total"), scale, 100)
-                        .cast("double"))
-            .drop("__total"))
+    total = counts.agg(F.sum(count_col)).scalar()
+    return counts.withColumn(name, exact_ratio(F.col(count_col), total, scale, 100)
+                             .cast("double"))
 
 
 def success_rate(df: DataFrame, by: str | Sequence[str], ok: Column,

@@ -26,7 +26,7 @@ from casework.operators import (
     cond_counts, correlation_summary, counted_list, dense_ids, filtered_lists, join_back,
     ordered_list, pay_per_unit, price_by, sort_like_sql, split_valid, success_rate,
     tagged_explode_outer,
-    top_with_ties, with_group_stats,
+    top_with_ties, with_group_stats, with_scalars,
 )
 from casework.operators.contract import check, not_null
 from casework.sources.sinks import append
@@ -295,7 +295,7 @@ def income_with_extras(lines: DataFrame, deliveries: DataFrame, changes: DataFra
         ok = deliveries.where(F.col("cancellation").isNull()).select("order_id")
         ex = ex.join(ok, "order_id", "left_semi")
     extra = ex.agg((F.count(F.lit(1)) * surcharge).alias("extra_total"))
-    return base.crossJoin(extra).select(
+    return with_scalars(base, extra).select(
         (F.col("base_total") + F.col("extra_total")).alias("total_revenue_usd"))
 
 
@@ -334,7 +334,7 @@ def net_income(lines: DataFrame, deliveries: DataFrame, names: DataFrame,
     pay = deliveries.where(F.col("cancellation").isNull()).agg(
         F.sum(pay_per_unit(F.col("distance_km"), rate)).alias("total_earning_usd"))
     rev = _revenue(lines, deliveries, names)
-    return rev.crossJoin(pay).select(
+    return with_scalars(rev, pay).select(
         "revenue_usd", "total_earning_usd",
         (F.col("revenue_usd") - F.col("total_earning_usd")).alias("net_income_usd"))
 

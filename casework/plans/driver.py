@@ -33,7 +33,7 @@ from casework.operators import (
     nth_per, ordered_list, pay_per_unit, points, price_by, relative_to_anchor,
     share_of_total, sort_like_sql, state_at, success_rate, tagged_explode_outer,
     top_with_ties,
-    totals_relative, with_group_stats, within_days_after,
+    totals_relative, with_group_stats, with_scalars, within_days_after,
 )
 from casework.operators.contract import check, not_null
 from casework.sources import Tables
@@ -464,7 +464,7 @@ def net_income(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
     pay = _delivered(t).agg(F.sum(pay_per_unit(F.col("l_quantity"), "0.3")).alias("pay"))
     rev = _income(t)
-    return rev.crossJoin(pay).select(
+    return with_scalars(rev, pay).select(
         F.col("revenue").cast("double").alias("revenue_usd"),
         F.col("pay").cast("double").alias("total_earning_usd"),
         (F.col("revenue") - F.col("pay")).cast("double").alias("net_income_usd"))
@@ -545,7 +545,7 @@ def straight_after_first(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
     second = nth_per(t.events.select("user_id", "ts", "event_type"), "user_id", "ts", 2)
     n = second.agg(F.count_if(F.col("event_type") == "error").alias("churn_after_trial"))
-    return _total_users(t).crossJoin(n).select(
+    return with_scalars(_total_users(t), n).select(
         "n_total_customers", "churn_after_trial",
         percent_text("churn_after_trial", "n_total_customers", 0).alias("churn_percentage"))
 
@@ -555,7 +555,7 @@ def next_plan_rank(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
     second = nth_per(t.events.select("user_id", "ts", "event_type"), "user_id", "ts", 2)
     counts = second.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_customer_after_first"))
-    out = counts.crossJoin(F.broadcast(_total_users(t))).select(
+    out = with_scalars(counts, _total_users(t)).select(
         "event_type", "n_customer_after_first",
         exact_ratio("n_customer_after_first", "n_total_customers", 1, 100)
         .cast("double").alias("percentage"))

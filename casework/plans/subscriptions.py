@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from casework.functions import day_bucket_label, exact_ratio, month_start, percent_text
 from casework.operators import (
     milestone_after_anchor, next_value, nth_per, share_of_total, sort_like_sql, state_at,
+    with_scalars,
 )
 
 # Plan ids with a role in the questions.
@@ -64,7 +65,7 @@ def churn_after_trial(subs: DataFrame) -> DataFrame:
     second = nth_per(subs, "customer_id", "start_date", 2)
     n = second.agg(F.count_if(F.col("plan_id") == CHURN).alias("churn_after_trial"))
     tot = subs.agg(F.countDistinct("customer_id").alias("n_total_customers"))
-    return tot.crossJoin(n).select(
+    return with_scalars(tot, n).select(
         "n_total_customers", "churn_after_trial",
         percent_text("churn_after_trial", "n_total_customers", 0).alias("churn_percentage"))
 
@@ -75,7 +76,7 @@ def plan_after_trial_rank(subs: DataFrame, plans: DataFrame) -> DataFrame:
     counts = second.groupBy("plan_id", "plan_name").agg(
         F.count(F.lit(1)).alias("n_customer_after_trial"))
     tot = subs.agg(F.countDistinct("customer_id").alias("__n"))
-    out = counts.crossJoin(F.broadcast(tot)).select(
+    out = with_scalars(counts, tot).select(
         "plan_id", "plan_name", "n_customer_after_trial",
         exact_ratio("n_customer_after_trial", "__n", 1, 100).alias("percentage"))
     return sort_like_sql(out, ("percentage", "desc"))

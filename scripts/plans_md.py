@@ -33,7 +33,7 @@ notes = {
     "part per order (bounded by the item domain, not the line count), sorted by name, and expands the counts. "
     "`FILTER (WHERE ...)` becomes `count_if`, `coalesce(' - x ' || list, '')` a plain projection.",
 "line_id": "`row_number()` over a global order without a single-partition window: a one-row "
-    "min/max/count aggregate (broadcast nested-loop join of one row) sizes value ranges of the leading key; "
+    "min/max/count aggregate (a scalar subquery, run once) sizes value ranges of the leading key; "
     "a per-range table (one row per range, broadcast) marks ranges holding a hot leading value, which are "
     "split by ranges of the second order column; counts and running offsets are computed on one row per "
     "piece, and each piece is numbered by its own task. The join on the piece keys keeps the hash "
@@ -44,8 +44,7 @@ notes = {
     "of all events contributes at most one row per day to the window.",
 "state_at_date": "State at a date = last row per user with `ts` under the bound: a `max_by` aggregate "
     "(partial per map task; sort-based because the ordering key is a struct) instead of `lead` + "
-    "`IS NULL`. The share of total joins a one-row total by broadcast; AQE reuses the counts exchange "
-    "(`ReusedExchange` in the executed plan).",
+    "`IS NULL`. The share of total reads the one-row total as a scalar subquery.",
 "next_plan_lead": "`lead(event_type)` per user, bucketed by hour: the window partitions on (user, hour), bucket "
     "heads come from the same window's first-row flag, and a second small window over one row per bucket "
     "links each bucket to the next. The user's first row is flagged by the same windows, so no extra "

@@ -42,3 +42,12 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(df.columns) == sorted(dcols)
     assert len(srows) == len(drows)
     assert digest(srows, df.columns)[0] == digest(drows, dcols)[0]
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_plan_has_no_cross_join(spark, name):
+    """One-row aggregates are scalar subqueries: no job pairs rows without a key."""
+    df = E.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan
+    assert "BroadcastNestedLoopJoin" not in plan

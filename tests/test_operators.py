@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from casework.functions import bag_edit, null_tokens, tokens
 from casework.operators import (
     dense_ids, dense_rank_column, filtered_lists, next_value, nth_per, share_of_total, state_at,
-    top_with_ties, with_group_stats,
+    top_with_ties, with_group_stats, with_scalars,
 )
 
 
@@ -183,3 +183,16 @@ def test_null_group_keys_behave_like_windows(spark):
     got = next_value(df.withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")),
                      "k", ["ts", "s"], "s", "n")
     assert rows(got, "s", "n") == rows(df.withColumn("n", F.lead("s").over(w.orderBy("s"))), "s", "n")
+
+
+def test_with_scalars_equals_cross_join_of_one_row(skewed):
+    one = skewed.agg(F.max("v").alias("hi"), F.count(F.lit(1)).alias("n"))
+    got = with_scalars(skewed.select("id"), one)
+    want = skewed.select("id").crossJoin(one)
+    assert got.columns == ["id", "hi", "n"]
+    assert rows(got) == rows(want)
+    # an aggregate over no rows is still one row (NULL max, zero count)
+    empty = skewed.where("v < 0")
+    none = with_scalars(skewed.select("id").limit(2), empty.agg(F.max("v").alias("hi"),
+                                                                F.count(F.lit(1)).alias("n")))
+    assert [(r.hi, r.n) for r in none.collect()] == [(None, 0), (None, 0)]
