@@ -167,20 +167,24 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str = "row_id",
         min_buckets = int(conf) if str(conf).isdigit() else 200
     n_buckets = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_bucket)),
                            F.lit(max(min_buckets, 1)))
+    # Range arithmetic in double: a wide integer span cannot overflow, and
+    # the mapping value -> range stays monotone, which is all the keys need.
+    lead_d = F.col(lead).cast("double")
     stats = scalar_row(df.agg(
-        F.min(lead).alias("lo"),
-        ((F.max(lead) - F.min(lead) + 1) / n_buckets).alias("width")))
+        F.min(lead_d).alias("lo"),
+        ((F.max(lead_d) - F.min(lead_d) + 1) / n_buckets).alias("width")))
     # NULL leading keys sort first, so they form range -1. Key columns are
     # never NULL, so plain equi-joins keep the hash partitioning the
     # numbering window needs (no second shuffle of the rows).
     keyed = df.withColumn(
-        "__b", F.coalesce(F.floor((F.col(lead) - stats.getField("lo")) / stats.getField("width")),
+        "__b", F.coalesce(F.floor((lead_d - stats.getField("lo")) / stats.getField("width")),
                           F.lit(-1).cast("bigint")))
     keys = ["__b"]
     if second is not None:
+        second_d = F.col(second).cast("double")
         per_range = keyed.groupBy("__b").agg(F.count(F.lit(1)).alias("__nb"),
-                                             F.min(second).alias("__lo2"),
-                                             F.max(second).alias("__hi2"))
+                                             F.min(second_d).alias("__lo2"),
+                                             F.max(second_d).alias("__hi2"))
         n_sub = F.ceil(F.col("__nb") / F.lit(rows_per_bucket))
         per_range = per_range.select(
             "__b", (F.col("__nb") > 2 * rows_per_bucket).alias("__hot"), "__lo2",
@@ -191,7 +195,7 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str = "row_id",
         keyed = (keyed.join(F.broadcast(per_range), "__b")
                  .withColumn("__v", F.coalesce(F.when(F.col("__hot"), F.col(lead)), zero))
                  .withColumn("__s", F.when(F.col("__hot"), F.coalesce(
-                     F.floor((F.col(second) - F.col("__lo2")) / F.col("__w2")),
+                     F.floor((second_d - F.col("__lo2")) / F.col("__w2")),
                      F.lit(-1).cast("bigint"))).otherwise(F.lit(0).cast("bigint")))
                  .drop("__hot", "__lo2", "__w2"))
         keys = ["__b", "__v", "__s"]

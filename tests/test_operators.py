@@ -196,3 +196,12 @@ def test_with_scalars_equals_cross_join_of_one_row(skewed):
     none = with_scalars(skewed.select("id").limit(2), empty.agg(F.max("v").alias("hi"),
                                                                 F.count(F.lit(1)).alias("n")))
     assert [(r.hi, r.n) for r in none.collect()] == [(None, 0), (None, 0)]
+
+
+def test_dense_ids_wide_int_span(spark):
+    # max - min exceeds the int range: the range arithmetic must not overflow
+    data = [(i, -2_000_000_000 + i * 400_000_000, i % 3) for i in range(11)]
+    df = spark.createDataFrame(data, "id int, a int, b int")
+    got = dense_ids(df, ["a", "b", "id"], "rid", rows_per_bucket=2, min_buckets=3)
+    want = df.withColumn("rid", F.row_number().over(Window.orderBy("a", "b", "id")))
+    assert rows(got, "id", "rid") == rows(want, "id", "rid")
