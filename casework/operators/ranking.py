@@ -169,22 +169,22 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str = "row_id",
                            F.lit(max(min_buckets, 1)))
     # Range arithmetic in double: a wide integer span cannot overflow, and
     # the mapping value -> range stays monotone, which is all the keys need.
+    # Widths come from the finite values; NULL, infinities and NaN get ranges
+    # of their own at the ends. Key columns are never NULL, so plain
+    # equi-joins keep the hash partitioning the numbering window needs (no
+    # second shuffle of the rows).
     lead_d = F.col(lead).cast("double")
     stats = scalar_row(df.agg(
-        F.min(lead_d).alias("lo"),
-        ((F.max(lead_d) - F.min(lead_d) + 1) / n_buckets).alias("width")))
-    # NULL leading keys sort first, so they form range -1. Key columns are
-    # never NULL, so plain equi-joins keep the hash partitioning the
-    # numbering window needs (no second shuffle of the rows).
-    keyed = df.withColumn(
-        "__b", F.coalesce(F.floor((lead_d - stats.getField("lo")) / stats.getField("width")),
-                          F.lit(-1).cast("bigint")))
+        F.min(_finite(lead_d)).alias("lo"),
+        ((F.max(_finite(lead_d)) - F.min(_finite(lead_d)) + 1) / n_buckets).alias("width")))
+    keyed = df.withColumn("__b", _range_number(lead_d, stats.getField("lo"),
+                                               stats.getField("width")))
     keys = ["__b"]
     if second is not None:
         second_d = F.col(second).cast("double")
         per_range = keyed.groupBy("__b").agg(F.count(F.lit(1)).alias("__nb"),
-                                             F.min(second_d).alias("__lo2"),
-                                             F.max(second_d).alias("__hi2"))
+                                             F.min(_finite(second_d)).alias("__lo2"),
+                                             F.max(_finite(second_d)).alias("__hi2"))
         n_sub = F.ceil(F.col("__nb") / F.lit(rows_per_bucket))
         per_range = per_range.select(
             "__b", (F.col("__nb") > 2 * rows_per_bucket).alias("__hot"), "__lo2",
@@ -194,9 +194,8 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str = "row_id",
         # rows by construction, so the broadcast is bounded
         keyed = (keyed.join(F.broadcast(per_range), "__b")
                  .withColumn("__v", F.coalesce(F.when(F.col("__hot"), F.col(lead)), zero))
-                 .withColumn("__s", F.when(F.col("__hot"), F.coalesce(
-                     F.floor((second_d - F.col("__lo2")) / F.col("__w2")),
-                     F.lit(-1).cast("bigint"))).otherwise(F.lit(0).cast("bigint")))
+                 .withColumn("__s", F.when(F.col("__hot"), _range_number(
+                     second_d, F.col("__lo2"), F.col("__w2"))).otherwise(F.lit(0).cast("bigint")))
                  .drop("__hot", "__lo2", "__w2"))
         keys = ["__b", "__v", "__s"]
     counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
@@ -208,6 +207,26 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str = "row_id",
     return numbered.drop(*keys, "__off").withColumn(name, F.col(name).cast("bigint"))
 
 
+# Range numbers of values outside the finite equal-width ranges, placed where
+# Spark's ascending order puts them: NULL first, then -inf; +inf, then NaN last.
+_NULL_RANGE, _NEG_INF_RANGE = -2, -1
+_POS_INF_RANGE = 1 << 62
+_NAN_RANGE = _POS_INF_RANGE + 1
+
+
+def _finite(x: Column) -> Column:
+    return F.when(~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))), x)
+
+
+def _range_number(x: Column, lo: Column, width: Column) -> Column:
+    """Monotone range number of ``x`` (double) under equal-width finite ranges."""
+    return (F.when(x.isNull(), F.lit(_NULL_RANGE))
+            .when(F.isnan(x), F.lit(_NAN_RANGE))
+            .when(x == F.lit(float("inf")), F.lit(_POS_INF_RANGE))
+            .when(x == F.lit(float("-inf")), F.lit(_NEG_INF_RANGE))
+            .otherwise(F.floor((x - lo) / width))).cast("bigint")
+
+
 def sort_like_sql(df: DataFrame, *keys: str | tuple[str, str]) -> DataFrame:
     """``ORDER BY k1 [DESC], ...`` with PostgreSQL's NULL placement made explicit.
 

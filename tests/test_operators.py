@@ -205,3 +205,18 @@ def test_dense_ids_wide_int_span(spark):
     got = dense_ids(df, ["a", "b", "id"], "rid", rows_per_bucket=2, min_buckets=3)
     want = df.withColumn("rid", F.row_number().over(Window.orderBy("a", "b", "id")))
     assert rows(got, "id", "rid") == rows(want, "id", "rid")
+
+
+def test_dense_ids_special_doubles(spark):
+    # NULL, infinities and NaN in both leading columns, with a hot NaN value
+    rnd = random.Random(7)
+    special = [None, float("nan"), float("inf"), float("-inf")]
+    data = []
+    for i in range(300):
+        a = float("nan") if i % 3 == 0 else rnd.choice(special + [rnd.uniform(-5, 5)] * 6)
+        b = rnd.choice(special + [float(rnd.randrange(0, 50))] * 6)
+        data.append((i, a, b))
+    df = spark.createDataFrame(data, "id int, a double, b double")
+    got = dense_ids(df, ["a", "b", "id"], "rid", rows_per_bucket=10, min_buckets=4)
+    want = df.withColumn("rid", F.row_number().over(Window.orderBy("a", "b", "id")))
+    assert rows(got, "id", "rid") == rows(want, "id", "rid")
