@@ -5,8 +5,8 @@ Event logs are keyed by entity and ordered by time. A plain
 ``lead() over (partition by entity order by time)`` sorts each entity in one
 task, which fails when one entity holds a large share of the log. The
 operators here avoid that: ``next_value`` splits every entity into hourly
-buckets, and last-state questions use ``max_by`` aggregates, which combine
-map-side.
+buckets (seconds inside an hour that holds too many rows), and last-state
+questions use ``max_by`` aggregates, which combine map-side.
 """
 
 from __future__ import annotations
@@ -15,12 +15,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casework.operators.ranking import join_back
 
 
 def next_value(df: DataFrame, key: str, order: Sequence[str], value: str, name: str,
-               bucket: Column | None = None, first_flag: str | None = None) -> DataFrame:
+               bucket: Column | None = None, first_flag: str | None = None,
+               fine_bucket: Column | None = None,
+               rows_per_bucket: int = 1_000_000) -> DataFrame:
     """Add ``lead(value) over (partition by key order by order...)`` as ``name``.
 
     Rows are windowed per (key, bucket), where ``bucket`` is monotone in the
@@ -31,6 +34,13 @@ def next_value(df: DataFrame, key: str, order: Sequence[str], value: str, name:
     lead over buckets). The result equals the single window's, but the
     largest sort is one entity-hour, not one entity.
 
+    A (key, bucket) holding more than ``rows_per_bucket`` rows is windowed
+    per ``fine_bucket`` instead, a finer value that is monotone in the order
+    within the bucket (default for a time column: its second; a caller's
+    ``bucket`` has none unless one is given). The hot pairs are found by a
+    partial count per (key, bucket); there are at most ``rows /
+    rows_per_bucket`` of them, so their broadcast is bounded.
+
     ``order`` should be total within an entity (add a tie-breaker column);
     with ties the single window's choice is arbitrary anyway. With
     ``first_flag``, a boolean column of that name marks each entity's first
@@ -38,24 +48,38 @@ def next_value(df: DataFrame, key: str, order: Sequence[str], value: str, name:
     """
     order = list(order)
     b = bucket if bucket is not None else F.date_trunc("hour", F.col(order[0]))
+    if fine_bucket is None and bucket is None and isinstance(
+            df.schema[order[0]].dataType, (T.TimestampType, T.TimestampNTZType)):
+        fine_bucket = F.date_trunc("second", F.col(order[0]))
     x = df.withColumn("__b", b)
-    w_in = Window.partitionBy(key, "__b").orderBy(*order)
+    pieces = ["__b"]
+    if fine_bucket is not None:
+        pieces = ["__b", "__f"]
+        hot = (x.groupBy(F.col(key).alias("__hk"), F.col("__b").alias("__hb"))
+                .agg(F.count(F.lit(1)).alias("__n"))
+                .where(F.col("__n") > rows_per_bucket)
+                .select("__hk", "__hb", F.lit(True).alias("__hot")))
+        on = [F.col(key).eqNullSafe(F.col("__hk")), F.col("__b").eqNullSafe(F.col("__hb"))]
+        x = (x.join(F.broadcast(hot), on, "left")
+              .withColumn("__f", F.when(F.col("__hot"), fine_bucket))
+              .drop("__hk", "__hb", "__hot"))
+    w_in = Window.partitionBy(key, *pieces).orderBy(*order)
     x = (x.withColumn("__lead_in", F.lead(value).over(w_in))
           .withColumn("__is_last", F.lead(F.lit(True)).over(w_in).isNull())
           .withColumn("__is_head", F.lag(F.lit(True)).over(w_in).isNull()))
-    # the first row of each bucket is already flagged by the bucket window
-    heads = x.where(F.col("__is_head")).select(key, "__b", F.col(value).alias("__head"))
-    w_b = Window.partitionBy(key).orderBy("__b")
+    # the first row of each piece is already flagged by the piece window
+    heads = x.where(F.col("__is_head")).select(key, *pieces, F.col(value).alias("__head"))
+    w_b = Window.partitionBy(key).orderBy(*pieces)
     heads = heads.select(
-        key, "__b",
+        key, *pieces,
         F.lead("__head").over(w_b).alias("__next_head"),
         F.lag(F.lit(True)).over(w_b).isNull().alias("__first_b"))
-    out = join_back(x, heads, [key, "__b"])
+    out = join_back(x, heads, [key, *pieces])
     out = out.withColumn(name, F.when(F.col("__is_last"), F.col("__next_head"))
                          .otherwise(F.col("__lead_in")))
     if first_flag:
         out = out.withColumn(first_flag, F.col("__is_head") & F.col("__first_b"))
-    return out.drop("__b", "__lead_in", "__is_last", "__is_head", "__next_head", "__first_b")
+    return out.drop(*pieces, "__lead_in", "__is_last", "__is_head", "__next_head", "__first_b")
 
 
 def state_at(df: DataFrame, key: str, time: str, state: str, at: Column,

@@ -630,7 +630,7 @@ def days_to_milestone_lead(spark: SparkSession, d: str) -> DataFrame:
     kept = tagged.where((F.col("o_orderkey") == F.col("anchor_key"))
                         | ((F.col("o_orderstatus") == "F") & (F.col("odate") > F.col("anchor_date"))))
     with_next = next_value(kept, "o_custkey", ["odate", "o_orderkey"], "odate", "next_date",
-                           bucket=F.year("odate"))
+                           bucket=F.year("odate"), fine_bucket=F.col("odate"))
     days = (with_next.where((F.col("o_orderkey") == F.col("anchor_key"))
                             & F.col("next_date").isNotNull())
             .select(F.datediff("next_date", "odate").alias("days")))

@@ -220,3 +220,27 @@ def test_dense_ids_special_doubles(spark):
     got = dense_ids(df, ["a", "b", "id"], "rid", rows_per_bucket=10, min_buckets=4)
     want = df.withColumn("rid", F.row_number().over(Window.orderBy("a", "b", "id")))
     assert rows(got, "id", "rid") == rows(want, "id", "rid")
+
+
+def test_next_value_splits_hot_hour(spark):
+    # key 0 has 400 rows in one hour; with rows_per_bucket=50 that hour is
+    # windowed per second, and the result must still equal lead()
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 1, 10)
+    data = [(i, 0 if i < 400 else rnd.randrange(1, 9),
+             base + dt.timedelta(seconds=rnd.randrange(0, 3600) if i < 400 else rnd.randrange(0, 86400)),
+             rnd.choice("abcd")) for i in range(700)]
+    data.append((700, None, base, "z"))
+    data.append((701, 3, None, "y"))
+    df = spark.createDataFrame(data, "id long, k long, ts timestamp_ntz, s string")
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    want = df.withColumn("n", F.lead("s").over(w)).withColumn(
+        "first", F.row_number().over(w) == 1)
+    got = next_value(df, "k", ["ts", "id"], "s", "n", first_flag="first", rows_per_bucket=50)
+    assert rows(got, "id", "n", "first") == rows(want, "id", "n", "first")
+    # a date order with a caller's month bucket refined by the day
+    d = df.withColumn("day", F.to_date("ts"))
+    got = next_value(d, "k", ["day", "id"], "s", "n", bucket=F.trunc("day", "month"),
+                     fine_bucket=F.col("day"), rows_per_bucket=20)
+    want = d.withColumn("n", F.lead("s").over(Window.partitionBy("k").orderBy("day", "id")))
+    assert rows(got, "id", "n") == rows(want, "id", "n")
