@@ -63,6 +63,10 @@ PROBE_PAIRS = [
     ("next event type (lead)", "next event type: window lead",
      "next event type: next_value (user, hour buckets)",
      "`next_value`: window per (user, hour), bucket heads linked by a small window"),
+    ("next event type, hot user's third of the log in one hour", "next event type, hot user in one hour: window lead",
+     "next event type, hot user in one hour: next_value, hot hour per second",
+     "`next_value`: the hot (user, hour) is windowed per second (`rows_per_bucket=3125`); with hour buckets only "
+     "it would read {next event type, hot user in one hour: next_value, hour buckets only} rows"),
     ("state at a date", "state at date: window lead + IS NULL",
      "state at date: state_at (max_by aggregate)", "`state_at`: `max_by` aggregate, combined map-side"),
     ("average per user on every row", "average per user on every row: window avg",
@@ -86,6 +90,8 @@ def probe_section(d):
              "256 MB). The largest number of shuffle rows read by a single task, from Spark's event log:", "",
              "| question | plain window | casework operator | how |", "| --- | ---: | ---: | --- |"]
     for q, a, b, how in PROBE_PAIRS:
+        for k, v in m.items():  # "{variant}" in the text is that variant's count
+            how = how.replace("{" + k + "}", f"{v:,}")
         lines.append(f"| {q} | {m[a]:,} | {m[b]:,} | {how} |")
     lines += ["",
               "A first version of `first_per` / `nth_per` used an aggregate plus a join back; the probe showed that form",

@@ -61,6 +61,11 @@ def main() -> None:
     e = spark.read.parquet(src).withColumn("day", F.to_date("ts"))
     total = e.count()
     w_user = Window.partitionBy("user_id")
+    # the hot user's third of the log squeezed into one hour (10:00 - 11:00)
+    in_hour = F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.lit(1), F.lit(10),
+                                   (F.col("event_id") / 60).cast("int") % 60, F.col("event_id") % 60)
+    eh = e.withColumn("ts", F.when(F.col("user_id") == 0, in_hour.cast(e.schema["ts"].dataType))
+                      .otherwise(F.col("ts")))
 
     variants = {
         "first day per user: window dense_rank = 1":
@@ -79,6 +84,14 @@ def main() -> None:
             e.withColumn("n", F.lead("event_type").over(w_user.orderBy("ts", "event_id"))),
         "next event type: next_value (user, hour buckets)":
             next_value(e, "user_id", ["ts", "event_id"], "event_type", "n"),
+        "next event type, hot user in one hour: window lead":
+            eh.withColumn("n", F.lead("event_type").over(w_user.orderBy("ts", "event_id"))),
+        "next event type, hot user in one hour: next_value, hour buckets only":
+            next_value(eh, "user_id", ["ts", "event_id"], "event_type", "n",
+                       rows_per_bucket=1 << 40),
+        "next event type, hot user in one hour: next_value, hot hour per second":
+            next_value(eh, "user_id", ["ts", "event_id"], "event_type", "n",
+                       rows_per_bucket=3125),
         "state at date: window lead + IS NULL":
             e.where(F.col("day") <= "2024-01-15").withColumn(
                 "n", F.lead("event_id").over(w_user.orderBy("ts", "event_id"))).where("n IS NULL"),
