@@ -10,7 +10,8 @@ from casework.operators.rewards import (  # noqa: F401
     pay_per_unit, points, price_by, rule_ladder, within_days_after,
 )
 from casework.operators.rates import (  # noqa: F401
-    cond_counts, correlation_label, correlation_summary, share_of_total, success_rate,
+    cond_counts, correlation_label, correlation_summary, distinct_and_flagged, share_of_total,
+    success_rate,
 )
 from casework.operators.multivalue import explode_bag, tagged_explode_outer  # noqa: F401
 from casework.operators.lifecycle import (  # noqa: F401

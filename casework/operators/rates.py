@@ -23,6 +23,21 @@ def cond_counts(df: DataFrame, by: str | Sequence[str] | None,
     return df.groupBy(*by).agg(*aggs)
 
 
+def distinct_and_flagged(df: DataFrame, key: str, cond: Column, total_name: str,
+                         flagged_name: str) -> DataFrame:
+    """``count(DISTINCT key)`` and ``count(DISTINCT CASE WHEN cond THEN key END)``.
+
+    Two distinct aggregates over different expressions make Spark copy every
+    row once per expression (``Expand``) before the shuffle. Here each key
+    is reduced to one row first (a partial aggregate: does any of its rows
+    match?), then one global count reads those rows. NULL keys are not
+    counted, as in ``count(DISTINCT ...)``.
+    """
+    per_key = df.groupBy(key).agg(F.bool_or(F.coalesce(cond, F.lit(False))).alias("__any"))
+    return per_key.agg(F.count(key).alias(total_name),
+                       F.count_if(F.col("__any") & F.col(key).isNotNull()).alias(flagged_name))
+
+
 def share_of_total(counts: DataFrame, count_col: str, name: str = "percentage",
                    scale: int = 2) -> DataFrame:
     """``100.0 * n / sum(n) over ()`` for an already aggregated frame.

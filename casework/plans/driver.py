@@ -28,7 +28,8 @@ from casework.functions import (
 from casework.functions.arrays import bag_edit
 from casework.operators import (
     cond_counts, contract_summary, correlation_summary, counted_list, dense_ids,
-    dense_rank_column, filtered_lists, first_after_anchor, first_event_anchor, first_per,
+    dense_rank_column, distinct_and_flagged, filtered_lists, first_after_anchor,
+    first_event_anchor, first_per,
     join_back, last_before_anchor, member_flag, milestone_after_anchor, next_value,
     nth_per, ordered_list, pay_per_unit, points, price_by, relative_to_anchor,
     share_of_total, sort_like_sql, state_at, success_rate, tagged_explode_outer,
@@ -531,8 +532,7 @@ def churn_rate(spark: SparkSession, d: str) -> DataFrame:
     """All users, and the percent who had an error of value above 200."""
     t = Tables(spark, d)
     churned = (F.col("event_type") == "error") & (F.col("value") > 200)
-    c = t.events.agg(F.countDistinct("user_id").alias("n_customers"),
-                     F.countDistinct(F.when(churned, F.col("user_id"))).alias("n_churned"))
+    c = distinct_and_flagged(t.events, "user_id", churned, "n_customers", "n_churned")
     return c.select("n_customers", percent_text("n_churned", "n_customers", 1).alias("churn"))
 
 

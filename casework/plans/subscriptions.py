@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from casework.functions import day_bucket_label, exact_ratio, month_start, percent_text
 from casework.operators import (
-    milestone_after_anchor, next_value, nth_per, share_of_total, sort_like_sql, state_at,
-    with_scalars,
+    distinct_and_flagged, milestone_after_anchor, next_value, nth_per, share_of_total,
+    sort_like_sql, state_at, with_scalars,
 )
 
 # Plan ids with a role in the questions.
@@ -54,9 +54,8 @@ def events_after(subs: DataFrame, plans: DataFrame, bound: str = "2021-01-01",
 
 
 def churn_rate(subs: DataFrame) -> DataFrame:
-    c = subs.agg(F.countDistinct("customer_id").alias("n_customers"),
-                 F.countDistinct(F.when(F.col("plan_id") == CHURN, F.col("customer_id")))
-                 .alias("__churned"))
+    c = distinct_and_flagged(subs, "customer_id", F.col("plan_id") == CHURN,
+                             "n_customers", "__churned")
     return c.select("n_customers", percent_text("__churned", "n_customers", 1).alias("churn"))
 
 

@@ -244,3 +244,15 @@ def test_next_value_splits_hot_hour(spark):
                      fine_bucket=F.col("day"), rows_per_bucket=20)
     want = d.withColumn("n", F.lead("s").over(Window.partitionBy("k").orderBy("day", "id")))
     assert rows(got, "id", "n") == rows(want, "id", "n")
+
+
+def test_distinct_and_flagged_equals_two_distinct_counts(skewed):
+    from casework.operators import distinct_and_flagged
+    d = skewed.union(skewed.limit(3).withColumn("k", F.lit(None).cast("long")))
+    cond = (F.col("state") == "a") & (F.col("v") > 1)
+    got = distinct_and_flagged(d, "k", cond, "n", "m").collect()
+    want = d.agg(F.countDistinct("k").alias("n"),
+                 F.countDistinct(F.when(cond, F.col("k"))).alias("m")).collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
+    none = distinct_and_flagged(d.where("v < 0"), "k", cond, "n", "m").collect()
+    assert [tuple(r) for r in none] == [(0, 0)]
