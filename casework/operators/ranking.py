@@ -136,7 +136,8 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str = "row_id",
               rows_per_bucket: int = 1_000_000, min_buckets: int | None = None) -> DataFrame:
     """``row_number() over (order by <order>)`` without a single-partition window.
 
-    The leading order column (numeric) is cut into equal value ranges, about
+    The leading order column (numeric, date or timestamp) is cut into equal
+    value ranges, about
     ``rows_per_bucket`` rows each on evenly spread keys, and at least
     ``min_buckets`` ranges (default: the session's shuffle partition count)
     so that small inputs still spread over all cores. A one-row aggregate
@@ -145,7 +146,8 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str = "row_id",
 
     A range holding more than twice the target (a hot leading value) is split
     further: its rows are keyed by (leading value, equal-width range of the
-    second order column, if numeric), which is still monotone in the order.
+    second order column, if numeric, date or timestamp), which is still
+    monotone in the order.
 
     Rows are counted per key, a running sum over the keys gives each key's
     offset (a window over one row per key, not per input row), and
@@ -159,9 +161,14 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str = "row_id",
     """
     order = list(order)
     lead = order[0]
-    second = None
-    if len(order) > 1 and isinstance(df.schema[order[1]].dataType, T.NumericType):
-        second = order[1]
+    lead_type = df.schema[lead].dataType
+    lead_d = _order_image(F.col(lead), lead_type)
+    if lead_d is None:
+        raise TypeError(f"dense_ids: leading order column {lead} must be numeric, date or "
+                        f"timestamp, not {lead_type.simpleString()}")
+    second_d = None
+    if len(order) > 1:
+        second_d = _order_image(F.col(order[1]), df.schema[order[1]].dataType)
     if min_buckets is None:
         conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
         min_buckets = int(conf) if str(conf).isdigit() else 200
@@ -173,15 +180,13 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str = "row_id",
     # of their own at the ends. Key columns are never NULL, so plain
     # equi-joins keep the hash partitioning the numbering window needs (no
     # second shuffle of the rows).
-    lead_d = F.col(lead).cast("double")
     stats = scalar_row(df.agg(
         F.min(_finite(lead_d)).alias("lo"),
         ((F.max(_finite(lead_d)) - F.min(_finite(lead_d)) + 1) / n_buckets).alias("width")))
     keyed = df.withColumn("__b", _range_number(lead_d, stats.getField("lo"),
                                                stats.getField("width")))
     keys = ["__b"]
-    if second is not None:
-        second_d = F.col(second).cast("double")
+    if second_d is not None:
         per_range = keyed.groupBy("__b").agg(F.count(F.lit(1)).alias("__nb"),
                                              F.min(_finite(second_d)).alias("__lo2"),
                                              F.max(_finite(second_d)).alias("__hi2"))
@@ -189,7 +194,9 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str = "row_id",
         per_range = per_range.select(
             "__b", (F.col("__nb") > 2 * rows_per_bucket).alias("__hot"), "__lo2",
             ((F.col("__hi2") - F.col("__lo2") + 1) / n_sub).alias("__w2"))
-        zero = F.lit(0).cast(df.schema[lead].dataType)
+        # any constant of the leading type: a hot range holds either values or NULLs
+        zero = F.lit(0) if isinstance(lead_type, T.NumericType) else F.lit("1970-01-01")
+        zero = zero.cast(lead_type)
         # one row per range: at most max(count / rows_per_bucket, min_buckets)
         # rows by construction, so the broadcast is bounded
         keyed = (keyed.join(F.broadcast(per_range), "__b")
@@ -218,6 +225,22 @@ def _finite(x: Column) -> Column:
     return F.when(~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))), x)
 
 
+def _order_image(c: Column, dtype: T.DataType) -> Column | None:
+    """A double that never decreases when ``c`` increases, or None if the
+    type has none here. Zone-less timestamps map through their date and time
+    of day, so no daylight-saving gap reorders them."""
+    if isinstance(dtype, T.NumericType):
+        return c.cast("double")
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c).cast("double")
+    if isinstance(dtype, T.TimestampNTZType):
+        return (F.unix_date(F.to_date(c)).cast("double") * 86400.0 + F.hour(c) * 3600.0
+                + F.minute(c) * 60.0 + F.date_part(F.lit("SECOND"), c).cast("double"))
+    return None
+
+
 def _range_number(x: Column, lo: Column, width: Column) -> Column:
     """Monotone range number of ``x`` (double) under equal-width finite ranges."""
     return (F.when(x.isNull(), F.lit(_NULL_RANGE))

@@ -256,3 +256,33 @@ def test_distinct_and_flagged_equals_two_distinct_counts(skewed):
     assert [tuple(r) for r in got] == [tuple(r) for r in want]
     none = distinct_and_flagged(d.where("v < 0"), "k", cond, "n", "m").collect()
     assert [tuple(r) for r in none] == [(0, 0)]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_dense_ids_date_and_timestamp_columns(spark, zone):
+    # a hot leading date split by a zone-less timestamp (including times in a
+    # daylight-saving gap), and a timestamp leading column
+    rnd = random.Random(5)
+    base = dt.datetime(2024, 3, 10, 0, 0)
+    data = []
+    for i in range(400):
+        day = dt.date(2024, 3, 10) if i % 2 == 0 else dt.date(2024, 1, 1) + dt.timedelta(rnd.randrange(0, 200))
+        t = base + dt.timedelta(minutes=rnd.randrange(0, 240), microseconds=rnd.randrange(0, 10**6))
+        data.append((i, day, t, None if i % 37 == 0 else t))
+    df = spark.createDataFrame(data, "id int, d date, t timestamp_ntz, z timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for order in (["d", "t", "id"], ["z", "id"]):
+            src = df if order[0] != "z" else df.withColumn("z", F.col("z").cast("timestamp"))
+            got = dense_ids(src, order, "rid", rows_per_bucket=20, min_buckets=4)
+            want = src.withColumn("rid", F.row_number().over(Window.orderBy(*order)))
+            assert rows(got, "id", "rid") == rows(want, "id", "rid")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_dense_ids_rejects_text_leading_column(spark):
+    df = spark.createDataFrame([("a", 1)], "s string, n int")
+    with pytest.raises(TypeError):
+        dense_ids(df, ["s", "n"], "rid")
