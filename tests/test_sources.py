@@ -54,3 +54,15 @@ def test_tables_share_readers_and_refresh(spark, tmp_path):
     frame(spark, "menu", MENU).write.mode("append").parquet(str(tmp_path / "menu.parquet"))
     Tables.refresh()
     assert Tables(spark, str(tmp_path)).menu.count() == 6
+
+
+def test_scale_conf_sizes_partitions_from_input():
+    from casework.session import scale_conf
+    tb100 = 100 * 1024 ** 4
+    c = scale_conf(tb100, total_cores=8000)
+    n = int(c["spark.sql.shuffle.partitions"])
+    assert n == -(-tb100 // (256 * 1024 ** 2))          # ~400k partitions of 256 MB
+    assert c["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == str(n)
+    assert int(c["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) == 128 * 1024 ** 2
+    # small input: at least three waves of tasks
+    assert scale_conf(10 * 1024 ** 2, total_cores=64)["spark.sql.shuffle.partitions"] == "192"
