@@ -113,6 +113,8 @@ def main():
         probe = probe_section(json.load(open(sys.argv[2])))
     else:
         probe = old[old.index("## Skew probe"):] if "## Skew probe" in old else ""
+    census = subprocess.run([sys.executable, os.path.join(HERE, "plan_census.py"), sf_dir],
+                            capture_output=True, text=True, check=True).stdout
     with open(path, "w") as f:
         f.write("# Physical plans\n\n"
                 "Formatted physical plans of representative jobs at sf 0.1 (Spark 4.1.2, `local[*]`, 16 shuffle\n"
@@ -123,6 +125,14 @@ def main():
         for n in order:
             head, rest = body[n].split("\n", 1)
             f.write(head + "\n\n" + notes[n] + "\n" + rest + "\n")
+        f.write("## Every registered job: operator census\n\n"
+                "Counted by `scripts/plan_census.py` from each job's *final* adaptive plan after one run at\n"
+                "the same scale (main query and scalar subqueries; `reused` = exchanges AQE reused instead of\n"
+                "shuffling again). `hash`/`range`/`single` are shuffles by partitioning; `partial limit` is the\n"
+                "map-side `WindowGroupLimit` of rank filters; `sort agg` comes from `min`/`max_by` over struct\n"
+                "orderings (still partial per map task). Broadcasts here are AQE's or static choices under\n"
+                "the size threshold, plus the two bounded hints (`dense_ids` ranges, `next_value` hot pairs).\n\n"
+                + census + "\n")
         f.write(probe)
 
 
