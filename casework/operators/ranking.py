@@ -7,9 +7,10 @@ Design for skew (measured with ``scripts/skew_probe.py``)
   before the shuffle: every map task keeps only its local top-k rows per
   key, so a key holding a third of the rows ships a handful of rows, not a
   third of the table.
-* The global top with ties (no partition key) filters rows equal to the
-  maximum, a scalar subquery run once, so no single task ever sees more than
-  its own input split.
+* The global top with ties (no partition key) is the same rank filter over
+  one global window: the partial group limit leaves each map task's best
+  rows only, so the final task sees a few rows per map task (all of them
+  tied for the top, hence output) and the input is computed once.
 * Ranks materialised for every row (``dense_rank`` as a column) rank the
   distinct (group, value) pairs and join the rank back: the window sees one
   row per distinct value, not one per input row.
@@ -78,14 +79,17 @@ def top_with_ties(df: DataFrame, value: str, by: str | Sequence[str] | None = No
 
     ``largest=True`` keeps the maximum (``ORDER BY value DESC``), else the
     minimum. Ties are all kept. Per group this is the window with a rank
-    filter (partial group limit before the shuffle). Without groups, rows
-    equal to the maximum (a scalar subquery) are kept; NULL values never win
-    there.
+    filter (partial group limit before the shuffle). Without groups it is
+    the same filter over one global window: each map task keeps only its
+    local best rows (ties included) and only those meet in the final task,
+    so ``df`` is computed once. NULL values never win there.
     """
     by = _as_list(by)
     if not by:
-        best = df.agg(F.max(value) if largest else F.min(value)).scalar()
-        return df.where(F.col(value) == best)
+        o = F.col(value).desc() if largest else F.col(value).asc()
+        return (df.where(F.col(value).isNotNull())
+                  .withColumn("__r", F.rank().over(Window.orderBy(o)))
+                  .where(F.col("__r") == 1).drop("__r"))
     w = Window.partitionBy(*by).orderBy(_ordered(value, largest))
     return df.withColumn("__r", F.rank().over(w)).where(F.col("__r") == 1).drop("__r")
 

@@ -286,3 +286,10 @@ def test_dense_ids_rejects_text_leading_column(spark):
     df = spark.createDataFrame([("a", 1)], "s string, n int")
     with pytest.raises(TypeError):
         dense_ids(df, ["s", "n"], "rid")
+
+
+def test_global_top_with_ties_skips_nulls(spark):
+    df = spark.createDataFrame([(1, None), (2, 5), (3, 5), (4, 2)], "id int, v int")
+    assert rows(top_with_ties(df, "v"), "id") == [(2,), (3,)]
+    assert rows(top_with_ties(df, "v", largest=False), "id") == [(4,)]
+    assert top_with_ties(df.where("v IS NULL"), "v").count() == 0
