@@ -293,3 +293,11 @@ def test_global_top_with_ties_skips_nulls(spark):
     assert rows(top_with_ties(df, "v"), "id") == [(2,), (3,)]
     assert rows(top_with_ties(df, "v", largest=False), "id") == [(4,)]
     assert top_with_ties(df.where("v IS NULL"), "v").count() == 0
+
+
+def test_global_top_with_ties_limits_before_the_single_partition(skewed):
+    counts = skewed.groupBy("k", "state").agg(F.count(F.lit(1)).alias("n"))
+    plan = top_with_ties(counts, "n")._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+    # no scalar subquery: the input is computed once
+    assert "Subquery" not in plan
