@@ -43,7 +43,9 @@ def share_of_total(counts: DataFrame, count_col: str, name: str = "percentage",
     """``100.0 * n / sum(n) over ()`` for an already aggregated frame.
 
     The total is a one-row aggregate read as a scalar subquery, so the
-    grouped rows never have to meet in a single window partition.
+    grouped rows never have to meet in a single window partition. The
+    subquery shares the exchanges of ``counts`` that AQE has already
+    materialised; whatever it cannot reuse it computes again.
     """
     total = counts.agg(F.sum(count_col)).scalar()
     return counts.withColumn(name, exact_ratio(F.col(count_col), total, scale, 100)
