@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from casework.llm import substring_dedup
+from casework.llm import packing, substring_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
+    "op5_packing": packing.op5_packing,
 }
 
 SQL = {
