@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from casework.llm import packing, substring_dedup
+from casework.llm import language_id, packing, substring_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op5_packing": packing.op5_packing,
+    "op7_language_id": language_id.op7_language_id,
 }
 
 SQL = {
