@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from casework.llm import language_id, packing, substring_dedup
+from casework.llm import language_id, license_scan, packing, substring_dedup, warc
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
+    "op2_warc": warc.op2_warc,
+    "op3_license_scan": license_scan.op3_license_scan,
     "op5_packing": packing.op5_packing,
     "op7_language_id": language_id.op7_language_id,
 }
 
 SQL = {
     "op1_substring_dedup": substring_dedup.ORACLE_SQL,
+    "op2_warc": warc.ORACLE_SQL,
+    "op3_license_scan": license_scan.ORACLE_SQL,
 }
