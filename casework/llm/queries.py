@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from casework.llm import language_id, license_scan, packing, substring_dedup, warc
+from casework.llm import language_id, license_scan, ngram_join, packing, substring_dedup, warc
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_warc": warc.op2_warc,
     "op3_license_scan": license_scan.op3_license_scan,
+    "op4_ngram_join": ngram_join.op4_ngram_join,
     "op5_packing": packing.op5_packing,
     "op7_language_id": language_id.op7_language_id,
 }
@@ -16,4 +17,5 @@ SQL = {
     "op1_substring_dedup": substring_dedup.ORACLE_SQL,
     "op2_warc": warc.ORACLE_SQL,
     "op3_license_scan": license_scan.ORACLE_SQL,
+    "op4_ngram_join": ngram_join.ORACLE_SQL,
 }
