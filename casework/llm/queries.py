@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from casework.llm import language_id, license_scan, ngram_join, packing, substring_dedup, warc
+from casework.llm import language_id, license_scan, ngram_join, packing, pii, substring_dedup, warc
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_license_scan": license_scan.op3_license_scan,
     "op4_ngram_join": ngram_join.op4_ngram_join,
     "op5_packing": packing.op5_packing,
+    "op6_pii": pii.op6_pii,
     "op7_language_id": language_id.op7_language_id,
 }
 
