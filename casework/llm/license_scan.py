@@ -3,8 +3,8 @@
 A block is a line of a document. A block meets a template when it holds at
 least ``threshold`` of the template's distinct words. The join is exact:
 
-* the words of the templates are put in the order of their number of
-  documents in the whole table, rarest first (words that no template has
+* the words of the templates are put in the order of how often they occur
+  in all texts of the table, rarest first (words that no template has
   cannot add to an overlap and are left out of the blocks' sets);
 * prefix filter: with ``least`` common words demanded, the first common word
   lies in the first ``|T| - least + 1`` words of the template and in the first
