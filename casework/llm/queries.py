@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from casework.llm import embedding_dedup, html_extract, language_id, license_scan, ngram_join, packing, pii, substring_dedup, warc
+from casework.llm import decontaminate, embedding_dedup, html_extract, language_id, license_scan, ngram_join, packing, pii, substring_dedup, warc
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_language_id": language_id.op7_language_id,
     "op8_html_extract": html_extract.op8_html_extract,
     "op9_embedding_dedup": embedding_dedup.op9_embedding_dedup,
+    "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 
 SQL = {
