@@ -206,10 +206,11 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
     classes = stage(own.where("sid is not null and doc_id is not null").groupBy("sid")
                     .agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n")), "ngram-classes")
     order = spark.sparkContext.broadcast(frequent_grams(live, width))
-    shared = stage(prefixes(live, order, width, percent).groupBy("gram").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"))
+    # copies in several batches give equal rows; a gram that one class has leaves first
+    prefix = stage(prefixes(live, order, width, percent), "ngram-prefixes")
+    shared = stage(prefix.groupBy("gram").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"))
                    .where("lo <> hi").select("gram"), "ngram-shared")
-    # copies in several batches give equal rows
-    members = stage(prefixes(live, order, width, percent).join(shared, "gram").distinct(), "ngram-members")
+    members = stage(prefix.join(shared, "gram").distinct(), "ngram-members")
 
     hubs = stage(members.groupBy("gram").agg(F.min(F.struct("sid", "n", "i")).alias("hub"))
                  .select("gram", F.col("hub.sid").alias("sid"), F.col("hub.n").alias("n"), F.col("hub.i").alias("i")), "ngram-hubs")
