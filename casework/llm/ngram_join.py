@@ -39,6 +39,7 @@ from casework.llm.common import (
 SHINGLE = 5
 PERCENT = 80               # links: 100 * intersection >= PERCENT * union
 FRAGMENTS = 16             # of the global order
+EARLY = 4                  # fragments that are compared first
 FREQUENT = 32              # counted occurrences from which an n-gram is frequent
 MOST_FREQUENT = 1 << 18    # frequent n-grams that are broadcast (16 bytes each)
 
@@ -176,18 +177,36 @@ def _pass_filters(a: str, b: str, percent: int):
             & (1 + F.least(n - i - 1, m - j - 1) >= _least_overlap(n, m, percent)))
 
 
-def verified(pairs: DataFrame, sizes: DataFrame, parts: DataFrame, name: str, percent: int = PERCENT) -> DataFrame:
-    """The linked ones of ``pairs`` (a, b): partial overlaps per fragment,
-    summed per pair."""
+def _overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """(a, b, c): the partial overlaps of the pairs in the fragments of
+    ``parts``, summed per pair."""
     left = parts.select(F.col("sid").alias("a"), "fragment", F.col("members").alias("x"))
     right = parts.select(F.col("sid").alias("b"), "fragment", F.col("members").alias("y"))
+    # a fragment that one side lacks adds nothing to the overlap
     partial = (pairs.select("a", "b").join(left, "a").join(right, ["b", "fragment"])
                .select("a", "b", F.size(F.array_intersect("x", "y")).alias("c")))
-    total = stage(partial.groupBy("a", "b").agg(F.sum("c").alias("c")), f"{name}-overlaps")
+    return partial.groupBy("a", "b").agg(F.sum("c").alias("c"))
+
+
+def verified(pairs: DataFrame, sizes: DataFrame, parts: DataFrame, name: str, percent: int = PERCENT, early: int = EARLY) -> DataFrame:
+    """The linked ones of ``pairs`` (a, b): partial overlaps per fragment,
+    summed per pair. The first ``early`` fragments come first; a pair whose
+    overlap there leaves too little for the others is out."""
     n = sizes.select(F.col("sid").alias("a"), F.col("n").alias("n_a"))
     m = sizes.select(F.col("sid").alias("b"), F.col("n").alias("n_b"))
-    return (total.join(n, "a").join(m, "b")
-            .where(F.lit(100) * F.col("c") >= F.lit(percent) * (F.col("n_a") + F.col("n_b") - F.col("c"))).select("a", "b"))
+    pairs = stage(pairs.select("a", "b").join(n, "a").join(m, "b"), f"{name}-sized")
+    least = _least_overlap(F.col("n_a"), F.col("n_b"), percent)
+    own = parts.where(F.col("fragment") < early).groupBy("sid").agg(F.sum(F.size("members")).alias("s"))
+    own = stage(own, f"{name}-early-sizes")
+    first = _overlaps(pairs, parts.where(F.col("fragment") < early))
+    some = stage(pairs.join(first, ["a", "b"], "left").join(own.select(F.col("sid").alias("a"), F.col("s").alias("s_a")), "a", "left")
+                 .join(own.select(F.col("sid").alias("b"), F.col("s").alias("s_b")), "b", "left")
+                 .na.fill(0, ["c", "s_a", "s_b"])
+                 .where(F.col("c") + F.least(F.col("n_a") - F.col("s_a"), F.col("n_b") - F.col("s_b")) >= least)
+                 .select("a", "b", "n_a", "n_b", F.col("c").alias("c_early")), f"{name}-early")
+    rest = _overlaps(some, parts.where(F.col("fragment") >= early))
+    total = some.join(rest, ["a", "b"], "left").withColumn("c", F.col("c_early") + F.coalesce("c", F.lit(0)))
+    return total.where(F.lit(100) * F.col("c") >= F.lit(percent) * (F.col("n_a") + F.col("n_b") - F.col("c"))).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -246,6 +265,15 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))
 
 
+def keep_one(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one document of each component, that of the smallest id;
+    of rows that repeat it one stays. Rows without an id stay. All columns
+    stay."""
+    kept = near_duplicates(docs, width, percent).where("doc_id = component_id").select("doc_id").distinct()
+    rows = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    return rows.union(docs.where(F.col("doc_id").isNull()))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return near_duplicates(table(spark, sf_dir, "documents"))
