@@ -147,7 +147,8 @@ def train(docs: DataFrame, rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES) ->
     picked = (known.where(F.col("lang").isin([r["lang"] for r in counts]))
               .select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"),
                       ((F.xxhash64("doc_id", "text").cast("double") / 2.0**64 + 0.5) * weight).alias("at"))
-              .orderBy("at", "text").limit(rows * len(counts)).collect())
+              # that many of a language are expected, and no more than that go to the driver
+              .where(F.col("at") < 2.0 * rows).orderBy("at", "text").limit(rows * len(counts)).collect())
     samples = {r["lang"]: b"" for r in counts}
     for r in picked:
         samples[r["lang"]] += r["text"].encode() + b" "
@@ -159,6 +160,36 @@ def train(docs: DataFrame, rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES) ->
 _LETTER = r"\p{L}"
 
 
+def _labels(batch: pa.RecordBatch, letters: np.ndarray, m: CrossParser):
+    """(first row, end row, language numbers, scores) of the batch's slices;
+    the number after the last language is ``und``."""
+    for lo, hi, buf, off in text_slices(batch, "text", 1 << 22):
+        best, score = np.full(hi - lo, len(m.langs)), np.zeros(hi - lo)
+        if m.langs:
+            cost = m.costs(buf, off)
+            best = np.argmin(cost, axis=1)
+            low = cost[np.arange(hi - lo), best]
+            if len(m.langs) > 1:
+                cost[np.arange(hi - lo), best] = np.inf
+                score = 1 - low / np.maximum(cost.min(axis=1), 1e-300)
+            else:
+                score = np.ones(hi - lo)
+            none = ~letters[lo:hi]
+            best[none], score[none] = len(m.langs), 0
+        yield lo, hi, best, np.clip(score, 0, 1)
+
+
+def _has_letters(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column(batch.schema.get_field_index(_MARK)).to_numpy(zero_copy_only=False).astype(bool)
+
+
+def _marked(docs: DataFrame) -> DataFrame:
+    return docs.withColumn(_MARK, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+
+
+_MARK = "has letters (language_id)"
+
+
 def predict(docs: DataFrame, model: CrossParser) -> DataFrame:
     """(doc_id, lang_pred, score) of each row.
 
@@ -171,29 +202,31 @@ def predict(docs: DataFrame, model: CrossParser) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        m = shared.value
-        langs = np.array([*m.langs, "und"], object)
+        langs = np.array([*shared.value.langs, "und"], object)
         for b in batches:
-            letters = b.column(2).to_numpy(zero_copy_only=False).astype(bool)
-            for lo, hi, buf, off in text_slices(b, "text", 1 << 22):
-                best, score = np.full(hi - lo, len(m.langs)), np.zeros(hi - lo)
-                if m.langs:
-                    cost = m.costs(buf, off)
-                    best = np.argmin(cost, axis=1)
-                    low = cost[np.arange(hi - lo), best]
-                    if len(m.langs) > 1:
-                        cost[np.arange(hi - lo), best] = np.inf
-                        score = 1 - low / np.maximum(cost.min(axis=1), 1e-300)
-                    else:
-                        score = np.ones(hi - lo)
-                    none = ~letters[lo:hi]
-                    best[none], score[none] = len(m.langs), 0
-                yield record_batch(_OUT_PA, b.column(0).slice(lo, hi - lo), langs[best].tolist(), np.clip(score, 0, 1))
-
-    return docs.select("doc_id", "text", F.coalesce(F.col("text").rlike(_LETTER), F.lit(False)).alias("letters")).mapInArrow(run, _OUT)
+            for lo, hi, best, score in _labels(b, _has_letters(b), shared.value):
+                yield record_batch(_OUT_PA, b.column(0).slice(lo, hi - lo), langs[best].tolist(), score)
+
+    return _marked(docs.select("doc_id", "text")).mapInArrow(run, _OUT)
+
+
+def drop_unknown(docs: DataFrame, model: CrossParser) -> DataFrame:
+    """``docs`` without the rows that get no language (``und``); all columns
+    stay, and every decision is made where the row is."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for b in batches:
+            keep = np.zeros(b.num_rows, bool)
+            for lo, hi, best, _ in _labels(b, _has_letters(b), shared.value):
+                keep[lo:hi] = best < len(shared.value.langs)
+            yield b.filter(pa.array(keep)).drop_columns([_MARK])
+
+    return _marked(docs).mapInArrow(run, docs.schema)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     docs = table(spark, sf_dir, "documents")
     return predict(docs, train(docs)).select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
