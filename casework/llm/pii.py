@@ -136,9 +136,19 @@ def redact(docs: DataFrame, text_col: str = "text", spans_col: str = "spans") ->
         cut = F.concat(acc["out"], F.substr(text, (acc["until"] + 1).cast("int"), F.greatest(s["start"] - acc["until"], F.lit(0)).cast("int")), F.get(names, s["kind"]))
         return F.struct(F.when(apart, cut).otherwise(acc["out"]).alias("out"), F.greatest(acc["until"], s["end"]).alias("until"))
 
-    done = F.aggregate(F.col(spans_col), F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("until")), step,
+    done = F.aggregate(F.col(f"`{spans_col}`"), F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("until")), step,
                        lambda acc: F.concat(acc["out"], F.substr(text, (acc["until"] + 1).cast("int"))))
-    return docs.withColumn(text_col, F.when(F.size(spans_col) > 0, done).otherwise(text))
+    return docs.withColumn(text_col, F.when(F.size(F.col(f"`{spans_col}`")) > 0, done).otherwise(text))
+
+
+def redacted(docs: DataFrame) -> DataFrame:
+    """``docs`` with the spans of ``text`` replaced and ``n_chars`` counted
+    anew where a text changed; all columns stay."""
+    name = "spans (pii)"
+    done = redact(detect(docs, "text", name), "text", name)
+    if "n_chars" in docs.columns:
+        done = done.withColumn("n_chars", F.when(F.size(F.col(f"`{name}`")) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return done.select(*docs.columns)
 
 
 def digest(docs: DataFrame) -> DataFrame:
