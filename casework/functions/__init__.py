@@ -1,5 +1,5 @@
 from casework.functions.clean import (  # noqa: F401
-    MISSING_TOKENS, MISSING_TOKENS_WITH_NAN, digits_as_number, null_tokens, parse_measure,
+    MISSING_TOKENS, MISSING_TOKENS_WITH_NAN, digits_as_number, null_tokens, parse_measure, unreadable_measure,
 )
 from casework.functions.arrays import bag_edit, empty_if_null, tokens  # noqa: F401
 from casework.functions.text import (  # noqa: F401

@@ -6,6 +6,8 @@ one array expression per row, so no join or shuffle is needed for it.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,15 +19,16 @@ def _col(c: str | Column) -> Column:
 def tokens(c: str | Column, sep: str = ",", element_type: str | None = None) -> Column:
     """``string_to_array(s, sep)`` with each element trimmed.
 
-    NULL stays NULL; an empty (or blank) string gives an empty array, as in
-    PostgreSQL (Spark's ``split('')`` alone would give ``['']``).
+    NULL stays NULL; an empty string gives an empty array, as in PostgreSQL
+    (Spark's ``split('')`` alone would give ``['']``), a blank one a single
+    empty element. ``sep`` is taken literally, not as an expression.
     """
     s = _col(c)
-    parts = F.transform(F.split(s, sep), lambda x: F.trim(x))
+    parts = F.transform(F.split(s, re.escape(sep)), lambda x: F.trim(x))
     if element_type:
         parts = F.transform(parts, lambda x: x.cast(element_type))
     empty = F.array().cast(f"array<{element_type or 'string'}>")
-    return F.when(s.isNull(), F.lit(None)).when(F.trim(s) == "", empty).otherwise(parts)
+    return F.when(s.isNull(), F.lit(None)).when(s == "", empty).otherwise(parts)
 
 
 def empty_if_null(arr: Column, element_type: str = "string") -> Column:

@@ -22,6 +22,10 @@ MISSING_TOKENS_WITH_NAN = ("null", "", "NaN")
 NON_NUMERIC = r"[^0-9.]"
 
 
+# Fixed value: the widest decimal that keeps digits on both sides of the point.
+MEASURE = "decimal(38,18)"
+
+
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -37,16 +41,29 @@ def null_tokens(c: str | Column, tokens: Iterable[str] = MISSING_TOKENS) -> Colu
 
 
 def parse_measure(c: str | Column, tokens: Iterable[str] = MISSING_TOKENS,
-                  dtype: str = "decimal(10,2)") -> Column:
+                  dtype: str = MEASURE) -> Column:
     """Unit-suffixed text to a number: sentinels to NULL, strip units, cast.
 
-    ``try_cast`` keeps ANSI mode from failing a whole job on a single
-    unparsable value: such a value becomes NULL instead.
+    The default type is Spark's widest decimal (20 digits before and 18 after
+    the point). ``try_cast`` keeps ANSI mode from failing a whole job on a
+    single unparsable value: such a value becomes NULL, and
+    ``unreadable_measure`` tells it from a missing one.
     """
     cleaned = F.regexp_replace(null_tokens(c, tokens), NON_NUMERIC, "")
     return F.when(cleaned != "", cleaned).try_cast(dtype)
 
 
+def unreadable_measure(c: str | Column, tokens: Iterable[str] = MISSING_TOKENS,
+                       dtype: str = MEASURE) -> Column:
+    """True where a text is given but holds no number of ``dtype``: no digit,
+    two points, or more digits before or after the point than the type has."""
+    given = null_tokens(c, tokens)
+    value = parse_measure(c, tokens, dtype)
+    digits = F.regexp_extract(F.regexp_replace(given, NON_NUMERIC, ""), r"\.([0-9]*?)0*$", 1)
+    kept = F.regexp_extract(value.cast("string"), r"\.([0-9]*?)0*$", 1)
+    return given.isNotNull() & (value.isNull() | (digits != kept))
+
+
 def digits_as_number(c: str | Column, dtype: str = "bigint") -> Column:
     """First run of digits in a text (``Brand#19`` -> 19, ``{"k": 69}`` -> 69)."""
     found = F.regexp_extract(_col(c), r"([0-9]+)", 1)

@@ -23,15 +23,17 @@ def concat_skip_nulls(*cols: str | Column) -> Column:
     return F.concat_ws("", *[_col(c).cast("string") for c in cols])
 
 
-def exact_ratio(num: str | Column, den: str | Column, scale: int, factor: int = 1) -> Column:
+def exact_ratio(num: str | Column, den: str | Column, scale: int, factor: int = 1,
+                operand: str = "decimal(20,0)") -> Column:
     """``round(factor * num / den, scale)`` computed in decimals, half away from zero.
 
-    Integer counts are widened to ``decimal(20,0)``: Spark then keeps 18
-    fractional digits in the quotient, far more than any tie needs, so the
-    rounding is exact where a double would round ``x.xx5`` either way.
+    ``operand`` is the type both sides are read as: the default is for
+    integer counts, where Spark keeps 18 fractional digits in the quotient, far
+    more than any tie needs; decimal operands name their own type, so none of
+    their digits is lost before the division.
     """
-    n = _col(num).cast("decimal(20,0)") * F.lit(factor).cast("decimal(20,0)")
-    return F.round(n / _col(den).cast("decimal(20,0)"), scale)
+    n = _col(num).cast(operand) * F.lit(factor).cast("decimal(5,0)")
+    return F.round(n / _col(den).cast(operand), scale)
 
 
 def percent_text(num: str | Column, den: str | Column, scale: int = 1) -> Column:

@@ -1,5 +1,5 @@
 from casework.operators.ranking import (  # noqa: F401
-    dense_ids, dense_rank_column, first_per, join_back, last_per, nth_per,
+    dense_ids, dense_rank_column, first_per, join_back, join_on, last_per, nth_per,
     scalar_row, sort_like_sql, top_with_ties, with_scalars,
 )
 from casework.operators.anchor import (  # noqa: F401

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casework.operators.ranking import first_per, join_back, last_per
+from casework.operators.ranking import first_per, join_on, last_per
 
 
 def first_event_anchor(events: DataFrame, key: str, time: str, where: Column | None = None,
@@ -32,7 +32,7 @@ def relative_to_anchor(events: DataFrame, anchors: DataFrame, key: str, time: st
     ``side='any'``: all events of anchored entities. Entities without an
     anchor drop out (inner join), as in a member-only report.
     """
-    joined = join_back(events, anchors, [key])
+    joined = join_on(events, anchors, [key])
     t, a = F.col(time), F.col(anchor)
     if side == "after":
         return joined.where(t >= a if inclusive else t > a)
@@ -67,5 +67,5 @@ def member_flag(events: DataFrame, anchors: DataFrame, key: str, time: str,
                 anchor: str = "anchor", name: str = "member",
                 yes: str = "Y", no: str = "N") -> DataFrame:
     """Every event with a Y/N flag: ``time >= anchor`` (left join, no anchor -> N)."""
-    joined = join_back(events, anchors, [key], how="left")
+    joined = join_on(events, anchors, [key], how="left")
     return joined.withColumn(name, F.when(F.col(time) >= F.col(anchor), yes).otherwise(no))

@@ -5,8 +5,9 @@ Event logs are keyed by entity and ordered by time. A plain
 ``lead() over (partition by entity order by time)`` sorts each entity in one
 task, which fails when one entity holds a large share of the log. The
 operators here avoid that: ``next_value`` splits every entity into hourly
-buckets (seconds inside an hour that holds too many rows), and last-state
-questions use ``max_by`` aggregates, which combine map-side.
+buckets, questions about an entity's first rows use ``first_row_next`` (a
+group limit of two rows before the shuffle), and last-state questions use
+``max_by`` aggregates, which combine map-side.
 """
 
 from __future__ import annotations
@@ -15,31 +16,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from casework.operators.ranking import join_back
+from casework.operators.ranking import join_back, join_on
 
 
 def next_value(df: DataFrame, key: str, order: Sequence[str], value: str, name: str,
-               bucket: Column | None = None, first_flag: str | None = None,
-               fine_bucket: Column | None = None,
-               rows_per_bucket: int = 1_000_000) -> DataFrame:
+               bucket: Column | None = None, first_flag: str | None = None) -> DataFrame:
     """Add ``lead(value) over (partition by key order by order...)`` as ``name``.
 
     Rows are windowed per (key, bucket), where ``bucket`` is monotone in the
     order (default: the hour of the first order column, a time or date; for
-    dates that is the day). The last
-    row of a bucket takes the first value of the entity's next non-empty
-    bucket, found on a one-row-per-bucket table (the bucket heads plus a
-    lead over buckets). The result equals the single window's, but the
-    largest sort is one entity-hour, not one entity.
-
-    A (key, bucket) holding more than ``rows_per_bucket`` rows is windowed
-    per ``fine_bucket`` instead, a finer value that is monotone in the order
-    within the bucket (default for a time column: its second; a caller's
-    ``bucket`` has none unless one is given). The hot pairs are found by a
-    partial count per (key, bucket); there are at most ``rows /
-    rows_per_bucket`` of them, so their broadcast is bounded.
+    dates that is the day). The last row of a bucket takes the first value of
+    the entity's next non-empty bucket, found on a one-row-per-bucket table
+    (the bucket heads plus a lead over buckets). The result equals the single
+    window's, but the largest sort is one entity-bucket, not one entity; a
+    finer ``bucket`` makes it smaller and the table of heads longer. Jobs
+    that ask for an entity's first rows only use ``first_row_next``.
 
     ``order`` should be total within an entity (add a tie-breaker column);
     with ties the single window's choice is arbitrary anyway. With
@@ -47,39 +39,24 @@ def next_value(df: DataFrame, key: str, order: Sequence[str], value: str, name:
     row (first row of its first bucket), read from the same two windows.
     """
     order = list(order)
-    b = bucket if bucket is not None else F.date_trunc("hour", F.col(order[0]))
-    if fine_bucket is None and bucket is None and isinstance(
-            df.schema[order[0]].dataType, (T.TimestampType, T.TimestampNTZType)):
-        fine_bucket = F.date_trunc("second", F.col(order[0]))
-    x = df.withColumn("__b", b)
-    pieces = ["__b"]
-    if fine_bucket is not None:
-        pieces = ["__b", "__f"]
-        hot = (x.groupBy(F.col(key).alias("__hk"), F.col("__b").alias("__hb"))
-                .agg(F.count(F.lit(1)).alias("__n"))
-                .where(F.col("__n") > rows_per_bucket)
-                .select("__hk", "__hb", F.lit(True).alias("__hot")))
-        on = [F.col(key).eqNullSafe(F.col("__hk")), F.col("__b").eqNullSafe(F.col("__hb"))]
-        x = (x.join(F.broadcast(hot), on, "left")
-              .withColumn("__f", F.when(F.col("__hot"), fine_bucket))
-              .drop("__hk", "__hb", "__hot"))
-    w_in = Window.partitionBy(key, *pieces).orderBy(*order)
+    x = df.withColumn("__b", bucket if bucket is not None else F.date_trunc("hour", F.col(order[0])))
+    w_in = Window.partitionBy(key, "__b").orderBy(*order)
     x = (x.withColumn("__lead_in", F.lead(value).over(w_in))
           .withColumn("__is_last", F.lead(F.lit(True)).over(w_in).isNull())
           .withColumn("__is_head", F.lag(F.lit(True)).over(w_in).isNull()))
     # the first row of each piece is already flagged by the piece window
-    heads = x.where(F.col("__is_head")).select(key, *pieces, F.col(value).alias("__head"))
-    w_b = Window.partitionBy(key).orderBy(*pieces)
+    heads = x.where(F.col("__is_head")).select(key, "__b", F.col(value).alias("__head"))
+    w_b = Window.partitionBy(key).orderBy("__b")
     heads = heads.select(
-        key, *pieces,
+        key, "__b",
         F.lead("__head").over(w_b).alias("__next_head"),
         F.lag(F.lit(True)).over(w_b).isNull().alias("__first_b"))
-    out = join_back(x, heads, [key, *pieces])
+    out = join_back(x, heads, [key, "__b"])
     out = out.withColumn(name, F.when(F.col("__is_last"), F.col("__next_head"))
                          .otherwise(F.col("__lead_in")))
     if first_flag:
         out = out.withColumn(first_flag, F.col("__is_head") & F.col("__first_b"))
-    return out.drop(*pieces, "__lead_in", "__is_last", "__is_head", "__next_head", "__first_b")
+    return out.drop("__b", "__lead_in", "__is_last", "__is_head", "__next_head", "__first_b")
 
 
 def state_at(df: DataFrame, key: str, time: str, state: str, at: Column,
@@ -104,14 +81,11 @@ def first_row_next(df: DataFrame, key: str, order: Sequence[str], value: str,
     (``lead`` read at each entity's first row.) ``order`` must be total.
     Entities with a single row get NULL.
     """
-    order = list(order)
-    ordering = F.struct(*[F.col(c) for c in order])
-    first = df.groupBy(key).agg(F.min(ordering).alias("__first"))
-    rest = join_back(df, first, [key]).where(ordering > F.col("__first"))
-    second = rest.groupBy(key).agg(F.min_by(value, ordering).alias(name))
-    firsts = (join_back(df, first, [key]).where(ordering == F.col("__first"))
-              .select(key, F.col(value).alias("current")))
-    return join_back(firsts, second, [key], how="left")
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    # the filter becomes a group limit that also runs before the shuffle
+    two = df.select(key, F.col(value).alias("__v"), rank.alias("__r")).where(F.col("__r") <= 2)
+    return two.groupBy(key).agg(F.max(F.when(F.col("__r") == 1, F.col("__v"))).alias("current"),
+                                F.max(F.when(F.col("__r") == 2, F.col("__v"))).alias(name))
 
 
 def milestone_after_anchor(anchors: DataFrame, milestones: DataFrame, key: str,
@@ -122,6 +96,6 @@ def milestone_after_anchor(anchors: DataFrame, milestones: DataFrame, key: str,
     at most once (no pairs within an entity); the minimum is a partial
     aggregate.
     """
-    cand = join_back(milestones.select(key, time), anchors.select(key, anchor), [key])
+    cand = join_on(milestones.select(key, time), anchors.select(key, anchor), [key])
     return (cand.where(F.col(time) > F.col(anchor))
                 .groupBy(key, anchor).agg(F.min(time).alias(name)))

@@ -7,15 +7,13 @@ Design for skew (measured with ``scripts/skew_probe.py``)
   before the shuffle: every map task keeps only its local top-k rows per
   key, so a key holding a third of the rows ships a handful of rows, not a
   third of the table.
-* The global top with ties (no partition key) is the same rank filter over
-  one global window: the partial group limit leaves each map task's best
-  rows only, so the final task sees a few rows per map task (all of them
-  tied for the top, hence output) and the input is computed once.
+* The global top with ties (no partition key) is a filter by the best value,
+  a one-row aggregate, so ties never meet in one task.
 * Ranks materialised for every row (``dense_rank`` as a column) rank the
   distinct (group, value) pairs and join the rank back: the window sees one
   row per distinct value, not one per input row.
-* Global row numbers (``dense_ids``) use value ranges of the leading key
-  instead of a single-partition window.
+* Global row numbers (``dense_ids``) number equal-depth ranges of the order
+  side by side instead of a single-partition window.
 
 Ordering follows PostgreSQL: NULLs last ascending, first descending.
 """
@@ -26,7 +24,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from casework.sources.sinks import materialize
 
 
 def _as_list(cols: str | Sequence[str] | None) -> list[str]:
@@ -52,6 +51,17 @@ def join_back(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "
     return out.drop(*[f"__k_{k}" for k in keys])
 
 
+def join_on(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join ``small`` onto ``df`` by plain equality, as SQL's ``ON a.k = b.k``:
+    a NULL key matches nothing."""
+    keys = list(keys)
+    renamed = small
+    for k in keys:
+        renamed = renamed.withColumnRenamed(k, f"__k_{k}")
+    out = df.join(renamed, [df[k] == renamed[f"__k_{k}"] for k in keys], how)
+    return out.drop(*[f"__k_{k}" for k in keys])
+
+
 def scalar_row(one_row: DataFrame) -> Column:
     """The single row of a global aggregate as a struct-valued scalar subquery.
 
@@ -78,18 +88,19 @@ def top_with_ties(df: DataFrame, value: str, by: str | Sequence[str] | None = No
     """Rows whose ``value`` is the best in their group (``rank() ... = 1``).
 
     ``largest=True`` keeps the maximum (``ORDER BY value DESC``), else the
-    minimum. Ties are all kept. Per group this is the window with a rank
-    filter (partial group limit before the shuffle). Without groups it is
-    the same filter over one global window: each map task keeps only its
-    local best rows (ties included) and only those meet in the final task,
-    so ``df`` is computed once. NULL values never win there.
+    minimum. Ties are all kept. NULL ranks as in PostgreSQL: before every
+    value in descending order, after every value in ascending order. Per group
+    this is the window with a rank filter (partial group limit before the
+    shuffle). Without groups the best value is a one-row aggregate, read as a
+    scalar subquery that shares the exchange below ``df``, and a filter keeps
+    its rows where they are: no task sees all ties.
     """
     by = _as_list(by)
     if not by:
-        o = F.col(value).desc() if largest else F.col(value).asc()
-        return (df.where(F.col(value).isNotNull())
-                  .withColumn("__r", F.rank().over(Window.orderBy(o)))
-                  .where(F.col("__r") == 1).drop("__r"))
+        best = F.max(value) if largest else F.min(value)
+        if largest:
+            best = F.when(F.bool_or(F.col(value).isNull()), None).otherwise(best)
+        return df.where(F.col(value).eqNullSafe(df.agg(best.alias("best")).scalar()))
     w = Window.partitionBy(*by).orderBy(_ordered(value, largest))
     return df.withColumn("__r", F.rank().over(w)).where(F.col("__r") == 1).drop("__r")
 
@@ -137,121 +148,34 @@ def dense_rank_column(df: DataFrame, by: str | Sequence[str], order: str, name:
 
 
 def dense_ids(df: DataFrame, order: Sequence[str], name: str = "row_id",
-              rows_per_bucket: int = 1_000_000, min_buckets: int | None = None) -> DataFrame:
+              ranges: int | None = None) -> DataFrame:
     """``row_number() over (order by <order>)`` without a single-partition window.
 
-    The leading order column (numeric, date or timestamp) is cut into equal
-    value ranges, about
-    ``rows_per_bucket`` rows each on evenly spread keys, and at least
-    ``min_buckets`` ranges (default: the session's shuffle partition count)
-    so that small inputs still spread over all cores. A one-row aggregate
-    (min, max, count; a scalar subquery) sets the range width, so the number
-    of ranges grows with the data.
-
-    A range holding more than twice the target (a hot leading value) is split
-    further: its rows are keyed by (leading value, equal-width range of the
-    second order column, if numeric, date or timestamp), which is still
-    monotone in the order.
-
-    Rows are counted per key, a running sum over the keys gives each key's
-    offset (a window over one row per key, not per input row), and
-    ``row_number`` within a key plus the offset is the global id. The ids are
-    dense and identical to the global window's; every key is numbered by its
-    own task.
-
-    ``order`` should be a total order (list every column that can break a
-    tie) for the ids to be deterministic. Rows equal in both leading columns
-    stay together in one task.
+    The rows are cut into ``ranges`` ranges of about equal row counts
+    (default: the session's shuffle partitions) by a range shuffle on all order
+    columns, sorted within their range and written, with their place, as a
+    stage in the shared folder. The place is the range and the position in it,
+    so a count per range and a running sum over those few rows give the offset
+    of each range. The number of ranges does not depend on the values: an
+    outlier or a hot leading value costs nothing, as long as further order
+    columns tell its rows apart (rows equal in all of them share a range).
+
+    The stage is written when the function is called; a lost executor reads it
+    again. ``order`` should be a total order (list every column that can break
+    a tie) for the ids to be deterministic.
     """
-    order = list(order)
-    lead = order[0]
-    lead_type = df.schema[lead].dataType
-    lead_d = _order_image(F.col(lead), lead_type)
-    if lead_d is None:
-        raise TypeError(f"dense_ids: leading order column {lead} must be numeric, date or "
-                        f"timestamp, not {lead_type.simpleString()}")
-    second_d = None
-    if len(order) > 1:
-        second_d = _order_image(F.col(order[1]), df.schema[order[1]].dataType)
-    if min_buckets is None:
-        conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
-        min_buckets = int(conf) if str(conf).isdigit() else 200
-    n_buckets = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_bucket)),
-                           F.lit(max(min_buckets, 1)))
-    # Range arithmetic in double: a wide integer span cannot overflow, and
-    # the mapping value -> range stays monotone, which is all the keys need.
-    # Widths come from the finite values; NULL, infinities and NaN get ranges
-    # of their own at the ends. Key columns are never NULL, so plain
-    # equi-joins keep the hash partitioning the numbering window needs (no
-    # second shuffle of the rows).
-    stats = scalar_row(df.agg(
-        F.min(_finite(lead_d)).alias("lo"),
-        ((F.max(_finite(lead_d)) - F.min(_finite(lead_d)) + 1) / n_buckets).alias("width")))
-    keyed = df.withColumn("__b", _range_number(lead_d, stats.getField("lo"),
-                                               stats.getField("width")))
-    keys = ["__b"]
-    if second_d is not None:
-        per_range = keyed.groupBy("__b").agg(F.count(F.lit(1)).alias("__nb"),
-                                             F.min(_finite(second_d)).alias("__lo2"),
-                                             F.max(_finite(second_d)).alias("__hi2"))
-        n_sub = F.ceil(F.col("__nb") / F.lit(rows_per_bucket))
-        per_range = per_range.select(
-            "__b", (F.col("__nb") > 2 * rows_per_bucket).alias("__hot"), "__lo2",
-            ((F.col("__hi2") - F.col("__lo2") + 1) / n_sub).alias("__w2"))
-        # any constant of the leading type: a hot range holds either values or NULLs
-        zero = F.lit(0) if isinstance(lead_type, T.NumericType) else F.lit("1970-01-01")
-        zero = zero.cast(lead_type)
-        # one row per range: at most max(count / rows_per_bucket, min_buckets)
-        # rows by construction, so the broadcast is bounded
-        keyed = (keyed.join(F.broadcast(per_range), "__b")
-                 .withColumn("__v", F.coalesce(F.when(F.col("__hot"), F.col(lead)), zero))
-                 .withColumn("__s", F.when(F.col("__hot"), _range_number(
-                     second_d, F.col("__lo2"), F.col("__w2"))).otherwise(F.lit(0).cast("bigint")))
-                 .drop("__hot", "__lo2", "__w2"))
-        keys = ["__b", "__v", "__s"]
-    counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    running = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, F.coalesce(F.sum("__n").over(running), F.lit(0)).alias("__off"))
-    numbered = keyed.join(offsets, keys).withColumn(
-        name,
-        F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) + F.col("__off"))
-    return numbered.drop(*keys, "__off").withColumn(name, F.col(name).cast("bigint"))
-
-
-# Range numbers of values outside the finite equal-width ranges, placed where
-# Spark's ascending order puts them: NULL first, then -inf; +inf, then NaN last.
-_NULL_RANGE, _NEG_INF_RANGE = -2, -1
-_POS_INF_RANGE = 1 << 62
-_NAN_RANGE = _POS_INF_RANGE + 1
-
-
-def _finite(x: Column) -> Column:
-    return F.when(~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))), x)
-
-
-def _order_image(c: Column, dtype: T.DataType) -> Column | None:
-    """A double that never decreases when ``c`` increases, or None if the
-    type has none here. Zone-less timestamps map through their date and time
-    of day, so no daylight-saving gap reorders them."""
-    if isinstance(dtype, T.NumericType):
-        return c.cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(c).cast("double")
-    if isinstance(dtype, T.TimestampNTZType):
-        return (F.unix_date(F.to_date(c)).cast("double") * 86400.0 + F.hour(c) * 3600.0
-                + F.minute(c) * 60.0 + F.date_part(F.lit("SECOND"), c).cast("double"))
-    return None
-
-
-def _range_number(x: Column, lo: Column, width: Column) -> Column:
-    """Monotone range number of ``x`` (double) under equal-width finite ranges."""
-    return (F.when(x.isNull(), F.lit(_NULL_RANGE))
-            .when(F.isnan(x), F.lit(_NAN_RANGE))
-            .when(x == F.lit(float("inf")), F.lit(_POS_INF_RANGE))
-            .when(x == F.lit(float("-inf")), F.lit(_NEG_INF_RANGE))
-            .otherwise(F.floor((x - lo) / width))).cast("bigint")
+    order, spark = list(order), df.sparkSession
+    conf = spark.conf.get("spark.sql.shuffle.partitions", "200")
+    ranges = ranges or (int(conf) if str(conf).isdigit() else 200)
+    placed = (df.repartitionByRange(max(1, ranges), *order).sortWithinPartitions(*order)
+              .withColumn("__at", F.monotonically_increasing_id()))
+    placed = materialize(spark, placed, "dense_ids", view=False).withColumn("__p", F.shiftright("__at", 33))
+    counts = placed.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__p", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    within = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    return (placed.join(offsets, "__p").withColumn(name, (F.col("__off") + within + 1).cast("bigint"))
+            .select(*df.columns, name))
 
 
 def sort_like_sql(df: DataFrame, *keys: str | tuple[str, str]) -> DataFrame:

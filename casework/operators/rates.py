@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casework.functions.text import exact_ratio
 
@@ -39,26 +40,39 @@ def distinct_and_flagged(df: DataFrame, key: str, cond: Column, total_name: str,
 
 
 def share_of_total(counts: DataFrame, count_col: str, name: str = "percentage",
-                   scale: int = 2) -> DataFrame:
+                   scale: int | None = None) -> DataFrame:
     """``100.0 * n / sum(n) over ()`` for an already aggregated frame.
 
-    The total is a one-row aggregate read as a scalar subquery, so the
-    grouped rows never have to meet in a single window partition. The
-    subquery shares the exchanges of ``counts`` that AQE has already
-    materialised; whatever it cannot reuse it computes again.
+    One window over the group rows (one row per group, not per input row), so
+    the input is computed once. Unrounded by default; with ``scale`` the
+    share is rounded, exactly for integer and decimal counts.
     """
-    total = counts.agg(F.sum(count_col)).scalar()
-    return counts.withColumn(name, exact_ratio(F.col(count_col), total, scale, 100)
-                             .cast("double"))
+    total = F.sum(count_col).over(Window.partitionBy())
+    return counts.withColumn(name, _percent(F.col(count_col), total, scale, counts.schema[count_col].dataType))
+
+
+def _percent(n: Column, total: Column, scale: int | None, dtype: T.DataType) -> Column:
+    """``100 * n / total`` as a double: of doubles, or rounded in decimals."""
+    if scale is None:
+        return F.lit(100.0) * n.cast("double") / total.cast("double")
+    if isinstance(dtype, T.DecimalType):
+        # a sum has ten digits more than its addends
+        operand = f"decimal({min(38, dtype.precision + 10)},{dtype.scale})"
+    elif isinstance(dtype, T.IntegralType):
+        operand = "decimal(20,0)"
+    else:
+        raise TypeError(f"a rounded share needs integer or decimal counts, not {dtype.simpleString()}")
+    return exact_ratio(n, total, scale, 100, operand).cast("double")
 
 
 def success_rate(df: DataFrame, by: str | Sequence[str], ok: Column,
-                 name: str = "success_percentage", scale: int = 2,
+                 name: str = "success_percentage", scale: int | None = None,
                  ok_name: str | None = None, total_name: str | None = None) -> DataFrame:
-    """Per group ``100 * count(*) FILTER (WHERE ok) / count(*)``."""
+    """Per group ``100 * count(*) FILTER (WHERE ok) / count(*)``, unrounded
+    unless ``scale`` is given."""
     by = [by] if isinstance(by, str) else list(by)
     g = df.groupBy(*by).agg(F.count_if(ok).alias("__ok"), F.count(F.lit(1)).alias("__all"))
-    out = g.withColumn(name, exact_ratio(F.col("__ok"), F.col("__all"), scale, 100).cast("double"))
+    out = g.withColumn(name, _percent(F.col("__ok"), F.col("__all"), scale, T.LongType()))
     out = out.withColumnRenamed("__ok", ok_name) if ok_name else out.drop("__ok")
     out = out.withColumnRenamed("__all", total_name) if total_name else out.drop("__all")
     return out
@@ -88,7 +102,13 @@ def correlation_label(r: Column) -> Column:
 
 
 def correlation_summary(df: DataFrame, x: str, y: str, digits: int = 6) -> DataFrame:
-    """One row: ``corr(x, y)`` (rounded) and its label."""
-    r = df.agg(F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias("correlation"))
+    """One row: ``corr(x, y)`` (rounded) and its label.
+
+    Written with the covariance, because ``corr`` of a constant column divides
+    by zero in ANSI mode; here, as in PostgreSQL, it is NULL. Rows in which
+    either value is NULL do not count.
+    """
+    both = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).na.drop()
+    r = both.agg(F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("correlation"))
     return r.select(F.round("correlation", digits).alias("correlation"),
                     correlation_label(F.col("correlation")).alias("relation"))

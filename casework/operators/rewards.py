@@ -7,6 +7,7 @@ CASE; amounts stay exact decimals until the caller casts the result.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -52,5 +53,7 @@ def price_by(key: Column, prices: dict, default: float | int = 0) -> Column:
 
 
 def pay_per_unit(measure: Column, rate: str, scale: int = 2) -> Column:
-    """``round(measure * rate, scale)`` in decimals (rounded per row, then summed)."""
-    return F.round(measure.cast("decimal(18,2)") * F.lit(rate).cast("decimal(10,4)"), scale)
+    """``round(measure * rate, scale)`` in decimals (rounded per row, then
+    summed). Only the product is rounded: the measure keeps 12 digits after
+    the point, the rate all of its own."""
+    return F.round(measure.cast("decimal(30,12)") * F.lit(Decimal(rate)), scale)

@@ -43,16 +43,22 @@ def _loyalty() -> dict[str, Question]:
 
 def _delivery() -> dict[str, Question]:
     def lines(t):
-        return dv.clean_order_lines(t["customer_orders"])
+        return dv.clean_lines(t["customer_orders"])
+
+    def numbered(t):
+        # built once per run: dense_ids writes it as a stage in the shared folder
+        if "numbered lines" not in t:
+            t["numbered lines"] = dv.clean_order_lines(t["customer_orders"])
+        return t["numbered lines"]
 
     def dels(t):
         return dv.clean_deliveries(t["runner_orders"])
 
     def changes(t):
-        return dv.ingredient_changes(lines(t))
+        return dv.ingredient_changes(numbered(t))
 
     return {
-        "Q-C2-T1": lines,
+        "Q-C2-T1": numbered,
         "Q-C2-T2": dels,
         "Q-C2-T3": changes,
         "Q-C2-A1": lambda t: dv.pizzas_ordered(lines(t)),
@@ -77,9 +83,9 @@ def _delivery() -> dict[str, Question]:
         "Q-C2-C2": lambda t: dv.most_common_change(changes(t), t["pizza_toppings"], "extra"),
         "Q-C2-C3": lambda t: dv.most_common_change(changes(t), t["pizza_toppings"], "exclusion"),
         "Q-C2-C4a": changes,
-        "Q-C2-C4": lambda t: dv.order_item_labels(lines(t), changes(t), t["pizza_toppings"],
+        "Q-C2-C4": lambda t: dv.order_item_labels(numbered(t), changes(t), t["pizza_toppings"],
                                                   t["pizza_names"]),
-        "Q-C2-C5": lambda t: dv.ingredient_lists(lines(t), t["pizza_recipes"], t["pizza_toppings"],
+        "Q-C2-C5": lambda t: dv.ingredient_lists(numbered(t), t["pizza_recipes"], t["pizza_toppings"],
                                                  t["pizza_names"]),
         "Q-C2-C6": lambda t: dv.ingredient_use_delivered(lines(t), dels(t), t["pizza_recipes"],
                                                          t["pizza_toppings"]),
@@ -138,7 +144,7 @@ def run_case(spark: SparkSession, case: str, folder: str, out: str | None = None
     results = {qid: q(tables) for qid, q in questions().items()}
     if case == "delivery" and _has_table(folder, "runner_ratings", fmt):
         ratings = load_table(spark, folder, "runner_ratings", fmt=fmt)
-        lines = dv.clean_order_lines(tables["customer_orders"])
+        lines = dv.clean_lines(tables["customer_orders"])
         dels = dv.clean_deliveries(tables["runner_orders"])
         valid, rejected = dv.record_ratings(ratings)
         results["Q-C2-D3"] = valid

@@ -37,19 +37,25 @@ PRICES = {1: 12, 2: 10}
 
 # ---------------------------------------------------------------- cleaned stages
 
+def clean_lines(customer_orders: DataFrame) -> DataFrame:
+    """Order lines with sentinel-free edit lists: a projection of the scan."""
+    return customer_orders.select(
+        "order_id", "customer_id", "pizza_id",
+        null_tokens("exclusions", MISSING_TOKENS_WITH_NAN).alias("exclusions"),
+        null_tokens("extras", MISSING_TOKENS_WITH_NAN).alias("extras"),
+        "order_time")
+
+
 def clean_order_lines(customer_orders: DataFrame) -> DataFrame:
-    """Order lines with a dense line id and sentinel-free edit lists.
+    """``clean_lines`` with a dense line id, for the questions that name a line.
 
     Line ids follow ``order_id``; lines of one order are numbered in the
     order of their remaining columns, so ids are deterministic.
     """
     ided = dense_ids(customer_orders, ["order_id", "customer_id", "pizza_id", "exclusions",
                                        "extras", "order_time"], "order_item_id")
-    return ided.select(
-        "order_item_id", "order_id", "customer_id", "pizza_id",
-        null_tokens("exclusions", MISSING_TOKENS_WITH_NAN).alias("exclusions"),
-        null_tokens("extras", MISSING_TOKENS_WITH_NAN).alias("extras"),
-        "order_time")
+    cleaned = [null_tokens(c, MISSING_TOKENS_WITH_NAN).alias(c) for c in ("exclusions", "extras")]
+    return ided.select("order_item_id", "order_id", "customer_id", "pizza_id", *cleaned, "order_time")
 
 
 def clean_deliveries(runner_orders: DataFrame) -> DataFrame:
@@ -201,7 +207,7 @@ def speed_per_delivery(deliveries: DataFrame) -> DataFrame:
 
 def success_percentage(deliveries: DataFrame) -> DataFrame:
     out = success_rate(deliveries, "runner_id", F.col("cancellation").isNull(),
-                       "success_percentage", 2)
+                       "success_percentage")
     return sort_like_sql(out, ("success_percentage", "desc"))
 
 
@@ -245,7 +251,8 @@ def _line_ingredients(lines: DataFrame, recipes: DataFrame) -> DataFrame:
     bag = bag_edit(tokens("toppings", ",", "int"), tokens("exclusions", ",", "int"),
                    tokens("extras", ",", "int"), "int")
     return lines.join(recipes, "pizza_id").select(
-        "order_item_id", "order_id", "pizza_id", F.explode(bag).alias("ingredient_id"))
+        *[c for c in ("order_item_id", "order_id", "pizza_id") if c in lines.columns],
+        F.explode(bag).alias("ingredient_id"))
 
 
 def ingredient_lists(lines: DataFrame, recipes: DataFrame, toppings: DataFrame,

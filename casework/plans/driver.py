@@ -29,8 +29,8 @@ from casework.functions.arrays import bag_edit
 from casework.operators import (
     cond_counts, contract_summary, correlation_summary, counted_list, dense_ids,
     dense_rank_column, distinct_and_flagged, filtered_lists, first_after_anchor,
-    first_event_anchor, first_per,
-    join_back, last_before_anchor, member_flag, milestone_after_anchor, next_value,
+    first_event_anchor, first_per, first_row_next,
+    join_on, last_before_anchor, member_flag, milestone_after_anchor,
     nth_per, ordered_list, pay_per_unit, points, price_by, relative_to_anchor,
     share_of_total, sort_like_sql, state_at, success_rate, tagged_explode_outer,
     top_with_ties,
@@ -41,7 +41,8 @@ from casework.sources import Tables
 
 
 def _money(c: str):
-    return F.col(c).cast("decimal(18,2)")
+    # a double's own digits: sums are exact and do not depend on their order
+    return F.col(c).cast("decimal(30,12)")
 
 
 def _exact_avg(c, scale: int = 2):
@@ -440,7 +441,7 @@ def success_rate_q(spark: SparkSession, d: str) -> DataFrame:
     """Percent of lines not returned, per supplier."""
     t = Tables(spark, d)
     out = success_rate(t.lineitem, "l_suppkey", F.col("l_returnflag") != "R",
-                       "success_percentage", 2)
+                       "success_percentage")
     return sort_like_sql(out, ("success_percentage", "desc"))
 
 
@@ -483,10 +484,10 @@ def wide_order(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rating_contract(spark: SparkSession, d: str) -> DataFrame:
-    """Ratings (floor(value / 80) of purchases) checked against the row contract."""
+    """Ratings (floor(value / 40) of purchases) checked against the row contract."""
     t = Tables(spark, d)
     ratings = t.events.where(F.col("event_type") == "purchase").select(
-        "event_id", "user_id", F.floor(F.col("value") / 80).cast("bigint").alias("rating"))
+        "event_id", "user_id", F.floor(F.col("value") / 40).cast("bigint").alias("rating"))
     rules = not_null("event_id", "user_id", "rating") + [
         check("rating between 0 and 5", F.col("rating").between(0, 5))]
     return contract_summary(ratings, rules)
@@ -566,12 +567,11 @@ def next_plan_lead(spark: SparkSession, d: str) -> DataFrame:
     """Next event type after each user's first event, counts and share (lead)."""
     t = Tables(spark, d)
     e = t.events.select("user_id", "ts", "event_id", "event_type")
-    with_next = next_value(e, "user_id", ["ts", "event_id"], "event_type", "next_type",
-                           first_flag="is_first")
-    counts = (with_next.where(F.col("is_first") & F.col("next_type").isNotNull())
+    firsts = first_row_next(e, "user_id", ["ts", "event_id"], "event_type", "next_type")
+    counts = (firsts.where(F.col("next_type").isNotNull())
               .groupBy(F.col("next_type").alias("event_type"))
               .agg(F.count(F.lit(1)).alias("conversion_count")))
-    return sort_like_sql(share_of_total(counts, "conversion_count", "percentage", 2),
+    return sort_like_sql(share_of_total(counts, "conversion_count", "percentage"),
                          ("percentage", "desc"))
 
 
@@ -584,7 +584,7 @@ def state_at_date(spark: SparkSession, d: str) -> DataFrame:
     st = state_at(t.events, "user_id", "ts", "event_type", date_at_most("ts", STATE_DATE),
                   tiebreak=["event_id"])
     counts = st.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_customers"))
-    return share_of_total(counts, "n_customers", "percentage", 2)
+    return share_of_total(counts, "n_customers", "percentage")
 
 
 def upgrades_in_year(spark: SparkSession, d: str) -> DataFrame:
@@ -626,14 +626,13 @@ def days_to_milestone_lead(spark: SparkSession, d: str) -> DataFrame:
     anchors = _anchor_orders(t)
     o = t.orders.select("o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("odate"),
                         "o_orderstatus")
-    tagged = join_back(o, anchors, ["o_custkey"])
+    tagged = join_on(o, anchors, ["o_custkey"])
     kept = tagged.where((F.col("o_orderkey") == F.col("anchor_key"))
                         | ((F.col("o_orderstatus") == "F") & (F.col("odate") > F.col("anchor_date"))))
-    with_next = next_value(kept, "o_custkey", ["odate", "o_orderkey"], "odate", "next_date",
-                           bucket=F.year("odate"), fine_bucket=F.col("odate"))
-    days = (with_next.where((F.col("o_orderkey") == F.col("anchor_key"))
-                            & F.col("next_date").isNotNull())
-            .select(F.datediff("next_date", "odate").alias("days")))
+    # the anchor is each customer's first kept row, so only two rows matter
+    firsts = first_row_next(kept, "o_custkey", ["odate", "o_orderkey"], "odate", "next_date")
+    days = (firsts.where(F.col("next_date").isNotNull())
+            .select(F.datediff("next_date", "current").alias("days")))
     return days.agg(_exact_avg(F.col("days").cast("decimal(18,0)"), 2).cast("double")
                     .alias("avg_days"))
 

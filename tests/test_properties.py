@@ -62,6 +62,6 @@ def test_repartitioning_does_not_change_results(spark, evs, parts):
     df = _frame(spark, evs)
     shuffled = df.repartition(parts)
     for f in (lambda d: next_value(d, "k", ["ts", "id"], "s", "n"),
-              lambda d: dense_ids(d, ["k", "ts", "id"], "rid", rows_per_bucket=3),
+              lambda d: dense_ids(d, ["k", "ts", "id"], "rid"),
               lambda d: dense_rank_column(d, ["k"], "ts", "r")):
         assert rows(f(df)) == rows(f(shuffled))

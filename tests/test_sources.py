@@ -47,15 +47,20 @@ def test_unknown_format_is_refused(spark, tmp_path):
         load_table(spark, str(tmp_path), "menu", fmt="orc")
 
 
-def test_tables_share_readers_and_refresh(spark, tmp_path):
+def test_new_accessor_sees_files_that_were_added(spark, tmp_path):
     frame(spark, "menu", MENU).write.parquet(str(tmp_path / "menu.parquet"))
-    a, b = Tables(spark, str(tmp_path)), Tables(spark, str(tmp_path))
-    assert a.menu is b.menu
+    assert Tables(spark, str(tmp_path)).menu.count() == 3
     frame(spark, "menu", MENU).write.mode("append").parquet(str(tmp_path / "menu.parquet"))
-    Tables.refresh()
     assert Tables(spark, str(tmp_path)).menu.count() == 6
 
 
+def test_stages_of_one_name_do_not_meet(spark):
+    name = f"stage_{uuid.uuid4().hex[:8]}"
+    one = materialize(spark, spark.range(3), name)
+    two = materialize(spark, one.where("id > 0"), name)  # rewriting a stage from itself
+    assert one.count() == 3 and two.count() == 2 and spark.table(name).count() == 2
+
+
 def test_scale_conf_sizes_partitions_from_input():
     from casework.session import scale_conf
     tb100 = 100 * 1024 ** 4
