@@ -99,10 +99,11 @@ class CrossParser:
             root = np.full(self.width, _BREAK, np.int32)
             for c, q in go[0].items():
                 root[where[c]] = (q * self.width) | _BREAK
+            # from state 0 every byte starts a phrase
             t = np.tile(root, (len(go), 1))
-            rows = np.repeat(np.arange(len(go)), [len(g) for g in go])
-            cols = np.array([where[c] for g in go for c in g], np.int64)
-            t[rows, cols] = np.array([q * self.width for g in go for q in g.values()], np.int64)
+            rows = np.repeat(np.arange(1, len(go)), [len(g) for g in go[1:]])
+            cols = np.array([where[c] for g in go[1:] for c in g], np.int64)
+            t[rows, cols] = np.array([q * self.width for g in go[1:] for q in g.values()], np.int64)
             self.tables.append(t.ravel())
             self.bits.append(np.log2(max(2, len(folded[k]))))
 
@@ -119,7 +120,7 @@ class CrossParser:
         out = np.zeros((len(n), len(self.langs)))
         live = np.searchsorted(-size, -np.arange(1, BLOCK + 1), side="right")  # lanes of at least that many bytes
         for j, t in enumerate(self.tables):
-            state, phrases = np.zeros(len(start), np.int32), np.ones(len(start), np.int32)
+            state, phrases = np.zeros(len(start), np.int32), np.zeros(len(start), np.int32)
             for i in range(BLOCK):
                 m = live[i]
                 if not m:
