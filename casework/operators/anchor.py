@@ -44,8 +44,15 @@ def relative_to_anchor(events: DataFrame, anchors: DataFrame, key: str, time: st
 
 
 def first_after_anchor(events: DataFrame, anchors: DataFrame, key: str, time: str,
-                       anchor: str = "anchor") -> DataFrame:
-    """Events on each entity's first date at/after its anchor (ties kept)."""
+                       anchor: str = "anchor", how: str = "inner") -> DataFrame:
+    """Events on each entity's first date at/after its anchor (ties kept).
+
+    Entities without an anchor drop out; with ``how="left"`` all their events
+    count, as if they were anchored before the first one.
+    """
+    if how == "left":
+        joined = join_on(events, anchors, [key], "left")
+        return first_per(joined.where(F.col(anchor).isNull() | (F.col(time) >= F.col(anchor))), key, time)
     return first_per(relative_to_anchor(events, anchors, key, time, anchor, "after"), key, time)
 
 

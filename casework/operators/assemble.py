@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from casework.functions.text import concat_skip_nulls
+
 
 def _sorted_labels(entries: Column) -> Column:
     """Sort an array<struct<k, label, n>> by k and expand labels n times."""
@@ -50,8 +52,7 @@ def counted_list(df: DataFrame, by: Sequence[str], item: str, name: str,
     counted = (df.where(F.col(item).isNotNull())
                  .groupBy(*by, item).agg(F.count(F.lit(1)).alias("__n")))
     label = F.when(F.col("__n") > 1,
-                   F.concat(F.col("__n").cast("string"), F.lit(count_fmt), F.col(item).cast("string"))
-                   ).otherwise(F.col(item).cast("string"))
+                   concat_skip_nulls("__n", F.lit(count_fmt), item)).otherwise(F.col(item).cast("string"))
     entry = F.struct(F.col(item).alias("k"), label.alias("label"), F.lit(1).alias("n"))
     lists = counted.groupBy(*by).agg(F.collect_list(entry).alias("__e"))
     return lists.select(*by, F.array_join(_sorted_labels(F.col("__e")), sep).alias(name))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casework.functions import (
-    MISSING_TOKENS, MISSING_TOKENS_WITH_NAN, elapsed_micros, hour_of_day, minute_field,
+    MISSING_TOKENS, MISSING_TOKENS_WITH_NAN, elapsed_micros, elapsed_minutes, hour_of_day, minute_field,
     null_tokens, optional_fragment, parse_measure, tokens, week_from_jan1, weekday_name,
 )
 from casework.functions.arrays import bag_edit
@@ -331,6 +331,7 @@ def delivered_order_rows(lines: DataFrame, deliveries: DataFrame, ratings: DataF
     return d.select(
         "order_id", "customer_id", "runner_id", "rating", "order_time", "pickup_time",
         minute_field("order_time", "pickup_ts").alias("order_prep_duration"),
+        elapsed_minutes("order_time", "pickup_ts", 2).alias("order_prep_minutes"),
         "duration_min",
         F.round(F.col("distance_km") * 60 / F.col("duration_min"), 2).alias("speed_kmh"),
         "n_pizzas").distinct()

@@ -16,6 +16,8 @@ push them into the Parquet scan.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,8 +38,10 @@ from casework.operators import (
     top_with_ties,
     totals_relative, with_group_stats, with_scalars, within_days_after,
 )
-from casework.operators.contract import check, not_null
+from casework.operators.contract import check, not_null, split_valid
+from casework.session import checkpoint_dir
 from casework.sources import Tables
+from casework.sources.sinks import append
 
 
 def _money(c: str):
@@ -167,12 +171,13 @@ def points_rules(spark: SparkSession, d: str) -> DataFrame:
 
 
 def points_bonus_window(spark: SparkSession, d: str) -> DataFrame:
-    """Members' January points: double within 0..7 days of joining, else 10/unit."""
+    """Members' points of 1 to 20 January: double within 0..7 days of joining,
+    else 10/unit."""
     t = Tables(spark, d)
     e = relative_to_anchor(_visits(t), _members(t), "user_id", "visit_date", "join_date", "any")
     bonus = within_days_after(F.col("visit_date"), F.col("join_date"), 7)
     pts = points(_money("value"), 10, [(bonus, 2)])
-    out = (e.where(F.month("visit_date") == 1)
+    out = (e.where(F.col("visit_date").between(F.lit("2024-01-01").cast("date"), F.lit("2024-01-20").cast("date")))
            .groupBy("user_id").agg(F.sum(pts).cast("double").alias("points_earned")))
     return sort_like_sql(out, ("points_earned", "desc"))
 
@@ -234,10 +239,12 @@ def line_id(spark: SparkSession, d: str) -> DataFrame:
 
 
 def tagged_changes(spark: SparkSession, d: str) -> DataFrame:
-    """One row per word of each part's name (tag 'name') and type (tag 'type')."""
+    """One row per word of each part's name (tag 'name') and type (tag 'type');
+    a part of size 1 counts as unchanged and keeps one row without a word."""
     t = Tables(spark, d)
+    changed = lambda c: F.when(F.col("p_size") > 1, F.col(c))
     return tagged_explode_outer(
-        t.part, {"name": tokens("p_name", " "), "type": tokens("p_type", " ")},
+        t.part, {"name": tokens(changed("p_name"), " "), "type": tokens(changed("p_type"), " ")},
         keep=["p_partkey"], tag_name="mod_type", value_name="token")
 
 
@@ -493,6 +500,21 @@ def rating_contract(spark: SparkSession, d: str) -> DataFrame:
     return contract_summary(ratings, rules)
 
 
+def rating_append(spark: SparkSession, d: str) -> DataFrame:
+    """Valid ratings of purchases, then of views, appended to one table in the
+    shared folder and read back: ratings per value."""
+    t = Tables(spark, d)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ratings-{uuid.uuid4().hex}"
+    ratings = t.events.select("event_type", "event_id", "user_id", F.floor(F.col("value") / 40).cast("bigint").alias("rating"))
+    rules = not_null("event_id", "user_id", "rating") + [
+        check("rating between 0 and 5", F.col("rating").between(0, 5))]
+    for kind in ("purchase", "view"):
+        valid, _ = split_valid(ratings.where(F.col("event_type") == kind).drop("event_type"), rules)
+        append(valid, path)
+    return (spark.read.schema("event_id long, user_id long, rating long").parquet(path)
+            .groupBy("rating").agg(F.count(F.lit(1)).alias("n_ratings")))
+
+
 # ---------------------------------------------------------------- case 3 shapes
 
 JOURNEY_FROM, JOURNEY_TO = "1996-01-01", "1996-01-31"
@@ -690,6 +712,7 @@ QUERIES = {
     "net_income": net_income,
     "wide_order": wide_order,
     "rating_contract": rating_contract,
+    "rating_append": rating_append,
     "journey": journey,
     "month_starts": month_starts,
     "events_after": events_after,

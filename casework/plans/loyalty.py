@@ -30,10 +30,12 @@ def visit_days(sales: DataFrame) -> DataFrame:
     return sales.groupBy("customer_id").agg(F.countDistinct("order_date").alias("n_visited"))
 
 
-def first_day_items(sales: DataFrame, menu: DataFrame) -> DataFrame:
-    """Items on each customer's first visit day; duplicates kept (no DISTINCT)."""
-    return (first_per(sales, "customer_id", "order_date").join(menu, "product_id")
-            .select("customer_id", "product_id", "product_name"))
+def first_day_items(sales: DataFrame, menu: DataFrame, distinct: bool = False) -> DataFrame:
+    """Items on each customer's first visit day; duplicates kept (no DISTINCT)
+    unless ``distinct``."""
+    out = (first_per(sales, "customer_id", "order_date").join(menu, "product_id")
+           .select("customer_id", "product_id", "product_name"))
+    return out.distinct() if distinct else out
 
 
 def most_purchased(sales: DataFrame, menu: DataFrame) -> DataFrame:
@@ -74,10 +76,12 @@ def points_per_customer(sales: DataFrame, menu: DataFrame, doubled: str = "sushi
 
 def points_with_bonus_week(sales: DataFrame, menu: DataFrame, members: DataFrame,
                            month: int = 1, bonus_days: int = 7, inclusive: bool = True,
-                           doubled: str | None = None) -> DataFrame:
+                           doubled: str | None = None,
+                           dates: tuple[str, str] | None = None) -> DataFrame:
     """Members' points in ``month``: everything doubles from the join date for
     ``bonus_days`` more days (as coded: days 0..7, i.e. 8 days). Outside the
     window only ``doubled`` (if given) earns double; by default nothing does.
+    ``dates`` (first, last day) takes the place of the month of any year.
     """
     rel = relative_to_anchor(_priced(sales, menu), members, "customer_id", "order_date",
                              "join_date", "any")
@@ -85,7 +89,9 @@ def points_with_bonus_week(sales: DataFrame, menu: DataFrame, members: DataFrame
     if doubled:
         rules.append((F.col("product_name") == doubled, 2))
     pts = points(F.col("price"), 10, rules)
-    out = (rel.where(F.month("order_date") == month).groupBy("customer_id")
+    during = (F.month("order_date") == month) if dates is None else F.col("order_date").between(
+        *[F.lit(d).cast("date") for d in dates])
+    out = (rel.where(during).groupBy("customer_id")
            .agg(F.sum(pts).alias("points_earned")))
     return sort_like_sql(out, ("points_earned", "desc"))
 

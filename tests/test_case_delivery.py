@@ -191,6 +191,7 @@ def test_delivered_order_rows(t):
     ratings = delivered.select("order_id", "runner_id", F.lit(5).alias("rating"))
     got = q.delivered_order_rows(t["lines"], t["deliveries"], ratings).collect()
     assert len(got) == 8
+    assert all(int(r.order_prep_minutes) % 60 == r.order_prep_duration for r in got)
     assert sorted((r.order_id, r.order_prep_duration, r.n_pizzas) for r in got) == [
         (1, 10, 1), (2, 10, 1), (3, 21, 2), (4, 29, 3), (5, 10, 1), (7, 10, 1), (8, 20, 1),
         (10, 15, 2)]

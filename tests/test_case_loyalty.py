@@ -31,6 +31,26 @@ def test_first_day_items_keeps_duplicates(t):
                           ("C", "ramen")], key=repr)
 
 
+def test_first_day_items_distinct(t):
+    got = rows(q.first_day_items(t["sales"], t["menu"], distinct=True), "customer_id", "product_name")
+    assert got == [("A", "curry"), ("A", "sushi"), ("B", "curry"), ("C", "ramen")]
+
+
+def test_points_in_a_range_of_dates(t):
+    by_month = rows(q.points_with_bonus_week(t["sales"], t["menu"], t["members"]))
+    by_dates = rows(q.points_with_bonus_week(t["sales"], t["menu"], t["members"], dates=("2021-01-01", "2021-01-31")))
+    assert by_dates == by_month
+    assert q.points_with_bonus_week(t["sales"], t["menu"], t["members"], dates=("2020-01-01", "2020-01-31")).count() == 0
+
+
+def test_first_event_of_entities_without_an_anchor(t):
+    from casework.operators import first_after_anchor
+    got = rows(first_after_anchor(t["sales"], t["members"], "customer_id", "order_date", "join_date", how="left"), "customer_id", "product_id")
+    inner = rows(first_after_anchor(t["sales"], t["members"], "customer_id", "order_date", "join_date"), "customer_id", "product_id")
+    # C never joined: the items of its first day, ramen twice
+    assert got == sorted([*inner, ("C", 3), ("C", 3)], key=repr)
+
+
 def test_most_purchased(t):
     assert rows(q.most_purchased(t["sales"], t["menu"])) == [(3, "ramen", 8)]
 
