@@ -201,18 +201,18 @@ def star_rounds(edges: DataFrame, name: str, most: int = 60) -> DataFrame:
             out = j.select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select(F.col("k").alias("a"), F.col("m").alias("b")))
         return stage(out.where("a <> b").distinct(), f"{name}-{tag}")
 
-    def mark(e: DataFrame):
-        r = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        return r[0], r[1]
+    def settled(e: DataFrame) -> bool:
+        # stars: every node has one parent at most, and no parent has one itself
+        roles = e.select(F.col("a").alias("n"), F.lit(1).alias("child"), F.lit(0).alias("root")).union(
+            e.select(F.col("b").alias("n"), F.lit(0).alias("child"), F.lit(1).alias("root")))
+        roles = roles.groupBy("n").agg(F.sum("child").alias("child"), F.max("root").alias("root"))
+        return not roles.where("child > 1 or (child > 0 and root > 0)").agg(F.count("*")).first()[0]
 
     cur = stage(linked(edges, False).distinct(), f"{name}-edges")
-    was = mark(cur)
     for i in range(most):
-        cur = star(star(cur, True, f"large{i}"), False, f"small{i}")
-        now = mark(cur)
-        if now == was:
+        if settled(cur):
             break
-        was = now
+        cur = star(star(cur, True, f"large{i}"), False, f"small{i}")
     else:
         raise RuntimeError("components did not settle")
     nodes = cur.select(F.col("a").alias("node"), F.col("b").alias("component_id"))

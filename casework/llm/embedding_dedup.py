@@ -7,7 +7,7 @@
    group of nodes is ever held together.
 3. Rounds: a node samples ``SAMPLE`` of its neighbours, in both directions,
    and meets the neighbours of those. Its list keeps the ``LIST`` nearest; a
-   list that is full of links (saturated) is doubled, until the links fit.
+   list that is full of links (saturated) grows fourfold, until the links fit.
    Edges below ``FLOOR`` lead to no link within two steps and are not kept.
    Rounds end when they bring less than one new link per thousand nodes.
 4. Audit: ``AUDIT`` nodes, chosen by hash, are compared with all nodes in
@@ -32,7 +32,7 @@ THRESHOLD = 0.98
 TABLES = 8
 WINDOW = 4
 LIST = 16
-SAMPLE = 4
+SAMPLE = 6
 ROUNDS = 16
 AUDIT = 512
 RECALL = 0.97
@@ -134,10 +134,10 @@ def measured(pairs: DataFrame, nodes: DataFrame, floor: float) -> DataFrame:
 
 def nearest(edges: DataFrame, threshold: float, size: int = LIST) -> DataFrame:
     """The lists: of each node's edges (x, y, cos, old) the nearest ones. A
-    list holds ``size``, or twice the power of two that its old links fill."""
+    list holds ``size``, or as many times four as its old links fill."""
     all_ = edges.groupBy("x", "y").agg(F.max("cos").alias("cos"), F.max("old").alias("old"))
     links = F.sum(F.when(F.col("old") & (F.col("cos") >= threshold), 1).otherwise(0)).over(Window.partitionBy("x"))
-    room = F.when(links < size, F.lit(size)).otherwise((size * F.pow(F.lit(2.0), F.floor(F.log2(links / F.lit(size))) + 1)).cast("int"))
+    room = F.when(links < size, F.lit(size)).otherwise((size * F.pow(F.lit(4.0), F.floor(F.log2(links / F.lit(size)) / 2) + 1)).cast("int"))
     rank = F.row_number().over(Window.partitionBy("x").orderBy(F.desc("cos"), "y"))
     return all_.select("x", "y", "cos", "old", room.alias("room"), rank.alias("rank")).where("rank <= room").select("x", "y", "cos", "old")
 

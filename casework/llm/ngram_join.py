@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casework.llm.common import (
@@ -146,9 +146,12 @@ def prefixes(docs: DataFrame, order, width: int = SHINGLE, percent: int = PERCEN
     return docs.select("doc_id", "text").mapInArrow(run, "gram long, sid long, n int, i int")
 
 
-def segments(docs: DataFrame, wanted: DataFrame, order, width: int = SHINGLE, fragments: int = FRAGMENTS) -> DataFrame:
-    """(sid, fragment, members) of the documents in ``wanted`` (doc_id)."""
-    schema = pa.schema([("sid", pa.int64()), ("fragment", pa.int32()), ("members", pa.list_(pa.int64()))])
+def segments(docs: DataFrame, wanted: DataFrame, order, width: int = SHINGLE, fragments: int = FRAGMENTS, early: int = EARLY) -> DataFrame:
+    """(sid, fragment, members, early) of the documents in ``wanted``
+    (doc_id); ``early`` is the size of the first fragments together. The first
+    fragment of either part is there even when it is empty, so every pair meets
+    in both parts."""
+    schema = pa.schema([("sid", pa.int64()), ("fragment", pa.int32()), ("members", pa.list_(pa.int64())), ("early", pa.int32())])
 
     def run(batches):
         for _, sets in _sets_of(batches, width):
@@ -156,13 +159,13 @@ def segments(docs: DataFrame, wanted: DataFrame, order, width: int = SHINGLE, fr
             for sid, s in _distinct_sets(sets).items():
                 f = order.value.fragment(s, fragments)
                 at = np.argsort(f, kind="stable")
-                f, s = f[at], signed(s[at])
-                cut = np.flatnonzero(np.diff(f, prepend=-1))
-                out += [(sid, int(f[c]), m) for c, m in zip(cut, np.split(s, cut[1:]))]
+                parts = np.split(signed(s[at]), np.searchsorted(f[at], np.arange(1, fragments)))
+                size = int((f < early).sum())
+                out += [(sid, k, m, size) for k, m in enumerate(parts) if len(m) or k in (0, early)]
             if out:
                 yield record_batch(schema, *map(list, zip(*out)))
 
-    return docs.select("doc_id", "text").join(wanted, "doc_id").mapInArrow(run, "sid long, fragment int, members array<bigint>")
+    return docs.select("doc_id", "text").join(wanted, "doc_id").mapInArrow(run, "sid long, fragment int, members array<bigint>, early int")
 
 
 def _least_overlap(n, m, percent: int):
@@ -177,36 +180,35 @@ def _pass_filters(a: str, b: str, percent: int):
             & (1 + F.least(n - i - 1, m - j - 1) >= _least_overlap(n, m, percent)))
 
 
-def _overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """(a, b, c): the partial overlaps of the pairs in the fragments of
-    ``parts``, summed per pair."""
-    left = parts.select(F.col("sid").alias("a"), "fragment", F.col("members").alias("x"))
-    right = parts.select(F.col("sid").alias("b"), "fragment", F.col("members").alias("y"))
+def _overlaps(pairs: DataFrame, parts: DataFrame, keep: list[str]) -> DataFrame:
+    """The pairs with ``keep`` and c, the sum of their partial overlaps in the
+    fragments of ``parts``, and the early sizes of both."""
+    left = parts.select(F.col("sid").alias("a"), "fragment", F.col("members").alias("x"), F.col("early").alias("e_a"))
+    right = parts.select(F.col("sid").alias("b"), "fragment", F.col("members").alias("y"), F.col("early").alias("e_b"))
     # a fragment that one side lacks adds nothing to the overlap
-    partial = (pairs.select("a", "b").join(left, "a").join(right, ["b", "fragment"])
-               .select("a", "b", F.size(F.array_intersect("x", "y")).alias("c")))
-    return partial.groupBy("a", "b").agg(F.sum("c").alias("c"))
-
-
-def verified(pairs: DataFrame, sizes: DataFrame, parts: DataFrame, name: str, percent: int = PERCENT, early: int = EARLY) -> DataFrame:
-    """The linked ones of ``pairs`` (a, b): partial overlaps per fragment,
-    summed per pair. The first ``early`` fragments come first; a pair whose
-    overlap there leaves too little for the others is out."""
-    n = sizes.select(F.col("sid").alias("a"), F.col("n").alias("n_a"))
-    m = sizes.select(F.col("sid").alias("b"), F.col("n").alias("n_b"))
-    pairs = stage(pairs.select("a", "b").join(n, "a").join(m, "b"), f"{name}-sized")
+    partial = (pairs.select("a", "b", *keep).join(left, "a").join(right, ["b", "fragment"])
+               .select("a", "b", *keep, "e_a", "e_b", F.size(F.array_intersect("x", "y")).alias("c")))
+    return partial.groupBy("a", "b", *keep, "e_a", "e_b").agg(F.sum("c").alias("c"))
+
+
+def verified(pairs: DataFrame, parts: DataFrame, name: str, percent: int = PERCENT, early: int = EARLY) -> DataFrame:
+    """The linked ones of ``pairs`` (a, b, n_a, n_b): partial overlaps per
+    fragment, summed per pair. The first ``early`` fragments come first; a pair
+    whose overlap there leaves too little for the others is out."""
     least = _least_overlap(F.col("n_a"), F.col("n_b"), percent)
-    own = parts.where(F.col("fragment") < early).groupBy("sid").agg(F.sum(F.size("members")).alias("s"))
-    own = stage(own, f"{name}-early-sizes")
-    first = _overlaps(pairs, parts.where(F.col("fragment") < early))
-    some = stage(pairs.join(first, ["a", "b"], "left").join(own.select(F.col("sid").alias("a"), F.col("s").alias("s_a")), "a", "left")
-                 .join(own.select(F.col("sid").alias("b"), F.col("s").alias("s_b")), "b", "left")
-                 .na.fill(0, ["c", "s_a", "s_b"])
-                 .where(F.col("c") + F.least(F.col("n_a") - F.col("s_a"), F.col("n_b") - F.col("s_b")) >= least)
+    first = _overlaps(pairs, parts.where(F.col("fragment") < early), ["n_a", "n_b"])
+    some = stage(first.where(F.col("c") + F.least(F.col("n_a") - F.col("e_a"), F.col("n_b") - F.col("e_b")) >= least)
                  .select("a", "b", "n_a", "n_b", F.col("c").alias("c_early")), f"{name}-early")
-    rest = _overlaps(some, parts.where(F.col("fragment") >= early))
-    total = some.join(rest, ["a", "b"], "left").withColumn("c", F.col("c_early") + F.coalesce("c", F.lit(0)))
-    return total.where(F.lit(100) * F.col("c") >= F.lit(percent) * (F.col("n_a") + F.col("n_b") - F.col("c"))).select("a", "b")
+    rest = _overlaps(some, parts.where(F.col("fragment") >= early), ["n_a", "n_b", "c_early"])
+    c = F.col("c") + F.col("c_early")
+    return rest.where(F.lit(100) * c >= F.lit(percent) * (F.col("n_a") + F.col("n_b") - c)).select("a", "b")
+
+
+def _pair(m: str, h: str) -> list[Column]:
+    """(a, b, n_a, n_b) of two prefix rows, the smaller id first."""
+    swap = F.col(f"{m}.sid") > F.col(f"{h}.sid")
+    pick = lambda c, x, y: F.when(swap, F.col(f"{y}.{c}")).otherwise(F.col(f"{x}.{c}"))
+    return [pick("sid", m, h).alias("a"), pick("sid", h, m).alias("b"), pick("n", m, h).alias("n_a"), pick("n", h, m).alias("n_b")]
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -233,15 +235,14 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
 
     hubs = stage(members.groupBy("gram").agg(F.min(F.struct("sid", "n", "i")).alias("hub"))
                  .select("gram", F.col("hub.sid").alias("sid"), F.col("hub.n").alias("n"), F.col("hub.i").alias("i")), "ngram-hubs")
-    ends = [F.least("m.sid", "h.sid").alias("a"), F.greatest("m.sid", "h.sid").alias("b")]
     first = stage(members.alias("m").join(hubs.alias("h"), "gram").where("m.sid <> h.sid")
-                  .where(_pass_filters("m", "h", percent)).select(*ends).distinct(), "ngram-pairs1")
+                  .where(_pass_filters("m", "h", percent)).select(*_pair("m", "h")).distinct(), "ngram-pairs1")
 
     def links(pairs: DataFrame, name: str) -> DataFrame:
         ends = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
-        wanted = ends.join(classes, "sid").select(F.col("rep").alias("doc_id")).distinct()
+        wanted = ends.join(classes, "sid").select(F.col("rep").alias("doc_id"))
         parts = stage(segments(live, wanted, order, width), f"{name}-segments")
-        return stage(verified(pairs, classes, parts, name, percent), f"{name}-links")
+        return stage(verified(pairs, parts, name, percent), f"{name}-links")
 
     linked = links(first, "ngram-1")
     comp = stage(star_rounds(linked, "ngram-comp1"), "ngram-comp1")
@@ -253,7 +254,7 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
     rest = stage(of.join(open_, "gram"), "ngram-rest")
     across = (rest.alias("m").join(rest.alias("h"), (F.col("m.gram") == F.col("h.gram")) & (F.col("m.sid") < F.col("h.sid"))
                                    & (F.col("m.c") != F.col("h.c")) & _pass_filters("m", "h", percent))
-              .select(F.col("m.sid").alias("a"), F.col("h.sid").alias("b")).distinct())
+              .select(*_pair("m", "h")).distinct())
     second = stage(across.join(first, ["a", "b"], "left_anti"), "ngram-pairs2")
     more = links(second, "ngram-2")
     comp = stage(star_rounds(comp.select(F.col("node").alias("a"), F.col("component_id").alias("b")).union(more), "ngram-comp2"), "ngram-comp2")
