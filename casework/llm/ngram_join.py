@@ -7,11 +7,10 @@ pair is counted segment by segment, and the partial counts are summed per pair.
 
 1. Equal sets are one class (a set's id is a hash of its members), so copies
    cost one row.
-2. Order: n-grams that repeat within the batches of the scan are counted over
-   all batches; the most frequent ones (at most ``MOST_FREQUENT``, the only
-   thing broadcast) come last, by count, the others by hash. Any fixed order
-   gives exact results; this one keeps what many documents share out of the
-   prefixes.
+2. Order: all n-grams of all documents are counted; the most frequent ones
+   (at most ``MOST_FREQUENT``, the only thing broadcast) come last, by count,
+   the others by hash. Any fixed order gives exact results; this one keeps
+   what many documents share out of the prefixes.
 3. Prefix filter: two linked sets share a member among the first
    ``n - ceil(0.8 n) + 1`` of each. Members that only one class has in its
    prefix leave at once.
@@ -40,7 +39,8 @@ SHINGLE = 5
 PERCENT = 80               # links: 100 * intersection >= PERCENT * union
 FRAGMENTS = 16             # of the global order
 EARLY = 4                  # fragments that are compared first
-FREQUENT = 32              # counted occurrences from which an n-gram is frequent
+FREQUENT = 16              # counted occurrences from which an n-gram is frequent
+BUCKET_GRAMS = 4_000_000   # n-grams that one task counts, about
 MOST_FREQUENT = 1 << 18    # frequent n-grams that are broadcast (16 bytes each)
 
 
@@ -65,7 +65,8 @@ def set_id(members: np.ndarray) -> int:
 
 
 class Order:
-    """The global order: key of each n-gram, rarest first."""
+    """The global order: n-grams that are not frequent by hash, then the
+    frequent ones by count. ``grams`` holds the upper 48 bits of the hash."""
 
     def __init__(self, grams: np.ndarray, counts: np.ndarray):
         at = np.argsort(grams)
@@ -74,8 +75,9 @@ class Order:
     def frequency(self, members: np.ndarray) -> np.ndarray:
         if not len(self.grams):
             return np.zeros(len(members), np.int64)
-        k = np.minimum(np.searchsorted(self.grams, members), len(self.grams) - 1)
-        return np.where(self.grams[k] == members, self.counts[k], 0)
+        top = members >> U64(16)
+        k = np.minimum(np.searchsorted(self.grams, top), len(self.grams) - 1)
+        return np.where(self.grams[k] == top, self.counts[k], 0)
 
     def sort(self, members: np.ndarray) -> np.ndarray:
         return members[np.lexsort((members, self.frequency(members)))]
@@ -110,40 +112,64 @@ def _distinct_sets(sets) -> dict[int, np.ndarray]:
     return {set_id(s): s for s in sets if len(s)}
 
 
-def frequent_grams(docs: DataFrame, width: int = SHINGLE, least: int = FREQUENT, most: int = MOST_FREQUENT) -> Order:
-    schema = pa.schema([("gram", pa.int64()), ("seen", pa.int64())])
+def frequent_grams(docs: DataFrame, total: int, width: int = SHINGLE, least: int = FREQUENT, most: int = MOST_FREQUENT) -> Order:
+    """The order by the counts of all n-grams, over distinct sets per batch.
 
-    def run(batches):
+    A batch sends its distinct n-grams (48 bits of the hash, and a count) as
+    one sorted run per bucket of the hash; a bucket holds about
+    ``BUCKET_GRAMS`` of the ``total`` and a frequent n-gram one entry per batch
+    in it, so a bucket's sum is small whatever the skew. Only the ``most``
+    frequent ones reach the driver."""
+    buckets = max(64, -(-total // BUCKET_GRAMS))
+    schema = pa.schema([("bucket", pa.int64()), ("run", pa.binary())])
+    edges = np.array([(b << 48) // buckets for b in range(buckets + 1)], U64)
+
+    def runs(batches):
         for _, sets in _sets_of(batches, width):
             sets = list(_distinct_sets(sets).values())
             if sets:
-                grams, seen = np.unique(np.concatenate(sets), return_counts=True)
-                again = seen > 1
-                yield record_batch(schema, signed(grams[again]), seen[again])
-
-    counts = docs.select("doc_id", "text").mapInArrow(run, "gram long, seen long").groupBy("gram").agg(F.sum("seen").alias("seen"))
-    top = counts.where(F.col("seen") >= least).orderBy(F.desc("seen"), "gram").limit(most).toArrow()
+                grams, seen = np.unique(np.concatenate(sets) >> U64(16), return_counts=True)
+                packed = (grams << U64(16)) | np.minimum(seen, 0xFFFF).astype(U64)
+                at = np.searchsorted(grams, edges)
+                full = np.flatnonzero(np.diff(at))
+                yield record_batch(schema, full, [packed[at[b]:at[b + 1]].tobytes() for b in full])
+
+    def count(t: pa.Table) -> pa.Table:
+        packed = np.sort(np.frombuffer(b"".join(t.column("run").to_pylist()), U64))
+        grams = packed >> U64(16)
+        first = np.flatnonzero(np.diff(grams, prepend=grams[:1] + U64(1)))
+        seen = np.add.reduceat((packed & U64(0xFFFF)).astype(np.int64), first)
+        keep = seen >= least
+        return pa.table({"gram": pa.array(signed(grams[first][keep])), "seen": pa.array(seen[keep])})
+
+    counts = docs.select("doc_id", "text").mapInArrow(runs, "bucket long, run binary").groupBy("bucket").applyInArrow(count, "gram long, seen long")
+    top = counts.orderBy(F.desc("seen"), "gram").limit(most).toArrow()
     return Order(top.column(0).to_numpy().view(U64), top.column(1).to_numpy())
 
 
 def prefixes(docs: DataFrame, order, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(gram, sid, n, i): the members in each class's prefix and their place."""
-    schema = pa.schema([("gram", pa.int64()), ("sid", pa.int64()), ("n", pa.int32()), ("i", pa.int32())])
+    """(gram, sid, n, i, doc_id): the members in each class's prefix, their
+    place, and the class's smallest document in the batch."""
+    schema = pa.schema([("gram", pa.int64()), ("sid", pa.int64()), ("n", pa.int32()), ("i", pa.int32()), ("doc_id", pa.int64())])
 
     def run(batches):
-        for _, sets in _sets_of(batches, width):
-            own = _distinct_sets(sets)
-            grams, sids, ns, places = [], [], [], []
+        for ids, sets in _sets_of(batches, width):
+            own, low = _distinct_sets(sets), {}
+            for doc, s in zip(ids.to_pylist(), sets):
+                sid = set_id(s) if len(s) else None
+                low[sid] = min(doc, low.get(sid, doc))
+            grams, sids, ns, places, docs_ = [], [], [], [], []
             for sid, s in own.items():
                 p = prefix_length(len(s), percent)
                 grams.append(order.value.sort(s)[:p])
                 sids.append(np.full(p, sid))
                 ns.append(np.full(p, len(s), np.int32))
                 places.append(np.arange(p, dtype=np.int32))
+                docs_.append(np.full(p, low[sid]))
             if grams:
-                yield record_batch(schema, signed(np.concatenate(grams)), *map(np.concatenate, (sids, ns, places)))
+                yield record_batch(schema, signed(np.concatenate(grams)), *map(np.concatenate, (sids, ns, places, docs_)))
 
-    return docs.select("doc_id", "text").mapInArrow(run, "gram long, sid long, n int, i int")
+    return docs.select("doc_id", "text").mapInArrow(run, "gram long, sid long, n int, i int, doc_id long")
 
 
 def segments(docs: DataFrame, wanted: DataFrame, order, width: int = SHINGLE, fragments: int = FRAGMENTS, early: int = EARLY) -> DataFrame:
@@ -226,14 +252,16 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
     live = docs.where("doc_id is not null and text is not null")
     classes = stage(own.where("sid is not null and doc_id is not null").groupBy("sid")
                     .agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n")), "ngram-classes")
-    order = spark.sparkContext.broadcast(frequent_grams(live, width))
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    order = spark.sparkContext.broadcast(frequent_grams(live, total, width))
     # copies in several batches give equal rows; a gram that one class has leaves first
     prefix = stage(prefixes(live, order, width, percent), "ngram-prefixes")
     shared = stage(prefix.groupBy("gram").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"))
                    .where("lo <> hi").select("gram"), "ngram-shared")
-    members = stage(prefix.join(shared, "gram").distinct(), "ngram-members")
+    members = stage(prefix.join(shared, "gram").groupBy("gram", "sid", "n", "i").agg(F.min("doc_id").alias("doc_id")), "ngram-members")
 
-    hubs = stage(members.groupBy("gram").agg(F.min(F.struct("sid", "n", "i")).alias("hub"))
+    # the hub is the class of the earliest document: copies are near their origin
+    hubs = stage(members.groupBy("gram").agg(F.min(F.struct("doc_id", "sid", "n", "i")).alias("hub"))
                  .select("gram", F.col("hub.sid").alias("sid"), F.col("hub.n").alias("n"), F.col("hub.i").alias("i")), "ngram-hubs")
     first = stage(members.alias("m").join(hubs.alias("h"), "gram").where("m.sid <> h.sid")
                   .where(_pass_filters("m", "h", percent)).select(*_pair("m", "h")).distinct(), "ngram-pairs1")
