@@ -25,7 +25,7 @@ from casework.llm.common import lower_ascii, record_batch, split_words, stage, t
 LENGTH = 2048
 END_ID = 1
 GROUP_PIECES = 2000
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 1_000_000   # about 70 bytes each
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _PIECES_PA = pa.schema([(c.split()[0], pa.int64()) for c in _PIECES.split(", ")])
@@ -142,7 +142,7 @@ def tokenizer_of(path: str) -> WordTokenizer:
 
 def _rows_of_ids(batch: pa.RecordBatch, tokenizer: WordTokenizer, end_id: int) -> Iterator[np.ndarray]:
     """The ids of each row of the batch, with ``end_id`` at the end."""
-    for lo, hi, buf, off in text_slices(batch, "text", 1 << 23):
+    for lo, hi, buf, off in text_slices(batch, "text", 1 << 21):
         ids, rows = tokenizer.encode(buf, off)
         for i in range(hi - lo):
             yield np.append(ids[rows[i]:rows[i + 1]], np.uint32(end_id)).astype("<u4")
