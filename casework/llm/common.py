@@ -28,8 +28,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
-# Spark removes the shuffle files of a query as soon as it has ended
-_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_STAGE_CONF = {
+    # Spark removes the shuffle files of a query as soon as it has ended
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    # rows of a batch that Python gets at once: texts of some megabytes
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -38,12 +42,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     skewed key on either side. The shuffle files of the write go at its end."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    before = spark.conf.get(_CLEAN, "false")
-    spark.conf.set(_CLEAN, "true")
+    before = {k: spark.conf.get(k, None) for k in _STAGE_CONF}
+    for k, v in _STAGE_CONF.items():
+        spark.conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(_CLEAN, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 

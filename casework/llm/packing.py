@@ -11,6 +11,7 @@ their number and checksum, and ``sequences`` rebuilds them from the text.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -73,8 +74,8 @@ class WordTokenizer:
 
     def _letters(self, words: list[bytes]) -> list[np.ndarray]:
         out = []
-        for lo in range(0, len(words), 50_000):
-            part = words[lo:lo + 50_000]
+        for lo in range(0, len(words), 10_000):
+            part = words[lo:lo + 10_000]
             lines = [b" ".join(part[i:i + 500]).decode() for i in range(0, len(part), 500)]
             ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.merges.encode_batch_fast(lines, add_special_tokens=False)])
             out += np.split(ids, np.flatnonzero(self.ends[ids])[:-1] + 1)
@@ -136,6 +137,8 @@ _TOKENIZERS: dict[str, WordTokenizer] = {}
 def tokenizer_of(path: str) -> WordTokenizer:
     """One per Python worker: its chunks serve the worker's later tasks too."""
     if path not in _TOKENIZERS:
+        # Spark runs one worker per core; threads of the library would only add memory
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         _TOKENIZERS[path] = WordTokenizer(path)
     return _TOKENIZERS[path]
 
