@@ -44,11 +44,10 @@ notes = {
     "of all events contributes at most one row per day to the window.",
 "state_at_date": "State at a date = last row per user with `ts` under the bound: a `max_by` aggregate "
     "(partial per map task; sort-based because the ordering key is a struct) instead of `lead` + "
-    "`IS NULL`. The share of total reads the one-row total as a scalar subquery.",
-"next_plan_lead": "`lead(event_type)` per user, bucketed by hour: the window partitions on (user, hour), bucket "
-    "heads come from the same window's first-row flag, and a second small window over one row per bucket "
-    "links each bucket to the next. The user's first row is flagged by the same windows, so no extra "
-    "aggregate or join is needed to restrict to it.",
+    "`IS NULL`. The share of total is a window over the few group rows.",
+"next_plan_lead": "`lead(event_type)` at each user's first row needs that user's first two rows: `row_number <= 2` "
+    "with a partial group limit before the shuffle, one aggregate per user in the same partitioning, and a "
+    "window over the few group rows for the share.",
 }
 
 PROBE_PAIRS = [
@@ -64,19 +63,19 @@ PROBE_PAIRS = [
      "next event type: next_value (user, hour buckets)",
      "`next_value`: window per (user, hour), bucket heads linked by a small window"),
     ("next event type, hot user's third of the log in one hour", "next event type, hot user in one hour: window lead",
-     "next event type, hot user in one hour: next_value, hot hour per second",
-     "`next_value`: the hot (user, hour) is windowed per second (`rows_per_bucket=3125`); with hour buckets only "
-     "it would read {next event type, hot user in one hour: next_value, hour buckets only} rows"),
+     "next event type, hot user in one hour: next_value, second buckets",
+     "`next_value` with a bucket of a second; with hour buckets "
+     "it would read {next event type, hot user in one hour: next_value, hour buckets} rows"),
     ("state at a date", "state at date: window lead + IS NULL",
      "state at date: state_at (max_by aggregate)", "`state_at`: `max_by` aggregate, combined map-side"),
     ("average per user on every row", "average per user on every row: window avg",
      "average per user on every row: with_group_stats",
      "`with_group_stats`: partial aggregate joined back; AQE splits the hot key's join partition"),
     ("global row number by event id", "global row number: window row_number", "global row number: dense_ids",
-     "`dense_ids`: value ranges of the leading key, running offsets over one row per range"),
+     "`dense_ids`: equal-depth ranges of the order, running offsets over one row per range"),
     ("global row number by (user, event), hot leading user", "row number by (user, event): window row_number",
      "row number by (user, event): dense_ids (hot user split)",
-     "`dense_ids`: the hot user's range is split by ranges of the second column (`rows_per_bucket=3125`)"),
+     "`dense_ids`: ranges of all order columns, so a hot user spans several"),
 ]
 
 
@@ -96,8 +95,8 @@ def probe_section(d):
     lines += ["",
               "A first version of `first_per` / `nth_per` used an aggregate plus a join back; the probe showed that form",
               "shuffling far more rows of the hot user into one task than the window, whose partial group limit runs before",
-              "the shuffle, so they now use the window form. What remains for `dense_rank_column` / `next_value` and the",
-              "split `dense_ids` is several day- or sub-ranges hashed to the same one of 32 partitions.", ""]
+              "the shuffle, so they now use the window form. What remains for `dense_rank_column` and `next_value` is",
+              "several pieces hashed to the same one of 32 partitions.", ""]
     return "\n".join(lines)
 
 
@@ -131,7 +130,7 @@ def main():
                 "shuffling again). `hash`/`range`/`single` are shuffles by partitioning; `partial limit` is the\n"
                 "map-side `WindowGroupLimit` of rank filters; `sort agg` comes from `min`/`max_by` over struct\n"
                 "orderings (still partial per map task). Broadcasts here are AQE's or static choices under\n"
-                "the size threshold, plus the two bounded hints (`dense_ids` ranges, `next_value` hot pairs).\n\n"
+                "the size threshold; no join carries a hint.\n\n"
                 + census + "\n")
         f.write(probe)
 

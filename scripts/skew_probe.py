@@ -24,7 +24,7 @@ from pyspark.sql import SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from casework.operators import (  # noqa: E402
-    dense_ids, dense_rank_column, next_value, nth_per, state_at, top_with_ties, with_group_stats,
+    dense_ids, dense_rank_column, first_row_next, next_value, nth_per, state_at, top_with_ties, with_group_stats,
 )
 
 
@@ -86,12 +86,13 @@ def main() -> None:
             next_value(e, "user_id", ["ts", "event_id"], "event_type", "n"),
         "next event type, hot user in one hour: window lead":
             eh.withColumn("n", F.lead("event_type").over(w_user.orderBy("ts", "event_id"))),
-        "next event type, hot user in one hour: next_value, hour buckets only":
+        "next event type, hot user in one hour: next_value, hour buckets":
+            next_value(eh, "user_id", ["ts", "event_id"], "event_type", "n"),
+        "next event type, hot user in one hour: next_value, second buckets":
             next_value(eh, "user_id", ["ts", "event_id"], "event_type", "n",
-                       rows_per_bucket=1 << 40),
-        "next event type, hot user in one hour: next_value, hot hour per second":
-            next_value(eh, "user_id", ["ts", "event_id"], "event_type", "n",
-                       rows_per_bucket=3125),
+                       bucket=F.date_trunc("second", "ts")),
+        "second event type per user: first_row_next":
+            first_row_next(e, "user_id", ["ts", "event_id"], "event_type", "n"),
         "state at date: window lead + IS NULL":
             e.where(F.col("day") <= "2024-01-15").withColumn(
                 "n", F.lead("event_id").over(w_user.orderBy("ts", "event_id"))).where("n IS NULL"),
@@ -108,7 +109,7 @@ def main() -> None:
         "row number by (user, event): window row_number":
             e.withColumn("rid", F.row_number().over(Window.orderBy("user_id", "event_id"))),
         "row number by (user, event): dense_ids (hot user split)":
-            dense_ids(e, ["user_id", "event_id"], "rid", rows_per_bucket=3125),
+            dense_ids(e, ["user_id", "event_id"], "rid"),
     }
     for name, df in variants.items():
         spark.sparkContext.setJobDescription(name)
