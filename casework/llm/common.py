@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -112,6 +114,14 @@ def batch_text(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarr
     return raw, off
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Spark keeps its Python workers, and
+    what one task has freed should not count against the next one."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_slices(batch: pa.RecordBatch, column: str, most: int = 1 << 21) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Slices (first row, end row, bytes, offsets from 0) of at most ``most``
     bytes; a longer text is a slice of its own. Every row is in one slice."""
@@ -122,6 +132,7 @@ def text_slices(batch: pa.RecordBatch, column: str, most: int = 1 << 21) -> Iter
         hi = min(hi, n)
         yield lo, hi, raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]
         lo = hi
+    give_back()
 
 
 _ASCII_SPACE = np.zeros(256, bool)

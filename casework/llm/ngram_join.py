@@ -92,9 +92,10 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
 
 
 def _sets_of(batches, width):
-    """(ids, sets) of every batch."""
+    """(ids, sets) of the documents, a slice of some megabytes of text at a time."""
     for b in batches:
-        yield b.column(0), [s for _, _, buf, off in text_slices(b, "text") for s in shingle_sets(buf, off, width)]
+        for lo, hi, buf, off in text_slices(b, "text"):
+            yield b.column(0).slice(lo, hi - lo), list(shingle_sets(buf, off, width))
 
 
 def set_table(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
