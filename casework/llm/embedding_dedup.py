@@ -9,9 +9,12 @@
    and meets the neighbours of those. Its list keeps the ``LIST`` nearest; a
    list that is full of links (saturated) grows fourfold, until the links fit.
    Edges below ``FLOOR`` lead to no link within two steps and are not kept.
-   Rounds end when they bring less than one new link per thousand nodes.
-4. Audit: ``AUDIT`` nodes, chosen by hash, are compared with all nodes in
-   blocks; below ``RECALL`` the rounds go on with further orders.
+   Rounds end when no list is saturated and a round brings at most one new
+   link per thousand that are known; the size of the table plays no part.
+4. Audit: ``AUDIT`` nodes and as many nodes that have links, chosen by hash,
+   are compared with all nodes in blocks; if either recall is below ``RECALL``
+   (or lists were still growing) the rounds go on with further orders. After
+   ``REPAIRS`` of them all nodes are compared, ``EXACT`` at a time.
 5. Edges of at least the threshold are the links; components follow.
 
 All cosines are double precision, in NumPy within tasks.
@@ -37,6 +40,7 @@ ROUNDS = 16
 AUDIT = 512
 RECALL = 0.97
 REPAIRS = 3
+EXACT = 8192               # nodes broadcast at a time where every pair is compared
 
 _EDGE = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("cos", pa.float64())])
 _EDGE_SQL = "x long, y long, cos double"
@@ -133,18 +137,18 @@ def measured(pairs: DataFrame, nodes: DataFrame, floor: float) -> DataFrame:
 
 
 def nearest(edges: DataFrame, threshold: float, size: int = LIST) -> DataFrame:
-    """The lists: of each node's edges (x, y, cos, old) the nearest ones. A
-    list holds ``size``, or as many times four as its old links fill."""
+    """The lists: of each node's edges (x, y, cos, old) the nearest ones, and
+    the list's ``room``: ``size``, or as many times four as its old links fill."""
     all_ = edges.groupBy("x", "y").agg(F.max("cos").alias("cos"), F.max("old").alias("old"))
     links = F.sum(F.when(F.col("old") & (F.col("cos") >= threshold), 1).otherwise(0)).over(Window.partitionBy("x"))
     room = F.when(links < size, F.lit(size)).otherwise((size * F.pow(F.lit(4.0), F.floor(F.log2(links / F.lit(size)) / 2) + 1)).cast("int"))
     rank = F.row_number().over(Window.partitionBy("x").orderBy(F.desc("cos"), "y"))
-    return all_.select("x", "y", "cos", "old", room.alias("room"), rank.alias("rank")).where("rank <= room").select("x", "y", "cos", "old")
+    return all_.select("x", "y", "cos", "old", room.alias("room"), rank.alias("rank")).where("rank <= room").select("x", "y", "cos", "old", "room")
 
 
-def refine(graph: DataFrame, nodes: DataFrame, threshold: float, count: int, name: str, rounds: int = ROUNDS) -> DataFrame:
-    """Step 3."""
-    floor = floor_of(threshold)
+def refine(graph: DataFrame, nodes: DataFrame, threshold: float, name: str, rounds: int = ROUNDS) -> tuple[DataFrame, bool]:
+    """Step 3: (graph, whether it has settled within ``rounds``)."""
+    floor, settled = floor_of(threshold), False
     for r in range(rounds):
         both = graph.select("x", "y").union(graph.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct()
         rank = F.row_number().over(Window.partitionBy("x").orderBy(F.xxhash64("x", "y", F.lit(r)), "y"))
@@ -156,23 +160,24 @@ def refine(graph: DataFrame, nodes: DataFrame, threshold: float, count: int, nam
         # what one end has found, the other knows too
         new = new.union(new.select(F.col("y").alias("x"), F.col("x").alias("y"), "cos", "old"))
         graph = stage(nearest(graph.withColumn("old", F.lit(True)).union(new), threshold), f"{name}-graph{r}")
-        found = graph.where(~F.col("old") & (F.col("cos") >= threshold)).count()
-        graph = graph.drop("old")
-        if 1000 * found < count:
+        known = graph.where(F.col("cos") >= threshold).groupBy("x").agg(F.count("*").alias("links"), F.count_if(~F.col("old")).alias("new"), F.max("room").alias("room"))
+        found, links, full = known.agg(F.sum("new"), F.sum("links"), F.count_if(F.col("links") >= F.col("room"))).first()
+        graph = graph.drop("old", "room")
+        settled = not full and 1000 * (found or 0) <= (links or 0)
+        if settled:
             break
-    return graph
+    return graph, settled
 
 
-def audit(links: DataFrame, nodes: DataFrame, threshold: float, queries: int = AUDIT) -> tuple[int, int]:
-    """(links of the audited nodes, those that were found)."""
-    spark = nodes.sparkSession
-    sample = nodes.select("x", F.col("label").cast("long").alias("label"), "dim", "v").orderBy(F.xxhash64("x"), "x").limit(queries).toArrow()
+def compared(sample: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """(x, y) of all links of the nodes of ``sample``, which is broadcast."""
+    sample = sample.select("x", F.col("label").cast("long").alias("label"), "dim", "v").toArrow()
     by: dict[tuple, list] = {}
     for x, label, dim, v in zip(*(sample.column(i).to_pylist() for i in range(4))):
         by.setdefault((label, dim), []).append((x, v))
     blocks = {k: (np.array([x for x, _ in q]), np.array([v for _, v in q])) for k, q in by.items()}
     blocks = {k: (x, v / np.linalg.norm(v, axis=1)[:, None]) for k, (x, v) in blocks.items()}
-    shared = spark.sparkContext.broadcast(blocks)
+    shared = nodes.sparkSession.sparkContext.broadcast(blocks)
 
     def run(batches):
         for b in batches:
@@ -186,30 +191,57 @@ def audit(links: DataFrame, nodes: DataFrame, threshold: float, queries: int = A
                     i, j = np.nonzero((cos >= threshold) & (x[rows][:, None] != q))
                     yield record_batch(_EDGE, q[j], x[rows][i], cos[i, j])
 
-    true = nodes.select("x", F.col("label").cast("long"), "dim", "v").mapInArrow(run, _EDGE_SQL).select("x", "y")
+    return nodes.select("x", F.col("label").cast("long"), "dim", "v").mapInArrow(run, _EDGE_SQL).select("x", "y")
+
+
+def audit(links: DataFrame, nodes: DataFrame, threshold: float, queries: int = AUDIT) -> tuple[int, int]:
+    """(links of the audited nodes, those that were found); the nodes are
+    chosen from all of ``nodes`` by hash."""
+    return _share(links, nodes, nodes, threshold, queries)
+
+
+def audit_linked(links: DataFrame, nodes: DataFrame, threshold: float, queries: int = AUDIT) -> tuple[int, int]:
+    """The same of nodes that have links, however few they are in the table."""
+    return _share(links, nodes.join(links.select("x").distinct(), "x", "left_semi"), nodes, threshold, queries)
+
+
+def _share(links: DataFrame, among: DataFrame, nodes: DataFrame, threshold: float, queries: int) -> tuple[int, int]:
+    true = compared(among.orderBy(F.xxhash64("x"), "x").limit(queries), nodes, threshold)
     hit = true.join(links.select("x", "y", F.lit(1).alias("hit")), ["x", "y"], "left")
     row = hit.agg(F.count("*"), F.count("hit")).first()
     return row[0], row[1]
 
 
-def links_of(nodes: DataFrame, threshold: float = THRESHOLD, seed: int = 7) -> tuple[DataFrame, float]:
+def all_links(nodes: DataFrame, threshold: float, count: int, name: str, size: int = EXACT) -> DataFrame:
+    """(x, y) of every link in both directions: each node is compared with
+    every other, about ``size`` nodes against the table at a time."""
+    parts = max(1, -(-count // size))
+    out = None
+    for k in range(parts):
+        part = stage(compared(nodes.where(F.pmod(F.xxhash64("x"), F.lit(parts)) == k), nodes, threshold), f"{name}{k}")
+        out = part if out is None else out.union(part)
+    return out
+
+
+def links_of(nodes: DataFrame, threshold: float = THRESHOLD, seed: int = 7, repairs: int = REPAIRS) -> tuple[DataFrame, float]:
     """((x, y) of all found links in both directions, audited recall)."""
     count = nodes.count()
     bits = max(1, min(40, math.ceil(math.log2(max(2, count))) - 2))
-    floor, graph, share = floor_of(threshold), None, 1.0
-    for go in range(REPAIRS):
+    floor, graph = floor_of(threshold), None
+    for go in range(repairs):
         start = first_graph(nodes, bits, seed + go, floor).withColumn("old", F.lit(False))
         if graph is not None:
             start = start.union(graph.withColumn("old", F.lit(True)))
-        graph = stage(nearest(start, threshold).drop("old"), f"nnd-first{go}")
-        graph = refine(graph, nodes, threshold, count, f"nnd{go}")
+        graph = stage(nearest(start, threshold).drop("old", "room"), f"nnd-first{go}")
+        graph, settled = refine(graph, nodes, threshold, f"nnd{go}")
         one = graph.where(F.col("cos") >= threshold).select("x", "y")
         links = stage(one.union(one.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), f"nnd-links{go}")
-        true, found = audit(links, nodes, threshold)
-        share = found / true if true else 1.0
-        if share >= RECALL:
-            break
-    return links, share
+        if settled:
+            audits = [audit(links, nodes, threshold), audit_linked(links, nodes, threshold)]
+            share = min(found / true if true else 1.0 for true, found in audits)
+            if share >= RECALL:
+                return links, share
+    return all_links(nodes, threshold, count, "nnd-exact"), 1.0
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -410,6 +410,37 @@ def test_embedding_dedup(spark):
     assert none.count() == 0
 
 
+def cluster_nodes(spark, size, others):
+    """``size`` mutually linked nodes among ``others`` that link with nothing."""
+    rng = np.random.default_rng(11)
+    centre = rng.standard_normal(16)
+    rows = [(i, centre + rng.standard_normal(16) * 0.02, 0) for i in range(size)] + [(size + i, rng.standard_normal(16), 1 + i) for i in range(others)]
+    return spark.createDataFrame([(i, lab, 16, v.tolist(), 1) for i, v, lab in rows], "x long, label int, dim int, v array<double>, members long").repartition(4).cache()
+
+
+def test_full_lists_grow_whatever_the_table(spark):
+    # a list starts with 16; the stop rule must not see the size of the table
+    nodes = cluster_nodes(spark, 200, 0)
+    t = embedding_dedup.THRESHOLD
+    start = embedding_dedup.first_graph(nodes, 6, 7, embedding_dedup.floor_of(t)).withColumn("old", F.lit(False))
+    graph, settled = embedding_dedup.refine(embedding_dedup.nearest(start, t).select("x", "y", "cos"), nodes, t, "test-nnd")
+    assert settled and graph.where(F.col("cos") >= t).select("x", "y").distinct().count() == 200 * 199
+    graph, settled = embedding_dedup.refine(embedding_dedup.nearest(start, t).select("x", "y", "cos"), nodes, t, "test-nnd", rounds=1)
+    assert not settled
+
+
+def test_audit_sees_the_linked_nodes(spark):
+    nodes = cluster_nodes(spark, 20, 3000)
+    t = embedding_dedup.THRESHOLD
+    every = embedding_dedup.all_links(nodes, t, 3020, "test-exact", size=1000).cache()
+    assert every.count() == every.distinct().count() == 20 * 19
+    assert embedding_dedup.audit_linked(every, nodes, t, 64) == (380, 380)
+    assert embedding_dedup.audit_linked(every.where("abs(x - y) = 1"), nodes, t, 64) == (380, 38)
+    # no search that met the bound: every pair is compared
+    links, share = embedding_dedup.links_of(nodes, t, repairs=0)
+    assert share == 1.0 and sorted(map(tuple, links.collect())) == sorted(map(tuple, every.collect()))
+
+
 # ------------------------------------------------------------ 10 decontamination
 
 def test_block_max_wand_retrieves_all():
