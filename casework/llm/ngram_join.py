@@ -269,8 +269,9 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
 
     def links(pairs: DataFrame, name: str) -> DataFrame:
         ends = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
-        wanted = ends.join(classes, "sid").select(F.col("rep").alias("doc_id"))
-        parts = stage(segments(live, wanted, order, width), f"{name}-segments")
+        wanted = ends.join(classes, "sid").select(F.col("rep").alias("doc_id")).distinct()
+        # a repeated row gives its fragments again in every slice it stands in
+        parts = stage(segments(live, wanted, order, width).dropDuplicates(["sid", "fragment"]), f"{name}-segments")
         return stage(verified(pairs, parts, name, percent), f"{name}-links")
 
     linked = links(first, "ngram-1")

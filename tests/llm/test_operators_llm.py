@@ -220,6 +220,15 @@ def test_ngram_join_empty_and_kept(spark):
     assert kept.columns == df.columns and sorted(map(tuple, kept.collect()), key=repr) == sorted([(3, t, "b"), (None, t, "c"), (9, None, "d")], key=repr)
 
 
+def test_ngram_join_counts_repeated_rows_once(spark):
+    # sets of 100 with 50 in common do not link, also when a repeated row's texts stand in slices of their own
+    words = [[f"{k}0_{i}" for i in range(54)] for k in "xyz"]
+    one, two = (" ".join(words[0] + words[k][:50]) + " " * 1_500_000 for k in (1, 2))
+    df = spark.createDataFrame([(1, one), (2, two), (1, one)], "doc_id long, text string")
+    got = sorted(map(tuple, ngram_join.near_duplicates(df).collect()))
+    assert got == [(1, 100, 1), (1, 100, 1), (2, 100, 2)]
+
+
 # ------------------------------------------------------------ 5 packing
 
 def test_first_fit_decreasing_is_first_fit():
