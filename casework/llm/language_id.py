@@ -10,7 +10,8 @@ The automata are laid out as one dense transition table per language (a missing
 transition holds the state after the new phrase's first byte and a break flag),
 so a whole batch of texts is walked with NumPy, one byte of every lane at a
 time. Texts are parsed whole, in blocks of ``BLOCK`` bytes; each block starts
-with a new phrase.
+with a new phrase. Every language is learned; the tables of ``SHARD_LANGUAGES``
+at a time are broadcast, a text meets all shards and the smallest cost wins.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from casework.llm.common import record_batch, table, text_slices
 
 SAMPLE_ROWS = 96          # labelled documents per language, on average
 SAMPLE_BYTES = 24_576     # training bytes per language
-SAMPLE_CHARS = 2_048      # characters taken from one labelled document
-MOST_LANGUAGES = 64       # their tables together are broadcast: at most 64 * 2 * SAMPLE_BYTES states
+SAMPLE_CHARS = 2_048      # characters taken from one labelled document, at a place chosen by hash
+SHARD_LANGUAGES = 16      # languages whose tables are one broadcast: at most 16 * 2 * SAMPLE_BYTES states
 BLOCK = 512
 _BREAK = np.int32(1 << 30)
 
@@ -132,52 +133,73 @@ class CrossParser:
         return out / np.maximum(n, 1)[:, None]
 
 
-def train(docs: DataFrame, rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES) -> CrossParser:
-    """Automata of a bounded sample of the labelled rows that are not held out.
+def _span() -> F.Column:
+    """``SAMPLE_CHARS`` characters of the text, from a place chosen by hash."""
+    spare = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0))
+    return F.substring(F.col("text"), (F.pmod(F.xxhash64("text", "doc_id"), spare + 1) + 1).cast("int"), F.lit(SAMPLE_CHARS))
+
+
+def train(docs: DataFrame, rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES) -> dict[str, bytes]:
+    """A bounded sample, per language, of the labelled rows that are not held
+    out; no language is left out.
 
     Every language weighs the same: rows are taken in the order of (hash of
     the row) * (rows of the language), so about ``rows`` of each come first.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("doc_id") & F.col("text").rlike(r"\p{L}"))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    counts = [(r["lang"], float(r["count"])) for r in known.groupBy("lang").count().collect()]
     if not counts:
-        return CrossParser({})
-    weight = F.lit(0.0)
-    for r in counts:
-        weight = F.when(F.col("lang") == r["lang"], F.lit(float(r["count"]))).otherwise(weight)
-    picked = (known.where(F.col("lang").isin([r["lang"] for r in counts]))
-              .select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"),
-                      ((F.xxhash64("doc_id", "text").cast("double") / 2.0**64 + 0.5) * weight).alias("at"))
+        return {}
+    weight = docs.sparkSession.createDataFrame(counts, "lang string, weight double")
+    picked = (known.join(weight, "lang")
+              .select("lang", _span().alias("text"),
+                      ((F.xxhash64("doc_id", "text").cast("double") / 2.0**64 + 0.5) * F.col("weight")).alias("at"))
               # that many of a language are expected, and no more than that go to the driver
               .where(F.col("at") < 2.0 * rows).orderBy("at", "text").limit(rows * len(counts)).collect())
-    samples = {r["lang"]: b"" for r in counts}
+    samples = {lang: b"" for lang, _ in counts}
     for r in picked:
         samples[r["lang"]] += r["text"].encode() + b" "
-    samples = {k: v[:size] for k, v in samples.items() if v}
-    # the languages get samples of one size where they can
-    return CrossParser(samples)
+    # a language whose rows are copies of few may have none below the bound
+    none = [k for k, v in samples.items() if not v]
+    if none:
+        for r in known.where(F.col("lang").isin(none)).groupBy("lang").agg(F.min(_span()).alias("text")).collect():
+            samples[r["lang"]] = r["text"].encode() + b" "
+    return {k: v[:size] for k, v in samples.items()}
+
+
+def _broadcast(spark: SparkSession, samples: dict[str, bytes], shard: int) -> tuple[list[str], list]:
+    """(languages in order, a broadcast parser per ``shard`` of them); the
+    driver holds the tables of one shard at a time."""
+    langs = sorted(samples)
+    return langs, [spark.sparkContext.broadcast(CrossParser({k: samples[k] for k in langs[i:i + shard]})) for i in range(0, len(langs), shard)]
 
 
 _LETTER = r"\p{L}"
 
 
-def _labels(batch: pa.RecordBatch, letters: np.ndarray, m: CrossParser):
-    """(first row, end row, language numbers, scores) of the batch's slices;
-    the number after the last language is ``und``."""
-    for lo, hi, buf, off in text_slices(batch, "text", 1 << 22):
-        best, score = np.full(hi - lo, len(m.langs)), np.zeros(hi - lo)
-        if m.langs:
+def _labels(batch: pa.RecordBatch, letters: np.ndarray, count: int, shards: list) -> tuple[np.ndarray, np.ndarray]:
+    """(language numbers, scores) of the batch's rows; the number ``count``,
+    after the last language, is ``und``."""
+    n = batch.num_rows
+    best, low, after = np.full(n, count), np.full(n, np.inf), np.full(n, np.inf)
+    first = 0
+    for shared in shards:
+        m = shared.value
+        for lo, hi, buf, off in text_slices(batch, "text", 1 << 22):
             cost = m.costs(buf, off)
-            best = np.argmin(cost, axis=1)
-            low = cost[np.arange(hi - lo), best]
-            if len(m.langs) > 1:
-                cost[np.arange(hi - lo), best] = np.inf
-                score = 1 - low / np.maximum(cost.min(axis=1), 1e-300)
-            else:
-                score = np.ones(hi - lo)
-            none = ~letters[lo:hi]
-            best[none], score[none] = len(m.langs), 0
-        yield lo, hi, best, np.clip(score, 0, 1)
+            k = np.argmin(cost, axis=1)
+            c = cost[np.arange(hi - lo), k]
+            cost[np.arange(hi - lo), k] = np.inf
+            # equal costs go to the first language in order, which an earlier shard has
+            better = c < low[lo:hi]
+            after[lo:hi] = np.minimum(np.where(better, low[lo:hi], np.minimum(after[lo:hi], c)), cost.min(axis=1))
+            best[lo:hi], low[lo:hi] = np.where(better, first + k, best[lo:hi]), np.minimum(low[lo:hi], c)
+        first += len(m.langs)
+        if len(shards) > 1 and shared._path is not None:
+            # one shard's tables in memory at a time; the next batch reads them again
+            del m, shared._value
+    score = 1 - low / np.maximum(after, 1e-300) if count > 1 else np.full(n, float(count))
+    return np.where(letters, best, count), np.clip(np.where(letters, score, 0), 0, 1)
 
 
 def _has_letters(batch: pa.RecordBatch) -> np.ndarray:
@@ -191,7 +213,7 @@ def _marked(docs: DataFrame) -> DataFrame:
 _MARK = "has letters (language_id)"
 
 
-def predict(docs: DataFrame, model: CrossParser) -> DataFrame:
+def predict(docs: DataFrame, model: dict[str, bytes], shard: int = SHARD_LANGUAGES) -> DataFrame:
     """(doc_id, lang_pred, score) of each row.
 
     ``und`` with score 0 if the text is null or has no letter, or nothing was
@@ -200,28 +222,26 @@ def predict(docs: DataFrame, model: CrossParser) -> DataFrame:
     language in order. Rows with equal or null ids stay rows of their own;
     other columns are ignored. An empty table gives no row.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    langs, shards = _broadcast(docs.sparkSession, model, shard)
 
     def run(batches):
-        langs = np.array([*shared.value.langs, "und"], object)
+        names = np.array([*langs, "und"], object)
         for b in batches:
-            for lo, hi, best, score in _labels(b, _has_letters(b), shared.value):
-                yield record_batch(_OUT_PA, b.column(0).slice(lo, hi - lo), langs[best].tolist(), score)
+            best, score = _labels(b, _has_letters(b), len(langs), shards)
+            yield record_batch(_OUT_PA, b.column(0), names[best].tolist(), score)
 
     return _marked(docs.select("doc_id", "text")).mapInArrow(run, _OUT)
 
 
-def drop_unknown(docs: DataFrame, model: CrossParser) -> DataFrame:
+def drop_unknown(docs: DataFrame, model: dict[str, bytes], shard: int = SHARD_LANGUAGES) -> DataFrame:
     """``docs`` without the rows that get no language (``und``); all columns
     stay, and every decision is made where the row is."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    langs, shards = _broadcast(docs.sparkSession, model, shard)
 
     def run(batches):
         for b in batches:
-            keep = np.zeros(b.num_rows, bool)
-            for lo, hi, best, _ in _labels(b, _has_letters(b), shared.value):
-                keep[lo:hi] = best < len(shared.value.langs)
-            yield b.filter(pa.array(keep)).drop_columns([_MARK])
+            best, _ = _labels(b, _has_letters(b), len(langs), shards)
+            yield b.filter(pa.array(best < len(langs))).drop_columns([_MARK])
 
     return _marked(docs).mapInArrow(run, docs.schema)
 

@@ -324,6 +324,28 @@ def test_language_id(spark):
     assert language_id.predict(empty(spark), model).count() == 0
 
 
+def test_every_language_is_learned(spark):
+    rnd = random.Random(70)
+    words = {f"l{k:02d}": ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(12)] for k in range(70)}
+    rows = [(100 * k + i, " ".join(rnd.choice(w) for _ in range(30)), lang) for k, (lang, w) in enumerate(words.items()) for i in range(12 if k < 64 else 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(docs)
+    got = language_id.predict(docs, model).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(model) == 70 and len(got) == len(rows) and all(r["lang"] == r["lang_pred"] for r in got)
+    one = sorted(language_id.predict(docs, model, shard=70).collect())
+    assert one == sorted(language_id.predict(docs, model, shard=16).collect())
+
+
+def test_training_text_is_of_the_whole_document(spark):
+    head = "same words at the head " * 100
+    tails = {"x": "qua qui quo ", "y": "brr grr frr "}
+    docs = spark.createDataFrame([(i, head + tails[k] * 400, k) for i in range(40) for k in tails], "doc_id long, text string, lang string")
+    model = language_id.train(docs)
+    assert all(tails[k].encode() in model[k] for k in tails)
+    ask = spark.createDataFrame([(i, t * 5) for i, t in enumerate(tails.values())], "doc_id long, text string")
+    assert [r["lang_pred"] for r in language_id.predict(ask, model).orderBy("doc_id").collect()] == ["x", "y"]
+
+
 # ------------------------------------------------------------ 8 HTML
 
 def test_sum_product_is_exact():
