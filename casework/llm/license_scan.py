@@ -1,7 +1,11 @@
 """License scan: exact set-similarity join of text blocks and templates.
 
-A block is a line of a document. A block meets a template when it holds at
-least ``threshold`` of the template's distinct words. The join is exact:
+A block is a line of a document, or a run of consecutive words of its whole
+text, twice as many as the template has, so a notice may be wrapped over any
+lines. A block meets a template when it holds at least ``threshold`` of the
+template's distinct words. Runs are found in windows: with ``most`` words in the
+longest run, windows of ``2 * most`` words start every ``most`` words, so each
+run lies in one. Windows within a line add nothing to the line. The join is exact:
 
 * the words of the templates are put in the order of how often they occur
   in all texts of the table, rarest first (words that no template has
@@ -68,6 +72,13 @@ def template_words(text: str) -> list[str]:
     return list(dict.fromkeys(re.findall(WORD, text.translate(str.maketrans(UPPER, LOWER)))))
 
 
+def windows_of(text: Column, most: int) -> Column:
+    """Array of the text's windows of ``2 * most`` words, one each ``most`` words."""
+    word = f"(?:{GAP}*+{WORD_ANY_CASE}+)"
+    cut = lambda t: F.regexp_extract_all(t, F.lit(f"{word}{{1,{2 * most}}}+"), F.lit(0))
+    return F.concat(cut(text), cut(F.regexp_replace(text, f"^{word}{{1,{most}}}+", "")))
+
+
 def _word_pattern(words: list[str]) -> str:
     any_word = "|".join(sorted(re.escape(w) for w in words))
     return rf"(?i)(?:^|{GAP})(?:{any_word})(?:$|{GAP})"
@@ -103,7 +114,8 @@ def document_frequency(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]
 
 def similar_blocks(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, text_key, block, template, label, containment) of every block
-    that meets a template. ``docs`` has doc_id, text and text_key."""
+    that meets a template: the number of the line, or -1 - the number of the
+    window that holds the run. ``docs`` has doc_id, text and text_key."""
     spark = docs.sparkSession
     words = [template_words(text) for _, text in templates]
     vocabulary = sorted({w for ws in words for w in ws})
@@ -113,17 +125,25 @@ def similar_blocks(docs: DataFrame, templates=TEMPLATES, threshold: float = THRE
     order = sorted(vocabulary, key=lambda w: (count.get(w, 0), w))
     rank = {w: i for i, w in enumerate(order)}
     index = []
+    runs = [2 * len(re.findall(WORD, text.translate(str.maketrans(UPPER, LOWER)))) for _, text in templates]
     for t, ws in enumerate(words):
         ws = sorted(ws, key=rank.get)
         least = math.ceil(threshold * len(ws) - 1e-9)
-        index += [(w, t, templates[t][0], i, least, len(ws), ws) for i, w in enumerate(ws[:len(ws) - least + 1])]
-    index_df = spark.createDataFrame(index, "word string, template int, label string, i int, least int, size int, words array<string>")
+        index += [(w, t, templates[t][0], i, least, len(ws), ws, runs[t]) for i, w in enumerate(ws[:len(ws) - least + 1])]
+    index_df = spark.createDataFrame(index, "word string, template int, label string, i int, least int, size int, words array<string>, run int")
     prefix = sorted({r[0] for r in index})
 
-    lines = docs.select("doc_id", "text_key", F.posexplode(F.split("text", "\n")).alias("block", "line"))
+    # a text of one line has no window that is not within the line
+    windows = F.when(F.col("text").contains("\n"), windows_of(F.col("text"), max(runs, default=1))).otherwise(F.array().cast("array<string>"))
+    cut = docs.select("doc_id", "text_key", F.split("text", "\n").alias("lines"), windows.alias("windows"))
+    wide = F.transform(F.col("windows"), lambda c, i: F.struct((-1 - i).alias("block"), c.alias("line")))
+    flat = F.transform(F.col("lines"), lambda c, i: F.struct(i.alias("block"), c.alias("line")))
+    lines = cut.select("doc_id", "text_key", F.explode(F.concat(flat, F.filter(wide, lambda x: x["line"].contains("\n")))).alias("x")).select("doc_id", "text_key", "x.*")
     blocks = lines.where(F.col("line").rlike(_word_pattern(prefix)))
     # array_intersect keeps the order of its first argument: the global order
-    blocks = blocks.select("doc_id", "text_key", "block", F.array_intersect(F.array(*map(F.lit, order)), words_of(lower_ascii(F.col("line")))).alias("own"))
+    blocks = (blocks.withColumn("all", words_of(lower_ascii(F.col("line"))))
+              .select("doc_id", "text_key", "block", F.array_intersect(F.array(*map(F.lit, order)), "all").alias("own"),
+                      F.when(F.col("block") < 0, F.col("all")).alias("all")))
     probes = blocks.select("*", F.size("own").alias("n"), F.posexplode("own").alias("j", "word"))
     pairs = (probes.join(index_df, "word")
              .where("n >= least")
@@ -131,6 +151,10 @@ def similar_blocks(docs: DataFrame, templates=TEMPLATES, threshold: float = THRE
              .where("1 + least(size - i - 1, n - j - 1) >= least")
              .withColumn("common", F.size(F.array_intersect("own", "words")))
              .where("common >= least"))
+    # a window's words must stand in one run
+    starts = F.sequence(F.lit(1), F.greatest(F.size("all") - F.col("run") + 1, F.lit(1)))
+    in_run = F.array_max(F.transform(starts, lambda i: F.size(F.array_intersect(F.col("words"), F.slice("all", i, F.col("run"))))))
+    pairs = pairs.withColumn("common", F.when(F.col("block") < 0, in_run).otherwise(F.col("common"))).where("common >= least")
     return (pairs.groupBy("doc_id", "text_key", "block", "template", "label")
             .agg(F.max(F.col("common") / F.col("size")).alias("containment")))
 

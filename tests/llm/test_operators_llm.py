@@ -173,6 +173,39 @@ def test_license_scan(spark):
     assert license_scan.scan(empty(spark)).count() == 0
 
 
+def brute_license_runs(text):
+    """Labels of ``brute_license`` and of any run of twice a template's words."""
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text)
+    *_, labels, best = brute_license(text)
+    w, found = re.findall(license_scan.WORD, low), {x for x in labels.split(",") if x}
+    for label, t in license_scan.TEMPLATES:
+        words, run = set(license_scan.template_words(t)), 2 * len(re.findall(license_scan.WORD, t))
+        for i in range(max(1, len(w) - run + 1)):
+            c = len(words & set(w[i:i + run]))
+            if c >= math.ceil(license_scan.THRESHOLD * len(words) - 1e-9):
+                found.add(label)
+                best = max(best, c / len(words))
+    return ",".join(sorted(found)), best
+
+
+def test_license_notice_wrapped_over_lines(spark):
+    rnd = random.Random(33)
+    notice = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files"
+    texts, own = [notice], ["mit"]
+    for label, t in license_scan.TEMPLATES * 3:
+        w, width = t.split(), rnd.randrange(3, 9)
+        lines = [" * " + " ".join(w[i:i + width]) for i in range(0, len(w), width)]
+        head = [f"word{i}" + rnd.choice(" \n") for i in range(rnd.randrange(0, 250))]
+        texts.append("".join(head) + "\n".join(lines) + "\n" + " tail\n" * rnd.randrange(0, 200))
+        own.append(label)
+    # the words of a notice that are strewn over a long text are no notice
+    texts.append("\n".join(f"{w} " + "filler " * 9 for w in license_scan.template_words(license_scan.TEMPLATES[-2][1])))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [(r["labels"], r["score"]) for r in license_scan.scan(df).orderBy("doc_id").collect()]
+    assert got == [brute_license_runs(t) for t in texts] and got[-1] == ("", 0.0)
+    assert all(label in labels.split(",") for label, (labels, _) in zip(own, got))
+
+
 # ------------------------------------------------------------ 4 n-gram join
 
 def shingles(text):
