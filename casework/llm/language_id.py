@@ -150,8 +150,9 @@ def train(docs: DataFrame, rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES) ->
     counts = [(r["lang"], float(r["count"])) for r in known.groupBy("lang").count().collect()]
     if not counts:
         return {}
+    # one row per language, which the driver holds anyway; without the hint all texts would be shuffled
     weight = docs.sparkSession.createDataFrame(counts, "lang string, weight double")
-    picked = (known.join(weight, "lang")
+    picked = (known.join(F.broadcast(weight), "lang")
               .select("lang", _span().alias("text"),
                       ((F.xxhash64("doc_id", "text").cast("double") / 2.0**64 + 0.5) * F.col("weight")).alias("at"))
               # that many of a language are expected, and no more than that go to the driver
