@@ -38,14 +38,16 @@ _STAGE_CONF = {
 }
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, rows_per_batch: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage,
     and a later join reads plain files, so adaptive execution can split a
-    skewed key on either side. The shuffle files of the write go at its end."""
+    skewed key on either side. The shuffle files of the write go at its end.
+    ``rows_per_batch``: rows that Python gets at once, where they are large."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    before = {k: spark.conf.get(k, None) for k in _STAGE_CONF}
-    for k, v in _STAGE_CONF.items():
+    settings = _STAGE_CONF | ({"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows_per_batch)} if rows_per_batch else {})
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
         spark.conf.set(k, v)
     try:
         df.write.parquet(path)

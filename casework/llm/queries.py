@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from casework.llm import decontaminate, embedding_dedup, html_extract, language_id, license_scan, ngram_join, packing, pii, substring_dedup, warc
+from casework.llm import (
+    conversation_repair, decontaminate, embedding_dedup, html_extract, language_id, license_scan, ngram_join, packing, pii, run_detection, substring_dedup, suffix_dedup, warc,
+)
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -15,6 +17,9 @@ QUERIES = {
     "op8_html_extract": html_extract.op8_html_extract,
     "op9_embedding_dedup": embedding_dedup.op9_embedding_dedup,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op11_run_detection": run_detection.op11_run_detection,
+    "op12_conversation_repair": conversation_repair.op12_conversation_repair,
+    "op13_suffix_dedup": suffix_dedup.op13_suffix_dedup,
 }
 
 SQL = {
@@ -23,4 +28,7 @@ SQL = {
     "op3_license_scan": license_scan.ORACLE_SQL,
     "op4_ngram_join": ngram_join.ORACLE_SQL,
     "op9_embedding_dedup": embedding_dedup.ORACLE_SQL,
+    "op11_run_detection": run_detection.ORACLE_SQL,
+    "op12_conversation_repair": conversation_repair.ORACLE_SQL,
+    "op13_suffix_dedup": suffix_dedup.ORACLE_SQL,
 }
