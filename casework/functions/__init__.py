@@ -10,4 +10,4 @@ from casework.functions.timeparts import (  # noqa: F401
     elapsed_minutes, hour_of_day, in_year, minute_field, month_start, week_from_jan1,
     weekday_name,
 )
-from casework.functions.aggregates import distinct_count  # noqa: F401
+from casework.functions.aggregates import distinct_count, quotient  # noqa: F401

@@ -15,10 +15,14 @@ from casework.operators.rates import (  # noqa: F401
 )
 from casework.operators.multivalue import explode_bag, tagged_explode_outer  # noqa: F401
 from casework.operators.lifecycle import (  # noqa: F401
-    first_row_next, milestone_after_anchor, next_value, state_at,
+    first_row_next, milestone_after_anchor, state_at,
+)
+from casework.operators.ranges import (  # noqa: F401
+    counts_over_time, last_anchor, last_known, next_value, previous_value, rank_columns, scan_in_order,
 )
 from casework.operators.assemble import counted_list, filtered_lists, ordered_list  # noqa: F401
 from casework.operators.contract import (  # noqa: F401
     check, contract_summary, not_null, split_valid, tag_violations,
 )
 from casework.operators.groupstats import with_group_stats  # noqa: F401
+from casework.operators.rejects import measure_fault, parse_with_rejects  # noqa: F401

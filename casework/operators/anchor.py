@@ -28,7 +28,7 @@ def relative_to_anchor(events: DataFrame, anchors: DataFrame, key: str, time: st
     """Events of anchored entities on one side of their anchor.
 
     ``side='after'``: ``time >= anchor`` (``>`` if not inclusive);
-    ``side='before'``: ``time < anchor`` (``<=`` if inclusive is forced);
+    ``side='before'``: ``time < anchor``, whatever ``inclusive`` is;
     ``side='any'``: all events of anchored entities. Entities without an
     anchor drop out (inner join), as in a member-only report.
     """

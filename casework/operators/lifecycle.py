@@ -4,10 +4,10 @@ conversion after the first event, time to a milestone.
 Event logs are keyed by entity and ordered by time. A plain
 ``lead() over (partition by entity order by time)`` sorts each entity in one
 task, which fails when one entity holds a large share of the log. The
-operators here avoid that: ``next_value`` splits every entity into hourly
-buckets, questions about an entity's first rows use ``first_row_next`` (a
-group limit of two rows before the shuffle), and last-state questions use
-``max_by`` aggregates, which combine map-side.
+operators here avoid that: questions about every row's successor use
+``ranges.next_value`` (one sort by range), questions about an entity's first
+rows use ``first_row_next`` (a group limit of two rows before the shuffle),
+and last-state questions use ``max_by`` aggregates, which combine map-side.
 """
 
 from __future__ import annotations
@@ -17,46 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casework.operators.ranking import join_back, join_on
-
-
-def next_value(df: DataFrame, key: str, order: Sequence[str], value: str, name: str,
-               bucket: Column | None = None, first_flag: str | None = None) -> DataFrame:
-    """Add ``lead(value) over (partition by key order by order...)`` as ``name``.
-
-    Rows are windowed per (key, bucket), where ``bucket`` is monotone in the
-    order (default: the hour of the first order column, a time or date; for
-    dates that is the day). The last row of a bucket takes the first value of
-    the entity's next non-empty bucket, found on a one-row-per-bucket table
-    (the bucket heads plus a lead over buckets). The result equals the single
-    window's, but the largest sort is one entity-bucket, not one entity; a
-    finer ``bucket`` makes it smaller and the table of heads longer. Jobs
-    that ask for an entity's first rows only use ``first_row_next``.
-
-    ``order`` should be total within an entity (add a tie-breaker column);
-    with ties the single window's choice is arbitrary anyway. With
-    ``first_flag``, a boolean column of that name marks each entity's first
-    row (first row of its first bucket), read from the same two windows.
-    """
-    order = list(order)
-    x = df.withColumn("__b", bucket if bucket is not None else F.date_trunc("hour", F.col(order[0])))
-    w_in = Window.partitionBy(key, "__b").orderBy(*order)
-    x = (x.withColumn("__lead_in", F.lead(value).over(w_in))
-          .withColumn("__is_last", F.lead(F.lit(True)).over(w_in).isNull())
-          .withColumn("__is_head", F.lag(F.lit(True)).over(w_in).isNull()))
-    # the first row of each piece is already flagged by the piece window
-    heads = x.where(F.col("__is_head")).select(key, "__b", F.col(value).alias("__head"))
-    w_b = Window.partitionBy(key).orderBy("__b")
-    heads = heads.select(
-        key, "__b",
-        F.lead("__head").over(w_b).alias("__next_head"),
-        F.lag(F.lit(True)).over(w_b).isNull().alias("__first_b"))
-    out = join_back(x, heads, [key, "__b"])
-    out = out.withColumn(name, F.when(F.col("__is_last"), F.col("__next_head"))
-                         .otherwise(F.col("__lead_in")))
-    if first_flag:
-        out = out.withColumn(first_flag, F.col("__is_head") & F.col("__first_b"))
-    return out.drop("__b", "__lead_in", "__is_last", "__is_head", "__next_head", "__first_b")
+from casework.operators.ranking import join_on
 
 
 def state_at(df: DataFrame, key: str, time: str, state: str, at: Column,

@@ -9,9 +9,9 @@ Design for skew (measured with ``scripts/skew_probe.py``)
   third of the table.
 * The global top with ties (no partition key) is a filter by the best value,
   a one-row aggregate, so ties never meet in one task.
-* Ranks materialised for every row (``dense_rank`` as a column) rank the
-  distinct (group, value) pairs and join the rank back: the window sees one
-  row per distinct value, not one per input row.
+* Ranks materialised for every row (``rank``, ``dense_rank`` as a column) come
+  from one sort by range with the ties carried over the borders of ranges
+  (``casework.operators.ranges``): no window on the group key.
 * Global row numbers (``dense_ids``) number equal-depth ranges of the order
   side by side instead of a single-partition window.
 
@@ -131,20 +131,18 @@ def dense_rank_column(df: DataFrame, by: str | Sequence[str], order: str, name:
                       descending: bool = False, where: Column | None = None) -> DataFrame:
     """Add ``dense_rank() over (partition by by order by order)`` as ``name``.
 
-    The window runs on the distinct (group, value) pairs only, then the rank
-    is joined back on (group, value). With ``where``, only matching rows are
-    ranked and the others get NULL (``CASE WHEN p THEN dense_rank() ... END``).
+    The ranks come from one sort by range (``ranges.rank_columns``), so neither
+    a hot group nor a missing group key puts its rows or its values in one
+    task. With ``where``, only matching rows are ranked and the others get NULL
+    (``CASE WHEN p THEN dense_rank() ... END``).
     """
-    by = _as_list(by)
-    src = df.where(where) if where is not None else df
-    pairs = src.select(*by, order).distinct()
-    o = F.col(order).desc() if descending else F.col(order).asc()
-    ranked = pairs.withColumn(name, F.dense_rank().over(Window.partitionBy(*by).orderBy(o)))
+    from casework.operators.ranges import rank_columns
+
     if where is None:
-        return join_back(df, ranked, by + [order])
+        return rank_columns(df, order, by, dense=name, descending=descending)
     flagged = df.withColumn("__ranked", where)
-    keyed = ranked.withColumn("__ranked", F.lit(True))
-    return join_back(flagged, keyed, by + [order, "__ranked"], how="left").drop("__ranked")
+    ranked = rank_columns(flagged, order, [*_as_list(by), "__ranked"], dense=name, descending=descending)
+    return ranked.withColumn(name, F.when(F.col("__ranked"), F.col(name))).drop("__ranked")
 
 
 def dense_ids(df: DataFrame, order: Sequence[str], name: str = "row_id",

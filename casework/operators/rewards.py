@@ -54,6 +54,8 @@ def price_by(key: Column, prices: dict, default: float | int = 0) -> Column:
 
 def pay_per_unit(measure: Column, rate: str, scale: int = 2) -> Column:
     """``round(measure * rate, scale)`` in decimals (rounded per row, then
-    summed). Only the product is rounded: the measure keeps 12 digits after
-    the point, the rate all of its own."""
-    return F.round(measure.cast("decimal(30,12)") * F.lit(Decimal(rate)), scale)
+    summed). Only the product is rounded: the measure keeps the 18 digits
+    after the point that a parsed measure has, the rate all of its own."""
+    rate_value = Decimal(rate)
+    digits = len(rate_value.as_tuple().digits)
+    return F.round(measure.cast(f"decimal({37 - digits},18)") * F.lit(rate_value), scale)

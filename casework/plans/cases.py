@@ -10,7 +10,6 @@ Parquet under ``out/<question id>``.
 
 from __future__ import annotations
 
-import os
 import sys
 from collections.abc import Callable
 
@@ -19,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from casework.plans import delivery as dv
 from casework.plans import loyalty as ly
 from casework.plans import subscriptions as sb
-from casework.sources import load_table
+from casework.sources import StageStore, load_table
 
 Question = Callable[[dict[str, DataFrame]], DataFrame]
 
@@ -46,9 +45,11 @@ def _delivery() -> dict[str, Question]:
         return dv.clean_lines(t["customer_orders"])
 
     def numbered(t):
-        # built once per run: dense_ids writes it as a stage in the shared folder
+        # built once per run; with a stage store, a later run finds it again
         if "numbered lines" not in t:
-            t["numbered lines"] = dv.clean_order_lines(t["customer_orders"])
+            stages = t.get("stages")
+            t["numbered lines"] = (stages.get("numbered-lines", t["customer_orders"], dv.clean_order_lines) if stages
+                                   else dv.clean_order_lines(t["customer_orders"]))
         return t["numbered lines"]
 
     def dels(t):
@@ -60,6 +61,7 @@ def _delivery() -> dict[str, Question]:
     return {
         "Q-C2-T1": numbered,
         "Q-C2-T2": dels,
+        "Q-C2-T2-rejected": lambda t: dv.clean_deliveries_with_rejects(t["runner_orders"])[1],
         "Q-C2-T3": changes,
         "Q-C2-A1": lambda t: dv.pizzas_ordered(lines(t)),
         "Q-C2-A2": lambda t: dv.unique_orders(lines(t)),
@@ -122,27 +124,31 @@ CASES: dict[str, tuple[list[str], Callable[[], dict[str, Question]]]] = {
 }
 
 
-def _has_table(folder: str, name: str, fmt: str) -> bool:
-    ext = "parquet" if fmt == "parquet" else fmt
-    if "://" in folder:
-        return True
-    return os.path.exists(os.path.join(folder, f"{name}.{ext}")) or os.path.exists(
-        os.path.join(folder, name))
+def _has_table(spark: SparkSession, folder: str, name: str, fmt: str) -> bool:
+    """Whether the table's file or folder is there, on whichever file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{name}.{fmt}")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
 def run_case(spark: SparkSession, case: str, folder: str, out: str | None = None,
-             fmt: str = "parquet") -> dict[str, DataFrame]:
+             fmt: str = "parquet", stages: StageStore | None = None) -> dict[str, DataFrame]:
     """All questions of ``case`` over the tables in ``folder``.
 
+    With a ``StageStore``, stages that several questions share are written
+    there once, found again by a later run over unchanged tables, and removed
+    when the store is closed (results that still read them are then void).
+
     The ratings questions of the delivery case run when the folder also
     holds ``runner_ratings`` (order_id, runner_id, rating): D3 splits it by the
     ratings contract (valid rows, and rejected rows with their reason), D4
     builds the wide row per delivered, validly rated order.
     """
     names, questions = CASES[case]
-    tables = {n: load_table(spark, folder, n, fmt=fmt) for n in names}
+    tables: dict = {n: load_table(spark, folder, n, fmt=fmt) for n in names}
+    if stages:
+        tables["stages"] = stages
     results = {qid: q(tables) for qid, q in questions().items()}
-    if case == "delivery" and _has_table(folder, "runner_ratings", fmt):
+    if case == "delivery" and _has_table(spark, folder, "runner_ratings", fmt):
         ratings = load_table(spark, folder, "runner_ratings", fmt=fmt)
         lines = dv.clean_lines(tables["customer_orders"])
         dels = dv.clean_deliveries(tables["runner_orders"])
@@ -158,11 +164,14 @@ def run_case(spark: SparkSession, case: str, folder: str, out: str | None = None
 
 if __name__ == "__main__":
     from casework.session import get_spark
+    from casework.sources import drop_stages
 
     if len(sys.argv) < 3 or sys.argv[1] not in CASES:
         sys.exit(f"usage: python -m casework.plans.cases {{{'|'.join(CASES)}}} <folder> [<out>]")
     session = get_spark()
-    for qid, frame in run_case(session, sys.argv[1], sys.argv[2],
-                               sys.argv[3] if len(sys.argv) > 3 else None).items():
-        print(f"== {qid}")
-        frame.show(20, truncate=False)
+    with StageStore(session, f"case-{sys.argv[1]}") as store:
+        for qid, frame in run_case(session, sys.argv[1], sys.argv[2],
+                                   sys.argv[3] if len(sys.argv) > 3 else None, stages=store).items():
+            print(f"== {qid}")
+            frame.show(20, truncate=False)
+    drop_stages(session)

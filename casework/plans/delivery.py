@@ -19,16 +19,17 @@ from pyspark.sql import functions as F
 
 from casework.functions import (
     MISSING_TOKENS, MISSING_TOKENS_WITH_NAN, elapsed_micros, elapsed_minutes, hour_of_day, minute_field,
-    null_tokens, optional_fragment, parse_measure, tokens, week_from_jan1, weekday_name,
+    null_tokens, optional_fragment, quotient, tokens, week_from_jan1, weekday_name,
 )
 from casework.functions.arrays import bag_edit
 from casework.operators import (
     cond_counts, correlation_summary, counted_list, dense_ids, filtered_lists, join_back,
-    ordered_list, pay_per_unit, price_by, sort_like_sql, split_valid, success_rate,
+    ordered_list, parse_with_rejects, pay_per_unit, price_by, sort_like_sql, split_valid, success_rate,
     tagged_explode_outer,
     top_with_ties, with_group_stats, with_scalars,
 )
 from casework.operators.contract import check, not_null
+from casework.sources.ledger import append_once
 from casework.sources.sinks import append
 
 # Product prices used by the income questions.
@@ -59,13 +60,22 @@ def clean_order_lines(customer_orders: DataFrame) -> DataFrame:
 
 
 def clean_deliveries(runner_orders: DataFrame) -> DataFrame:
-    """Deliveries with NULLs for missing values and numeric km / minutes."""
-    return runner_orders.select(
+    """Deliveries with NULLs for missing values and numeric km / minutes; texts
+    that hold no number are in ``clean_deliveries_with_rejects``."""
+    return clean_deliveries_with_rejects(runner_orders)[0]
+
+
+def clean_deliveries_with_rejects(runner_orders: DataFrame, observation=None) -> tuple[DataFrame, DataFrame]:
+    """(cleaned deliveries, rejected): rejected holds each row whose distance or
+    duration is given but no number, with column, value and reason. With an
+    ``Observation``, running the first frame counts ``rows`` and ``rejected``."""
+    parsed, rejected = parse_with_rejects(runner_orders, {"distance_km": "distance", "duration_min": "duration"}, MISSING_TOKENS, observation=observation)
+    clean = parsed.select(
         "order_id", "runner_id",
         null_tokens("pickup_time", MISSING_TOKENS).alias("pickup_time"),
-        parse_measure("distance", MISSING_TOKENS).alias("distance_km"),
-        parse_measure("duration", MISSING_TOKENS).alias("duration_min"),
+        "distance_km", "duration_min",
         null_tokens("cancellation", MISSING_TOKENS_WITH_NAN).alias("cancellation"))
+    return clean, rejected
 
 
 def ingredient_changes(lines: DataFrame) -> DataFrame:
@@ -196,7 +206,7 @@ def delivery_time_range(deliveries: DataFrame) -> DataFrame:
 def speed_per_delivery(deliveries: DataFrame) -> DataFrame:
     """km/h per delivery and the runner's average, computed as km * 60 / min."""
     d = deliveries.where(F.col("cancellation").isNull())
-    speed = F.col("distance_km") * 60 / F.col("duration_min")
+    speed = quotient(F.col("distance_km") * 60, "duration_min")
     d = d.withColumn("__speed", speed)
     out = with_group_stats(d, ["runner_id"], {"__avg": F.avg("__speed")})
     out = out.select("runner_id", "order_id", "pickup_time", "distance_km", "duration_min",
@@ -314,11 +324,15 @@ def rating_rules(low: int = 0, high: int = 5):
 
 
 def record_ratings(ratings: DataFrame, path: str | None = None,
-                   rules=None) -> tuple[DataFrame, DataFrame]:
+                   rules=None, batch: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Check ratings (order_id, runner_id, rating) against the row contract and
-    append the valid rows to ``path``; returns (valid, rejected)."""
+    append the valid rows to ``path``; returns (valid, rejected). With a
+    ``batch`` id the append is safe to run again: a batch that was committed
+    is not appended twice, and ``read_committed`` reads the table."""
     valid, rejected = split_valid(ratings, rules if rules is not None else rating_rules())
-    if path:
+    if path and batch:
+        append_once(valid, path, batch)
+    elif path:
         append(valid, path)
     return valid, rejected
 
@@ -333,7 +347,7 @@ def delivered_order_rows(lines: DataFrame, deliveries: DataFrame, ratings: DataF
         minute_field("order_time", "pickup_ts").alias("order_prep_duration"),
         elapsed_minutes("order_time", "pickup_ts", 2).alias("order_prep_minutes"),
         "duration_min",
-        F.round(F.col("distance_km") * 60 / F.col("duration_min"), 2).alias("speed_kmh"),
+        F.round(quotient(F.col("distance_km") * 60, "duration_min"), 2).alias("speed_kmh"),
         "n_pizzas").distinct()
 
 

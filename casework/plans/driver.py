@@ -16,6 +16,7 @@ push them into the Parquet scan.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,23 +25,24 @@ from pyspark.sql import functions as F
 from casework.functions import (
     date_after, date_at_most, day_bucket_label, days_between, distinct_count, elapsed_micros,
     elapsed_minutes, exact_ratio, hour_of_day, in_year, minute_field, month_start,
-    null_tokens, optional_fragment, parse_measure, percent_text, tokens,
+    null_tokens, optional_fragment, parse_measure, percent_text, quotient, tokens,
     week_from_jan1, weekday_name,
 )
 from casework.functions.arrays import bag_edit
 from casework.operators import (
     cond_counts, contract_summary, correlation_summary, counted_list, dense_ids,
     dense_rank_column, distinct_and_flagged, filtered_lists, first_after_anchor,
-    first_event_anchor, first_per, first_row_next,
+    counts_over_time, first_event_anchor, first_per, first_row_next, last_anchor,
+    next_value, parse_with_rejects,
     join_on, last_before_anchor, member_flag, milestone_after_anchor,
     nth_per, ordered_list, pay_per_unit, points, price_by, relative_to_anchor,
-    share_of_total, sort_like_sql, state_at, success_rate, tagged_explode_outer,
+    rank_columns, share_of_total, sort_like_sql, state_at, success_rate, tagged_explode_outer,
     top_with_ties,
     totals_relative, with_group_stats, with_scalars, within_days_after,
 )
 from casework.operators.contract import check, not_null, split_valid
 from casework.session import checkpoint_dir
-from casework.sources import Tables
+from casework.sources import Tables, append_once, load_table, on_dates, read_committed, write_by_date
 from casework.sources.sinks import append
 
 
@@ -287,13 +289,12 @@ def counted_list_q(spark: SparkSession, d: str) -> DataFrame:
 def optional_label(spark: SparkSession, d: str) -> DataFrame:
     """Per order: ``status - Returned a, b - Open c`` (fragments only when present)."""
     t = Tables(spark, d)
-    # count per (order, part) on numeric keys first, then attach the names
-    per_part = t.lineitem.groupBy("l_orderkey", F.col("l_partkey").alias("p_partkey")).agg(
-        F.count_if(F.col("l_returnflag") == "R").alias("n_returned"),
-        F.count_if(F.col("l_linestatus") == "O").alias("n_open"))
-    named = per_part.join(t.part.select("p_partkey", "p_name"), "p_partkey")
+    # a line is in a list once or not at all: one collect per order
+    named = t.lineitem.select(
+        "l_orderkey", F.col("l_partkey").alias("p_partkey"), (F.col("l_returnflag") == "R").cast("int").alias("returned"),
+        (F.col("l_linestatus") == "O").cast("int").alias("open")).join(t.part.select("p_partkey", "p_name"), "p_partkey")
     lists = filtered_lists(named, ["l_orderkey"], "p_name",
-                           {"returned": F.col("n_returned"), "open": F.col("n_open")},
+                           {"returned": F.coalesce("returned", F.lit(0)), "open": F.coalesce("open", F.lit(0))},
                            counted=True)
     orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
     out = lists.join(orders, "l_orderkey").select(
@@ -435,7 +436,7 @@ def rate_with_avg(spark: SparkSession, d: str) -> DataFrame:
     joined back to the lines.
     """
     t = Tables(spark, d)
-    unit = _money("l_extendedprice") / _money("l_quantity")
+    unit = quotient("l_extendedprice", "l_quantity")
     lines = _delivered(t).select("l_orderkey", "l_linenumber", "l_suppkey", unit.alias("unit"))
     out = with_group_stats(lines, ["l_suppkey"], {"__avg": F.avg("unit")})
     out = out.select("l_orderkey", "l_linenumber", "l_suppkey",
@@ -666,6 +667,110 @@ def days_buckets(spark: SparkSession, d: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_customers")))
 
 
+# ---------------------------------------------------------------- whole-log shapes
+
+def _item_counts(t: Tables) -> DataFrame:
+    return t.lineitem.groupBy(F.col("l_partkey").alias("product_id")).agg(F.count(F.lit(1)).alias("n_purchase"))
+
+
+def global_rank(spark: SparkSession, d: str) -> DataFrame:
+    """Rank and dense rank of every product by its number of purchases."""
+    t = Tables(spark, d)
+    return rank_columns(_item_counts(t), "n_purchase", rank="rnk", dense="dense_rnk", descending=True)
+
+
+def rank_per_user(spark: SparkSession, d: str) -> DataFrame:
+    """Rank and dense rank of every visit day of each user by its events."""
+    t = Tables(spark, d)
+    days = t.events.groupBy("user_id", F.to_date("ts").alias("visit_date")).agg(F.count(F.lit(1)).alias("n_events"))
+    return rank_columns(days, "n_events", "user_id", rank="rnk", dense="dense_rnk", descending=True)
+
+
+def next_event(spark: SparkSession, d: str) -> DataFrame:
+    """Every event with the type of the user's next event."""
+    t = Tables(spark, d)
+    e = t.events.select("event_id", "user_id", "ts", "event_type")
+    return next_value(e, "user_id", ["ts", "event_id"], "event_type", "next_type")
+
+
+def last_anchor_per_event(spark: SparkSession, d: str) -> DataFrame:
+    """Every purchase with the user's last sign-up at or before it (users sign
+    up many times)."""
+    t = Tables(spark, d)
+    buys = t.events.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
+    joins = t.events.where(F.col("event_type") == "signup").select("user_id", F.col("ts").alias("joined"))
+    return last_anchor(buys, joins, "user_id", "ts", "joined")
+
+
+def state_by_day(spark: SparkSession, d: str) -> DataFrame:
+    """Users per latest event type at the end of each day of January 2024."""
+    t = Tables(spark, d)
+    days = [dt.date(2024, 1, k) for k in range(1, 32)]
+    return counts_over_time(t.events, "user_id", "ts", "event_type", days, tiebreak=["event_id"], name="n_users")
+
+
+def parse_measure_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Texts of parts read as measures: readable ones, and unreadable ones by reason."""
+    t = Tables(spark, d)
+    texts = t.part.select("p_partkey", "p_brand", "p_type", F.concat_ws(".", F.col("p_size").cast("string"), F.col("p_retailprice").cast("string")).alias("code"))
+    parsed, rejected = parse_with_rejects(texts, {"brand_number": "p_brand", "type_number": "p_type", "code_number": "code"})
+    good = parsed.select(F.lit("read").alias("outcome"), F.explode(F.array("brand_number", "type_number", "code_number")).alias("number")).where("number is not null")
+    return (good.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.min(F.col("number").cast("double")).cast("string").alias("least"))
+            .unionByName(rejected.groupBy(F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("least"))))
+
+
+def append_twice(spark: SparkSession, d: str) -> DataFrame:
+    """Ratings of purchases appended twice under one batch id, then those of
+    views: ratings per value, each counted once."""
+    t = Tables(spark, d)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ratings-{uuid.uuid4().hex}"
+    ratings = t.events.select("event_type", "event_id", "user_id", F.floor(F.col("value") / 40).cast("bigint").alias("rating"))
+    for kind in ("purchase", "purchase", "view"):
+        append_once(ratings.where(F.col("event_type") == kind).drop("event_type"), path, kind)
+    return read_committed(spark, path).groupBy("rating").agg(F.count(F.lit(1)).alias("n_ratings"))
+
+
+def line_id_goes_on(spark: SparkSession, d: str) -> DataFrame:
+    """Line ids over two appends: shipped lines first, open ones go on after them."""
+    t = Tables(spark, d)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/lines-{uuid.uuid4().hex}"
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_linestatus")
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_linestatus"]
+    for status in ("F", "O"):
+        append_once(lines.where(F.col("l_linestatus") == status), path, status, "line_id", order)
+    return read_committed(spark, path)
+
+
+def catalog_table(spark: SparkSession, d: str) -> DataFrame:
+    """Nations per region, read by qualified names from the catalog."""
+    t = Tables(spark, d)
+    t.nation.createOrReplaceGlobalTempView("casework_nation")
+    t.region.createOrReplaceGlobalTempView("casework_region")
+    db = spark.conf.get("spark.sql.globalTempDatabase", "global_temp")
+    nation, region = (load_table(spark, d, f"{db}.casework_{n}") for n in ("nation", "region"))
+    return (nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).groupBy("r_name")
+            .agg(F.count(F.lit(1)).alias("n_nations")))
+
+
+def month_filter(spark: SparkSession, d: str) -> DataFrame:
+    """Points of purchases in any January: month of the date, whatever the year."""
+    t = Tables(spark, d)
+    lines = t.lineitem.where(F.month("l_shipdate") == 1)
+    return lines.groupBy(F.year("l_shipdate").cast("bigint").alias("year")).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("l_quantity").cast("decimal(20,2)")).cast("double").alias("quantity"))
+
+
+def events_on_dates(spark: SparkSession, d: str) -> DataFrame:
+    """Events per type on Mondays, from a layout by date: the filter on the
+    dates prunes the events' folders at run time."""
+    t = Tables(spark, d)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/events-by-date-{uuid.uuid4().hex}"
+    write_by_date(t.events.select("event_id", "ts", "user_id", "event_type"), path, "ts", "user_id")
+    dates = t.events.select(F.to_date("ts").alias("part_date")).distinct().where(F.dayofweek("part_date") == 2)
+    return (on_dates(spark.read.schema("event_id long, ts timestamp_ntz, user_id long, event_type string, part_date date").parquet(path), dates)
+            .groupBy("event_type").agg(F.count(F.lit(1)).alias("n_events")))
+
+
 def scan(spark: SparkSession, d: str) -> DataFrame:
     """Full scan of a dimension table."""
     return Tables(spark, d).region.select("r_regionkey", "r_name")
@@ -726,4 +831,15 @@ QUERIES = {
     "days_to_milestone_lead": days_to_milestone_lead,
     "days_buckets": days_buckets,
     "scan": scan,
+    "global_rank": global_rank,
+    "rank_per_user": rank_per_user,
+    "next_event": next_event,
+    "last_anchor_per_event": last_anchor_per_event,
+    "state_by_day": state_by_day,
+    "parse_measure_rejects": parse_measure_rejects,
+    "append_twice": append_twice,
+    "line_id_goes_on": line_id_goes_on,
+    "catalog_table": catalog_table,
+    "month_filter": month_filter,
+    "events_on_dates": events_on_dates,
 }

@@ -83,8 +83,7 @@ def plan_after_trial_rank(subs: DataFrame, plans: DataFrame) -> DataFrame:
 
 def plan_after_trial_lead(subs: DataFrame, plans: DataFrame) -> DataFrame:
     """Next plan after each trial row (``lead``), counts and share of the total."""
-    nxt = next_value(subs, "customer_id", ["start_date", "plan_id"], "plan_id", "next_plan_id",
-                     bucket=F.trunc("start_date", "month"))
+    nxt = next_value(subs, "customer_id", ["start_date", "plan_id"], "plan_id", "next_plan_id")
     conv = nxt.where((F.col("plan_id") == TRIAL) & F.col("next_plan_id").isNotNull())
     counts = (conv.join(plans.withColumnRenamed("plan_id", "next_plan_id"), "next_plan_id")
               .groupBy("next_plan_id", "plan_name")
@@ -112,8 +111,7 @@ def annual_upgrades(subs: DataFrame, year: int = 2020) -> DataFrame:
 def days_to_annual_lead(subs: DataFrame) -> DataFrame:
     """Average days trial -> annual via ``lead`` over trial and annual rows only."""
     kept = subs.where(F.col("plan_id").isin(TRIAL, ANNUAL))
-    nxt = next_value(kept, "customer_id", ["start_date", "plan_id"], "start_date", "annual_start",
-                     bucket=F.year("start_date"))
+    nxt = next_value(kept, "customer_id", ["start_date", "plan_id"], "start_date", "annual_start")
     days = nxt.where(F.col("annual_start").isNotNull()).select(
         F.datediff("annual_start", "start_date").cast("decimal(18,0)").alias("d"))
     return days.agg(F.round(F.sum("d") / F.count("d").cast("decimal(20,0)"), 2)

@@ -10,6 +10,7 @@ one-time write is repaid by the first few jobs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def write_bucketed(df: DataFrame, table: str, key: str | list[str], buckets: int,
@@ -40,3 +41,28 @@ def bucket_driver_tables(spark: SparkSession, tables, buckets: int,
     write_bucketed(tables.orders.withColumnRenamed("o_orderkey", "orderkey"),
                    names["orders"], "orderkey", buckets)
     return names
+
+
+def write_by_date(df: DataFrame, path: str, date: str, cluster: str | list[str] | None = None, grain: str = "day", mode: str = "overwrite") -> None:
+    """Write ``df`` as Parquet folders by date, clustered within files.
+
+    The partition column ``part_date`` is the day (or with ``grain`` the first
+    day of the month, quarter, ...) of ``date``. Rows are dealt by range of
+    (part_date, cluster): a hot date gets several files, small ones share a
+    task, and a file's rows are sorted by the cluster columns, so its row groups
+    have narrow bounds. A filter on ``part_date`` reads its folders only; a join
+    whose other side filters dates prunes at run time (``on_dates``).
+    """
+    keys = [cluster] if isinstance(cluster, str) else list(cluster or [])
+    day = F.to_date(date) if grain == "day" else F.to_date(F.date_trunc(grain, F.to_date(date)))
+    dated = df.withColumn("part_date", day)
+    dated.repartitionByRange("part_date", *keys).sortWithinPartitions("part_date", *keys).write.mode(mode).partitionBy("part_date").parquet(path)
+
+
+def on_dates(facts: DataFrame, dates: DataFrame, date: str = "part_date") -> DataFrame:
+    """Facts on the dates of a (filtered) table that holds one row per ``date``.
+
+    Spark reads the dates first and prunes the fact table's folders by them
+    (dynamic partition pruning): only files of those dates are scanned.
+    """
+    return facts.join(dates.select(date), date)

@@ -1,7 +1,9 @@
 """Typed table sources.
 
-Tables are read with an explicit schema (never inferred), so a drifted file
-fails fast instead of silently changing a query's types. Parquet scans keep
+Tables are read with an explicit schema (never inferred). For Parquet the
+footers of all files are compared with it first (``casework.sources.drift``):
+a missing, renamed or widened column raises ``SchemaDrift`` instead of reading
+as NULL or failing half way. Parquet scans keep
 Spark's projection and predicate pushdown: callers select columns and filter
 after ``load_table`` and Catalyst moves both into the ``FileScan``.
 """
@@ -13,6 +15,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from casework.sources.drift import check_schema
+
 _L, _I, _D, _S = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType()
 _TS = T.TimestampNTZType()
 
@@ -82,7 +86,8 @@ def load_table(spark: SparkSession, base: str, name: str,
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "parquet":
-        return reader.parquet(table_path(base, name))
+        df = reader.parquet(table_path(base, name))
+        return df if schema is None else check_schema(spark, df, schema)
     if fmt == "csv":
         return reader.option("header", "true").csv(os.path.join(base, f"{name}.csv"))
     if fmt == "json":

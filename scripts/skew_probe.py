@@ -82,15 +82,12 @@ def main() -> None:
             dense_rank_column(e, ["user_id"], "day", "r"),
         "next event type: window lead":
             e.withColumn("n", F.lead("event_type").over(w_user.orderBy("ts", "event_id"))),
-        "next event type: next_value (user, hour buckets)":
+        "next event type: next_value (sort by range)":
             next_value(e, "user_id", ["ts", "event_id"], "event_type", "n"),
         "next event type, hot user in one hour: window lead":
             eh.withColumn("n", F.lead("event_type").over(w_user.orderBy("ts", "event_id"))),
-        "next event type, hot user in one hour: next_value, hour buckets":
+        "next event type, hot user in one hour: next_value":
             next_value(eh, "user_id", ["ts", "event_id"], "event_type", "n"),
-        "next event type, hot user in one hour: next_value, second buckets":
-            next_value(eh, "user_id", ["ts", "event_id"], "event_type", "n",
-                       bucket=F.date_trunc("second", "ts")),
         "second event type per user: first_row_next":
             first_row_next(e, "user_id", ["ts", "event_id"], "event_type", "n"),
         "state at date: window lead + IS NULL":

@@ -9,6 +9,7 @@ from fixtures import (
 )
 from pyspark.sql import functions as F
 
+from casework.sources import read_committed
 from casework.plans import delivery as q
 
 MEAT_ALL = "Meatlovers: BBQ Sauce, Bacon, Beef, Cheese, Chicken, Mushrooms, Pepperoni, Salami"
@@ -184,6 +185,9 @@ def test_ratings_contract_and_append(spark, t, tmp_path):
     assert spark.read.parquet(str(tmp_path / "ratings")).count() == 4
     q.record_ratings(ratings, str(tmp_path / "ratings"))          # append, not overwrite
     assert spark.read.parquet(str(tmp_path / "ratings")).count() == 8
+    for _ in range(2):                                            # one batch, however often it runs
+        q.record_ratings(ratings, str(tmp_path / "safe"), batch="2021-01")
+    assert read_committed(spark, str(tmp_path / "safe")).count() == 4
 
 
 def test_delivered_order_rows(t):

@@ -26,7 +26,7 @@ def test_every_case_runs_from_a_folder(spark, tmp_path):
         # writing results is exercised once; the other cases are only evaluated
         res = run_case(spark, case, str(src), str(out / case) if case == "loyalty" else None)
         got.update({k: v.collect() for k, v in res.items()})
-    assert len(got) == 12 + 33 + 14
+    assert len(got) == 12 + 34 + 14
     assert len(got["Q-C2-D3"]) == 7 and [r.order_id for r in got["Q-C2-D3-rejected"]] == [10]
     assert len(got["Q-C2-D4"]) == 7
     assert sorted((r[0], r[1]) for r in got["Q-C1-1"]) == [("A", 76), ("B", 74), ("C", 36)]
