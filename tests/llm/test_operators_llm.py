@@ -144,25 +144,26 @@ def test_warc_empty(spark):
 # ------------------------------------------------------------ 3 license scan
 
 def brute_license(text):
-    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
-    w = re.findall(license_scan.WORD, low)
+    w = re.findall(license_scan.WORD, re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     places = [(label, i) for p, label in license_scan.PHRASES for i in range(len(w)) if w[i:i + len(p.split())] == p.split()]
     base, best, found = sorted({x for x, _ in places}), 0.0, set()
-    for line in low.split("\n"):
-        own = set(re.findall(license_scan.WORD, line))
-        for label, t in license_scan.TEMPLATES:
-            words = set(license_scan.template_words(t))
-            if len(own & words) >= math.ceil(license_scan.THRESHOLD * len(words) - 1e-9):
+    for label, t, must, without in license_scan.TEMPLATES:
+        every = re.findall(license_scan.WORD, t.lower())
+        words, run = set(every), 2 * len(every)
+        least = len(words) if len(words) < 10 else math.ceil(license_scan.THRESHOLD * len(words) - 1e-9)
+        for i in range(0, len(w), max(1, run // 64)):
+            block = set(w[i:i + run])
+            if len(words & block) >= least and block.issuperset(must) and not block & set(without):
                 found.add(label)
-                best = max(best, len(own & words) / len(words))
+                best = max(best, len(words & block) / len(words))
     starts = [i for _, i in places]
     return (len(w), len(places), min(starts, default=None), max(starts, default=None), ",".join(base), ",".join(sorted({*base, *found})), 1.0 if places else best)
 
 
 def test_license_scan(spark):
     rnd = random.Random(3)
-    texts = ["cc-by CC   by\ncc.By", "all rights\nreserved", "All Rights Reserved " * 50, "general public licenses", "ccby", "İ K cc by"]
-    for _, t in license_scan.TEMPLATES * 6:
+    texts = ["cc-by CC   by\ncc.By", "all rights\nreserved", "All Rights Reserved " * 50, "general public licenses", "ccby", "İ \u212a cc by", "mit \u212aelvin THE licen\u212ae"]
+    for _, t, *_ in license_scan.TEMPLATES * 6:
         w = t.split()
         for _ in range(rnd.randrange(0, 4)):
             w[rnd.randrange(len(w))] = rnd.choice(["other", "the", "under"])
@@ -173,26 +174,11 @@ def test_license_scan(spark):
     assert license_scan.scan(empty(spark)).count() == 0
 
 
-def brute_license_runs(text):
-    """Labels of ``brute_license`` and of any run of twice a template's words."""
-    low = re.sub("[A-Z]", lambda m: m[0].lower(), text)
-    *_, labels, best = brute_license(text)
-    w, found = re.findall(license_scan.WORD, low), {x for x in labels.split(",") if x}
-    for label, t in license_scan.TEMPLATES:
-        words, run = set(license_scan.template_words(t)), 2 * len(re.findall(license_scan.WORD, t))
-        for i in range(max(1, len(w) - run + 1)):
-            c = len(words & set(w[i:i + run]))
-            if c >= math.ceil(license_scan.THRESHOLD * len(words) - 1e-9):
-                found.add(label)
-                best = max(best, c / len(words))
-    return ",".join(sorted(found)), best
-
-
 def test_license_notice_wrapped_over_lines(spark):
     rnd = random.Random(33)
     notice = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files"
     texts, own = [notice], ["mit"]
-    for label, t in license_scan.TEMPLATES * 3:
+    for label, t, *_ in license_scan.TEMPLATES * 3:
         w, width = t.split(), rnd.randrange(3, 9)
         lines = [" * " + " ".join(w[i:i + width]) for i in range(0, len(w), width)]
         head = [f"word{i}" + rnd.choice(" \n") for i in range(rnd.randrange(0, 250))]
@@ -202,10 +188,36 @@ def test_license_notice_wrapped_over_lines(spark):
     texts.append("\n".join(f"{w} " + "filler " * 9 for w in license_scan.template_words(license_scan.TEMPLATES[-2][1])))
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = [(r["labels"], r["score"]) for r in license_scan.scan(df).orderBy("doc_id").collect()]
-    assert got == [brute_license_runs(t) for t in texts] and got[-1] == ("", 0.0)
+    assert got == [brute_license(t)[-2:] for t in texts] and got[-1] == ("", 0.0)
     assert all(label in labels.split(",") for label, (labels, _) in zip(own, got))
 
 
+def test_license_labels_of_neighbours(spark):
+    texts = {
+        "Licensed under CC BY 4.0": "cc-by",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License": "cc-by",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License (CC BY-SA)": "cc-by,cc-by-sa",
+        "Licensed under CC BY-NC 4.0": "cc-by,cc-by-nc",
+        "The song was released under the new license": "",
+        " ".join({3: "mit", 90: "released", 200: "under", 320: "the", 500: "license"}.get(k, f"w{k}") for k in range(600)): "",
+        "Released under the MIT License.": "mit",
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation": "gpl,lgpl",
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r["labels"] for r in license_scan.scan(df).orderBy("doc_id").collect()] == list(texts.values())
+
+
+def test_license_full_text_as_template(spark):
+    rnd = random.Random(7)
+    full = " ".join(f"w{rnd.randrange(900)}" for _ in range(1500))
+    cut = full.split()
+    texts = ["x " * 777 + full, "y " * 40 + " ".join(w for k, w in enumerate(cut) if k % 9), " ".join(cut[:700])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r["labels"] for r in license_scan.scan(df, [("own", full)]).orderBy("doc_id").collect()] == ["own", "own", ""]
+    with pytest.raises(ValueError):
+        license_scan.scan(df, [("big", " ".join(f"a{k}" for k in range(20_001)))])
+
+
 # ------------------------------------------------------------ 4 n-gram join
 
 def shingles(text):
