@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from casework.llm.common import table
 
+PIECE = 256
 NEAR = 40
 KEEP = 0.5
 
@@ -90,24 +91,32 @@ def spans_of(text: Column, kind: Kind, number: int) -> Column:
     """Array of (start, kind number, end, score) of the confirmed matches, in
     code points with the end exclusive."""
     found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    between = F.slice(F.split(text, kind.pattern, -1), F.lit(1), F.greatest(F.size(found), F.lit(0)))
-    pair = F.arrays_zip(between.alias("gap"), found.alias("match"))
+    parts = F.split(text, kind.pattern, -1)
+    n = F.greatest(F.size(found), F.lit(0))
+    pair = F.arrays_zip(F.slice(parts, F.lit(1), n).alias("gap"), found.alias("match"), F.slice(parts, F.lit(2), n).alias("after"))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["until"] + F.length(x["gap"])
-        end = start + F.length(x["match"])
-        near = F.concat_ws(" ", F.substr(x["gap"], F.greatest(F.length(x["gap"]) - NEAR + 1, F.lit(1))),
-                           F.substring(F.substr(text, (end + 1).cast("int")), 1, NEAR))
+    def judged(x: Column) -> Column:
+        near = F.concat_ws(" ", F.substr(x["gap"], F.greatest(F.length(x["gap"]) - NEAR + 1, F.lit(1))), F.substring(x["after"], 1, NEAR))
         score = F.lit(kind.shape) + F.when(near.rlike(rf"(?i)(?<![a-z])(?:{kind.context})(?![a-z])"), F.lit(0.4)).otherwise(F.lit(0.0))
         score = F.least(F.round(score, 1), F.lit(1.0))
         keep = confirmed(kind.confirm, x["match"])
-        if not kind.always:
-            keep = keep & (score >= KEEP)
-        one = F.array(F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end"), score.alias("score")))
-        return F.struct(end.alias("until"), F.when(keep, F.concat(acc["spans"], one)).otherwise(acc["spans"]).alias("spans"))
+        return F.struct(F.length(x["gap"]).alias("gap"), F.length(x["match"]).alias("match"), score.alias("score"),
+                        (keep if kind.always else keep & (score >= KEEP)).alias("keep"))
+
+    # places are a running sum; spans are gathered in pieces, so that a text
+    # with many of them isn't copied once for each
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["until"] + x["gap"]
+        end = start + x["match"]
+        one = F.array(F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end"), x["score"].alias("score")))
+        piece = F.when(x["keep"], F.concat(acc["piece"], one)).otherwise(acc["piece"])
+        full = F.size(acc["piece"]) >= PIECE
+        return F.struct(end.alias("until"), F.when(full, F.when(x["keep"], one).otherwise(none)).otherwise(piece).alias("piece"),
+                        F.when(full, F.concat(acc["pieces"], F.array(acc["piece"]))).otherwise(acc["pieces"]).alias("pieces"))
 
     none = F.array().cast(_SPANS)
-    all_ = F.aggregate(pair, F.struct(F.lit(0).cast("bigint").alias("until"), none.alias("spans")), step, lambda acc: acc["spans"])
+    start = F.struct(F.lit(0).cast("bigint").alias("until"), none.alias("piece"), F.array().cast(f"array<{_SPANS}>").alias("pieces"))
+    all_ = F.aggregate(F.transform(pair, judged), start, step, lambda acc: F.flatten(F.concat(acc["pieces"], F.array(acc["piece"]))))
     return F.when(text.rlike(kind.hint), all_).otherwise(none)
 
 
