@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +42,7 @@ FRAGMENTS = 16             # of the global order
 EARLY = 4                  # fragments that are compared first
 FREQUENT = 16              # counted occurrences from which an n-gram is frequent
 BUCKET_GRAMS = 4_000_000   # n-grams that one task counts, about
+SALT_GRAMS = 2_000_000_000
 MOST_FREQUENT = 1 << 18    # frequent n-grams that are broadcast (16 bytes each)
 
 
@@ -116,34 +118,55 @@ def _distinct_sets(sets) -> dict[int, np.ndarray]:
 def frequent_grams(docs: DataFrame, total: int, width: int = SHINGLE, least: int = FREQUENT, most: int = MOST_FREQUENT) -> Order:
     """The order by the counts of all n-grams, over distinct sets per batch.
 
-    A batch sends its distinct n-grams (48 bits of the hash, and a count) as
-    one sorted run per bucket of the hash; a bucket holds about
-    ``BUCKET_GRAMS`` of the ``total`` and a frequent n-gram one entry per batch
-    in it, so a bucket's sum is small whatever the skew. Only the ``most``
-    frequent ones reach the driver."""
-    buckets = max(64, -(-total // BUCKET_GRAMS))
-    schema = pa.schema([("bucket", pa.int64()), ("run", pa.binary())])
+    A slice of text sends its distinct n-grams (48 bits of the hash, and a
+    count) as one sorted run per bucket of the hash. A bucket holds about
+    ``BUCKET_GRAMS`` of the ``total``, but a frequent n-gram has an entry of
+    each slice in it, so a bucket's runs are dealt to salts first, one for
+    about ``SALT_GRAMS`` of the total: a salt sums its runs to one, and the
+    bucket sums those of its salts. Only the ``most`` frequent n-grams reach
+    the driver."""
+    buckets, salts = max(64, -(-total // BUCKET_GRAMS)), max(1, -(-total // SALT_GRAMS))
+    schema = pa.schema([("bucket", pa.int64()), ("salt", pa.int64()), ("run", pa.binary()), ("seen", pa.binary())])
     edges = np.array([(b << 48) // buckets for b in range(buckets + 1)], U64)
 
     def runs(batches):
+        salt = TaskContext.get().partitionId()
         for _, sets in _sets_of(batches, width):
+            salt += 1
             sets = list(_distinct_sets(sets).values())
             if sets:
                 grams, seen = np.unique(np.concatenate(sets) >> U64(16), return_counts=True)
                 packed = (grams << U64(16)) | np.minimum(seen, 0xFFFF).astype(U64)
                 at = np.searchsorted(grams, edges)
                 full = np.flatnonzero(np.diff(at))
-                yield record_batch(schema, full, [packed[at[b]:at[b + 1]].tobytes() for b in full])
+                yield record_batch(schema, full, np.full(len(full), salt % salts), [packed[at[b]:at[b + 1]].tobytes() for b in full], [None] * len(full))
 
-    def count(t: pa.Table) -> pa.Table:
-        packed = np.sort(np.frombuffer(b"".join(t.column("run").to_pylist()), U64))
-        grams = packed >> U64(16)
+    def summed(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        run = np.frombuffer(b"".join(t.column("run").to_pylist()), U64)
+        if t.column("seen").null_count:  # as the slices sent them
+            run = np.sort(run)
+            grams, seen = run >> U64(16), (run & U64(0xFFFF)).astype(np.int64)
+        else:
+            seen = np.frombuffer(b"".join(t.column("seen").to_pylist()), np.int64)
+            at = np.argsort(run, kind="stable")
+            grams, seen = run[at], seen[at]
         first = np.flatnonzero(np.diff(grams, prepend=grams[:1] + U64(1)))
-        seen = np.add.reduceat((packed & U64(0xFFFF)).astype(np.int64), first)
+        return grams[first], np.add.reduceat(seen, first)
+
+    def salted(t: pa.Table) -> pa.Table:
+        grams, seen = summed(t)
+        return pa.Table.from_batches([record_batch(schema, [t.column("bucket")[0].as_py()], [0], [grams.tobytes()], [seen.tobytes()])])
+
+    def count(t: pa.Table) -> pa.Table:
+        grams, seen = summed(t)
         keep = seen >= least
-        return pa.table({"gram": pa.array(signed(grams[first][keep])), "seen": pa.array(seen[keep])})
+        return pa.table({"gram": pa.array(signed(grams[keep])), "seen": pa.array(seen[keep])})
 
-    counts = docs.select("doc_id", "text").mapInArrow(runs, "bucket long, run binary").groupBy("bucket").applyInArrow(count, "gram long, seen long")
+    columns = "bucket long, salt long, run binary, seen binary"
+    sent = docs.select("doc_id", "text").mapInArrow(runs, columns)
+    if salts > 1:
+        sent = sent.groupBy("bucket", "salt").applyInArrow(salted, columns)
+    counts = sent.groupBy("bucket").applyInArrow(count, "gram long, seen long")
     top = counts.orderBy(F.desc("seen"), "gram").limit(most).toArrow()
     return Order(top.column(0).to_numpy().view(U64), top.column(1).to_numpy())
 
@@ -197,12 +220,13 @@ def segments(docs: DataFrame, wanted: DataFrame, order, width: int = SHINGLE, fr
 
 def _least_overlap(n, m, percent: int):
     """Smallest intersection that links sets of n and m members."""
+    n, m = n.cast("long"), m.cast("long")
     return F.ceil((percent * (n + m)) / F.lit(100.0 + percent) - 1e-6)
 
 
 def _pass_filters(a: str, b: str, percent: int):
     """Length and positional filter of two prefix rows."""
-    n, m, i, j = (F.col(x) for x in (f"{a}.n", f"{b}.n", f"{a}.i", f"{b}.i"))
+    n, m, i, j = (F.col(x).cast("long") for x in (f"{a}.n", f"{b}.n", f"{a}.i", f"{b}.i"))
     return ((100 * F.least(n, m) >= percent * F.greatest(n, m))
             & (1 + F.least(n - i - 1, m - j - 1) >= _least_overlap(n, m, percent)))
 
@@ -228,7 +252,8 @@ def verified(pairs: DataFrame, parts: DataFrame, name: str, percent: int = PERCE
                  .select("a", "b", "n_a", "n_b", F.col("c").alias("c_early")), f"{name}-early")
     rest = _overlaps(some, parts.where(F.col("fragment") >= early), ["n_a", "n_b", "c_early"])
     c = F.col("c") + F.col("c_early")
-    return rest.where(F.lit(100) * c >= F.lit(percent) * (F.col("n_a") + F.col("n_b") - c)).select("a", "b")
+    both = F.col("n_a").cast("long") + F.col("n_b") - c
+    return rest.where(F.lit(100) * c >= F.lit(percent) * both).select("a", "b")
 
 
 def _pair(m: str, h: str) -> list[Column]:
