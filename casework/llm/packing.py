@@ -200,8 +200,9 @@ def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH, end_id:
     """
     cut = stage(pieces(docs, path, length, end_id), "pack-pieces")
     groups = max(1, -(-cut.count() // group_pieces))
-    # the crc takes part so that documents without an id or with one id spread too
-    cut = cut.withColumn("grp", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)))
+    # the row's place in the written stage takes part, so that equal rows spread too
+    place = F.struct("_metadata.file_name", "_metadata.row_index")
+    cut = cut.withColumn("grp", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", place), F.lit(groups)))
 
     def run(t: pa.Table) -> pa.Table:
         t = t.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")])
