@@ -35,9 +35,9 @@ SMOOTH = 0.5
 
 # fixed values: element names of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe object svg math select option".split())
+RAW = frozenset("script style template textarea title iframe select option".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong "
-                   "sub sup time tt u var wbr".split())
+                   "sub sup time tt u var wbr math mi mn mo ms mrow mtext msub msup mfrac msqrt semantics".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                      "header hgroup hr main menu nav ol p pre section table ul".split())
 SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
@@ -74,6 +74,7 @@ def parse(page: str) -> Dom:
     list items and cells; an end tag without its start is dropped."""
     dom = Dom()
     stack, names, open_ = [0], ["#root"], Counter(["#root"])
+    unclosed: set[str] = set()
     links = 0
 
     def pop() -> str:
@@ -145,7 +146,10 @@ def parse(page: str) -> Dom:
         if name in VOID:
             continue
         if name in RAW:
-            close = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(page, at)
+            # a name that isn't closed once isn't closed later either
+            close = None if name in unclosed else re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(page, at)
+            if close is None:
+                unclosed.add(name)
             if close:
                 at = page.find(">", close.end())
                 at = end if at < 0 else at + 1
