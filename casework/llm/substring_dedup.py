@@ -41,6 +41,7 @@ from casework.llm.common import (
 
 WINDOW = 50
 SEED = 16
+PART = 1 << 23
 _LOW = U64((1 << 24) - 1)
 
 _PATHS = "seed long, path long, doc_id long, first int, windows int"
@@ -58,19 +59,29 @@ def _sliding_min(v: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(v[:-rest], v[rest:]) if rest else v
 
 
-def _slice_paths(buf, off, window, seed):
-    """(row, seed hash, path hash, first window, windows) of the paths of one slice."""
+def _slice_paths(buf, off, window, seed, most=PART):
+    """(row, seed hash, path hash, first window, windows) of the paths of one
+    slice, a long text in parts of ``most`` windows."""
     start, end, words = split_words(buf, off)
-    n = len(start)
-    if n < window:
-        return None
-    if n > int(_LOW):
-        raise ValueError("a text of more than 16 million words")
+    if len(start) < window:
+        return
     w = word_hashes(buf, start, end)
+    if len(off) > 2 or len(w) <= most:
+        yield from _word_paths(w, words, window, seed)
+        return
+    # a long text is cut into parts that share window - 1 words; no window is lost
+    for at in range(0, len(w) - window + 1, most):
+        part = w[at:at + most + window - 1]
+        for row, s, path, first, count in _word_paths(part, np.array([0, len(part)]), window, seed):
+            yield row, s, path, first + at, count
+
+
+def _word_paths(w, words, window, seed):
+    n = len(w)
     last = words[1:][row_of(words)]
     edges = np.flatnonzero(np.arange(n) + window <= last)
     if not len(edges):
-        return None
+        return
     seeds = range_hash(prefix_sums(w, WORD_BASE), np.arange(n - seed + 1), np.arange(seed, n + 1), WORD_BASE)
     order = (mix(seeds) & ~_LOW) | np.arange(len(seeds), dtype=U64)
     low = (_sliding_min(order, window - seed + 1)[edges] & _LOW).astype(np.int64)
@@ -84,18 +95,16 @@ def _slice_paths(buf, off, window, seed):
     span = range_hash(prefix_sums(w, SPAN_BASE), first, first + count - 1 + window, SPAN_BASE)
     path = mix(span + (low - first).astype(U64) * U64(0x100000001B3) + count.astype(U64))
     row = np.searchsorted(words, first, side="right") - 1
-    return row, seeds[low], path, first - words[row], count
+    yield row, seeds[low], path, first - words[row], count
 
 
-def paths(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
+def paths(docs: DataFrame, window: int = WINDOW, seed: int = SEED, most: int = PART) -> DataFrame:
     """Step 1. Documents without an id or with fewer words have no path."""
     def run(batches):
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
             for lo, hi, buf, off in text_slices(b, "text"):
-                got = _slice_paths(buf, off, window, seed)
-                if got is not None:
-                    row, s, p, first, count = got
+                for row, s, p, first, count in _slice_paths(buf, off, window, seed, most):
                     yield record_batch(_PATHS_PA, signed(s), signed(p), ids[lo:hi][row], first.astype(np.int32), count.astype(np.int32))
 
     return docs.where("doc_id is not null and text is not null").select("doc_id", "text").mapInArrow(run, _PATHS)
