@@ -21,13 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casework.llm.common import record_batch, table, text_slices
+from casework.llm.common import batch_text, record_batch, table, text_slices
 
 SAMPLE_ROWS = 96          # labelled documents per language, on average
 SAMPLE_BYTES = 24_576     # training bytes per language
 SAMPLE_CHARS = 2_048      # characters taken from one labelled document, at a place chosen by hash
 SHARD_LANGUAGES = 16      # languages whose tables are one broadcast: at most 16 * 2 * SAMPLE_BYTES states
 BLOCK = 512
+FACTOR = 2.0              # a text may cost that much more per byte than the language's own sample ...
+SLACK_PHRASES = 12        # ... and so many phrases more, since short texts vary
 _BREAK = np.int32(1 << 30)
 
 _OUT = "doc_id long, lang_pred string, score double"
@@ -133,6 +135,14 @@ class CrossParser:
         return out / np.maximum(n, 1)[:, None]
 
 
+def _limit(sample: bytes) -> float:
+    """Cost per byte up to which a text is of a language: ``FACTOR`` times what
+    the second half of its sample costs when it is parsed by the first half."""
+    half = len(sample) // 2
+    rest = np.frombuffer(sample[half:], np.uint8)
+    return FACTOR * float(CrossParser({"": sample[:half]}).costs(rest, np.array([0, len(rest)]))[0, 0])
+
+
 def _span() -> F.Column:
     """``SAMPLE_CHARS`` characters of the text, from a place chosen by hash."""
     spare = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0))
@@ -178,9 +188,9 @@ def _broadcast(spark: SparkSession, samples: dict[str, bytes], shard: int) -> tu
 _LETTER = r"\p{L}"
 
 
-def _labels(batch: pa.RecordBatch, letters: np.ndarray, count: int, shards: list) -> tuple[np.ndarray, np.ndarray]:
-    """(language numbers, scores) of the batch's rows; the number ``count``,
-    after the last language, is ``und``."""
+def _labels(batch: pa.RecordBatch, letters: np.ndarray, count: int, shards: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(language numbers, scores, costs per byte) of the batch's rows; the
+    number ``count``, after the last language, is ``und``."""
     n = batch.num_rows
     best, low, after = np.full(n, count), np.full(n, np.inf), np.full(n, np.inf)
     first = 0
@@ -200,7 +210,7 @@ def _labels(batch: pa.RecordBatch, letters: np.ndarray, count: int, shards: list
             # one shard's tables in memory at a time; the next batch reads them again
             del m, shared._value
     score = 1 - low / np.maximum(after, 1e-300) if count > 1 else np.full(n, float(count))
-    return np.where(letters, best, count), np.clip(np.where(letters, score, 0), 0, 1)
+    return np.where(letters, best, count), np.clip(np.where(letters, score, 0), 0, 1), low
 
 
 def _has_letters(batch: pa.RecordBatch) -> np.ndarray:
@@ -228,21 +238,33 @@ def predict(docs: DataFrame, model: dict[str, bytes], shard: int = SHARD_LANGUAG
     def run(batches):
         names = np.array([*langs, "und"], object)
         for b in batches:
-            best, score = _labels(b, _has_letters(b), len(langs), shards)
+            best, score, _ = _labels(b, _has_letters(b), len(langs), shards)
             yield record_batch(_OUT_PA, b.column(0), names[best].tolist(), score)
 
     return _marked(docs.select("doc_id", "text")).mapInArrow(run, _OUT)
 
 
-def drop_unknown(docs: DataFrame, model: dict[str, bytes], shard: int = SHARD_LANGUAGES) -> DataFrame:
-    """``docs`` without the rows that get no language (``und``); all columns
-    stay, and every decision is made where the row is."""
+def keep_languages(docs: DataFrame, model: dict[str, bytes], wanted: list[str] | None = None, shard: int = SHARD_LANGUAGES) -> DataFrame:
+    """The rows of ``docs`` in one of the ``wanted`` languages (None: all that
+    the model has); all columns stay, and every decision is made where the row is.
+
+    A row goes if its text is null or has no letter, if its language is not
+    wanted, or if it is none of the model's languages: its parse costs more
+    than ``FACTOR`` times what the language's own sample costs per byte, and
+    ``SLACK_PHRASES`` phrases more. Nothing stays of an empty model.
+    """
     langs, shards = _broadcast(docs.sparkSession, model, shard)
+    limit = np.array([*(_limit(model[k]) for k in langs), 0.0])
+    slack = np.array([*(np.log2(max(2, len(model[k]))) for k in langs), 0.0]) * SLACK_PHRASES
+    take = np.array([*(wanted is None or k in wanted for k in langs), False])
 
     def run(batches):
         for b in batches:
-            best, _ = _labels(b, _has_letters(b), len(langs), shards)
-            yield b.filter(pa.array(best < len(langs))).drop_columns([_MARK])
+            best, _, cost = _labels(b, _has_letters(b), len(langs), shards)
+            _, off = batch_text(b, "text")
+            size = np.diff(off)
+            keep = take[best] & (np.where(np.isfinite(cost), cost, 0) * size <= limit[best] * size + slack[best])
+            yield b.filter(pa.array(keep)).drop_columns([_MARK])
 
     return _marked(docs).mapInArrow(run, docs.schema)
 

@@ -362,8 +362,14 @@ def test_language_id(spark):
     assert sum(r["lang"] == r["lang_pred"] for r in labelled) >= 0.97 * len(labelled)
     by = {r["doc_id"]: r["lang_pred"] for r in got}
     assert by[9001] == by[9002] == by[9003] == "und" and by[9004] == "en"
-    kept = language_id.drop_unknown(docs, model)
+    kept = language_id.keep_languages(docs, model)
     assert kept.columns == docs.columns and kept.count() == docs.count() - 3
+    english = {r["doc_id"] for r in got if r["lang_pred"] == "en"}
+    assert {r["doc_id"] for r in language_id.keep_languages(docs, model, ["en"]).collect()} == english
+    strange = {"zz": b"qq zz xx qz zq " * 900}
+    assert language_id.keep_languages(docs, strange).count() < 0.05 * docs.count()
+    other = spark.createDataFrame([(1, "Это предложение написано на другом языке. " * 9, None, "s", 0), (2, "これは別の言語の文章です。" * 30, None, "s", 0)], docs.schema)
+    assert language_id.keep_languages(other, model).count() == language_id.keep_languages(docs, {}).count() == 0
     nothing = language_id.train(empty(spark))
     assert {r["lang_pred"] for r in language_id.predict(docs, nothing).collect()} == {"und"}
     assert language_id.predict(empty(spark), model).count() == 0
@@ -573,3 +579,63 @@ def test_decontaminate(spark):
     left = decontaminate.drop_leaks(df, bench)
     assert left.columns == df.columns and left.count() == len(rows) - len([1 for i, _ in rows if i in {d for d, _ in found}])
     assert decontaminate.leaks(empty(spark), bench).count() == 0 and decontaminate.leaks(df, bench.where("false")).count() == 0
+
+
+# ------------------------------------------------------------ sizes and skew
+
+def test_substring_paths_of_a_long_text_in_parts(spark):
+    rnd = random.Random(12)
+    base = [rnd.choice("abcdef") + rnd.choice("xyz") for _ in range(400)]
+    rows = [(1, " ".join(base)), (2, " ".join(["q"] * 7 + base[50:300])), (3, " ".join(base[:90] + base[200:]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for most in (17, 64):
+        covered = {}
+        # one text a row, so that each is a slice that is cut
+        for i, t in rows:
+            one = substring_dedup.paths(df.where(F.col("doc_id") == i), 20, 6, most).collect()
+            windows = [k for p in one for k in range(p["first"], p["first"] + p["windows"])]
+            covered[i] = sorted(windows)
+            assert covered[i] == list(range(len(t.split()) - 19)) and all(p["windows"] <= most for p in one)
+
+
+def test_ngram_filters_with_large_sets(spark):
+    pairs = spark.createDataFrame([(30_000_000, 29_000_000, 5, 7)], "n int, m int, i int, j int").select(
+        F.struct("n", "i").alias("a"), F.struct(F.col("m").alias("n"), F.col("j").alias("i")).alias("b"))
+    got = pairs.select(ngram_join._pass_filters("a", "b", 80).alias("ok"), ngram_join._least_overlap(F.col("a.n"), F.col("b.n"), 80).alias("least")).first()
+    assert got.ok and got.least == math.ceil(80 * 59_000_000 / 180)
+
+
+def test_ngram_counts_by_salted_runs(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "common words stand in every text here " + f"own{i} " * 3 + f"more{i % 7}") for i in range(300)], "doc_id long, text string").repartition(11)
+    plain = ngram_join.frequent_grams(docs, 3000, least=2, most=100)
+    monkeypatch.setattr(ngram_join, "SALT_GRAMS", 700)
+    salted = ngram_join.frequent_grams(docs, 3000, least=2, most=100)
+    assert len(plain.grams) and (plain.grams == salted.grams).all() and (plain.counts == salted.counts).all()
+
+
+def test_equal_rows_are_packed_in_several_groups(spark):
+    df = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("the same short text").alias("text"))
+    packed = packing.pack(df, group_pieces=2000)
+    groups = packed.select(F.shiftright("sequence_id", 32).alias("g")).groupBy("g").count().collect()
+    assert len(groups) == 10 and sum(r["count"] for r in groups) == 20_000
+
+
+def test_html_keeps_texts_of_formulas_objects_and_noscript(spark):
+    page = ("<html><body><article><h1>A title of the article</h1><p>The value is <math><mi>x</mi></math> here.</p><noscript><p>A long paragraph of the article without scripts.</p></noscript>"
+            "<object><p>A long paragraph of the article within an object.</p></object></article><script>var a = 1;</script></body></html>")
+    rows = [(k, "u", page) for k in range(5)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    text = " ".join(t for t in [r["text"] for r in html_extract.extract(df).collect()][:1])
+    for part in ("The value is x here.", "without scripts.", "within an object."):
+        assert part in text
+    assert "var a" not in text
+
+
+def test_html_unclosed_options_take_linear_time():
+    import time
+    took = []
+    for n in (4000, 16_000):
+        t0 = time.perf_counter()
+        html_extract.parse("<datalist>" + "<option>one" * n)
+        took.append(time.perf_counter() - t0)
+    assert took[1] < 10 * took[0] + 0.2
