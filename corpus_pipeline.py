@@ -13,9 +13,14 @@ from casework.llm import decontaminate, language_id, ngram_join, packing, pii
 from casework.llm.common import stage, table
 
 
+# languages that stay; None: every language that is learned
+WANTED: list[str] | None = None
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text gets a language."""
-    return language_id.drop_unknown(docs, language_id.train(docs))
+    """Documents whose text is in a wanted language (``WANTED``; None: in any
+    that the documents' labels teach)."""
+    return language_id.keep_languages(docs, language_id.train(docs), WANTED)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
