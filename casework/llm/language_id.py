@@ -28,7 +28,7 @@ SAMPLE_BYTES = 24_576     # training bytes per language
 SAMPLE_CHARS = 2_048      # characters taken from one labelled document, at a place chosen by hash
 SHARD_LANGUAGES = 16      # languages whose tables are one broadcast: at most 16 * 2 * SAMPLE_BYTES states
 BLOCK = 512
-FACTOR = 2.0              # a text may cost that much more per byte than the language's own sample ...
+FACTOR = 2.5              # a text may cost that much more per byte than the language's own sample ...
 SLACK_PHRASES = 12        # ... and so many phrases more, since short texts vary
 _BREAK = np.int32(1 << 30)
 
