@@ -42,7 +42,7 @@ from casework.llm.substring_dedup import _sliding_min
 
 LENGTH = 100
 SEED = 24
-BUCKET = 2_000
+BUCKET = 20_000
 _PLACE_BITS = 24
 #: a long text is cut into parts of so many windows; no window is lost
 _PART = 1 << 22
