@@ -523,6 +523,42 @@ def test_audit_sees_the_linked_nodes(spark):
     assert share == 1.0 and sorted(map(tuple, links.collect())) == sorted(map(tuple, every.collect()))
 
 
+def test_dense_groups_are_counted_in_blocks(spark):
+    # 150 and 90 near copies, a chain of close ones, a label of text; lists end at 16 links
+    rng = np.random.default_rng(19)
+    rows = []
+    for size, spread in ((150, 0.02), (90, 0.09), (6, 0.05)):
+        centre = rng.standard_normal(24)
+        rows += [(centre + rng.standard_normal(24) * spread, "a") for _ in range(size)]
+    turn = [np.append([math.cos(k * 0.02), math.sin(k * 0.02)], np.zeros(22)) for k in range(120)]
+    rows = [(i, v.tolist(), lab) for i, (v, lab) in enumerate(rows + [(v, "b") for v in turn] + [(turn[3], "a")])]
+    rows += [(len(rows), rows[0][1], "a"), (len(rows) + 1, rows[0][1], "a")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string").repartition(3)
+    unit = np.array([v for _, v, _ in rows])
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    label = np.array([lab for *_, lab in rows])
+    near = (unit @ unit.T >= 0.98) & (label[:, None] == label) & ~np.eye(len(rows), dtype=bool)
+    low = np.arange(len(rows))
+    for _ in rows:
+        low = np.minimum(low, np.where(near, low, len(rows)).min(axis=1))
+    got = {r["vec_id"]: r for r in embedding_dedup.near_duplicates(df, dense=16).collect()}
+    assert [got[i]["component_id"] for i, *_ in rows] == low.tolist()
+    many = near.sum(axis=1) >= 40
+    assert [got[i]["n_links"] for i, *_ in rows if many[i]] == near.sum(axis=1)[many].tolist()
+    assert sum(r["n_links"] for r in got.values()) >= 0.97 * near.sum()
+
+
+def test_dense_links_take_more_hubs_than_fit_at_once(spark):
+    nodes = cluster_nodes(spark, 300, 5)
+    every = embedding_dedup.all_links(nodes, 0.9999, 305, "test-hubs", size=1000)
+    true = {r["x"]: r["n"] for r in every.groupBy("x").agg(F.count("*").alias("n")).collect()}
+    own = spark.createDataFrame([(i,) for i in true], "x long")
+    for hubs, block in ((7, 1000), (2048, 32)):
+        out = embedding_dedup.dense_links(nodes, own, 0.9999, "test-hubs", hubs, block)
+        assert {r["x"]: r["n"] for r in out.groupBy("x").agg(F.sum("n").alias("n")).where("n > 0").collect()} == true
+    assert embedding_dedup.dense_links(nodes, own.limit(0), 0.9999, "test-hubs") is None
+
+
 # ------------------------------------------------------------ 10 decontamination
 
 def test_block_max_wand_retrieves_all():
