@@ -15,17 +15,21 @@ WAND and retrieve every unit of at least ``SCORE``.
 
 A retrieved item is verified around its passage: the first half of its words
 (the question) and the second half (the answer) must each have ``OVERLAP`` of
-their five-word shingles there.
+their five-word shingles there. As one edited word takes up to five of them
+with it, an item of at least ``EDIT`` words is also there if each half has
+``OVERLAP`` of its words and no more three-word shingles of both halves are
+missing than one edited word in every ``EDIT`` explains.
 
 The index is the only thing that is broadcast, in shards of about
 ``SHARD_BYTES`` of item text; more items mean more shards, each of which reads
-the documents once. Statistics (document frequencies, lengths) are taken over
+the documents once. The driver holds one shard at a time. Statistics (document frequencies, lengths) are taken over
 all items.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casework.llm.common import (
-    U64, WORD_BASE, lower_ascii, prefix_sums, range_hash, record_batch, signed, split_words, table, text_slices, word_hashes,
+    U64, WORD_BASE, lower_ascii, prefix_sums, range_hash, record_batch, signed, split_words, stage, table, text_slices, word_hashes,
 )
 
 UNIT = 64
@@ -41,6 +45,8 @@ BLOCK = 16
 SCORE = 0.6
 OVERLAP = 0.8
 SHINGLE = 5
+EDIT = 10                  # words of an item for each one that may be edited
+EDIT_SHINGLE = 3
 K1, B = 1.2, 0.75
 SHARD_BYTES = 4 << 20
 
@@ -73,17 +79,20 @@ class Index:
 
     def __init__(self, items: list[tuple[int, np.ndarray]], frequency: dict[int, int], units: int, length: float):
         self.parts = []      # per item: (question, answer) as (width, distinct shingles)
+        self.edited = []     # per item: (question, answer) as (distinct words, distinct short shingles), and how many of these may miss
         self.ids, self.item = [], []   # of each item; item of each unit
         rows: dict[int, list[tuple[int, float]]] = {}
         for item_id, w in items:
             if not len(w):
                 continue
             sums, half = prefix_sums(w, WORD_BASE), max(1, len(w) // 2)
-            pair = []
+            pair, edited = [], []
             for a, b in ((0, half), (half, len(w))):
                 width = min(SHINGLE, b - a)
                 pair.append((width, np.unique(shingles(sums, a, b, width))) if width else None)
+                edited.append((np.unique(w[a:b]), np.unique(shingles(sums, a, b, EDIT_SHINGLE))))
             self.parts.append(pair)
+            self.edited.append((edited, EDIT_SHINGLE * (len(w) // EDIT)))
             self.ids.append(item_id)
             for a, b in units_of(len(w)):
                 terms, tf = np.unique(w[a:b], return_counts=True)
@@ -226,12 +235,22 @@ class Index:
                 lo, hi = max(int(rows[r]), a - size), min(int(rows[r + 1]), b + size)
                 share = [float(np.isin(p[1], shingles(sums, lo, hi, p[0])).mean()) if p else 1.0 for p in self.parts[item]]
                 old = best.get((r, item))
-                if min(share) >= OVERLAP - 1e-9 and (old is None or (score, *share) > old):
+                if (min(share) >= OVERLAP - 1e-9 or self._is_edited(item, w, sums, lo, hi)) and (old is None or (score, *share) > old):
                     best[r, item] = (score, *share)
         for (r, item), (score, q, ans) in best.items():
             yield r, item, score, q, ans
 
 
+    def _is_edited(self, item: int, w: np.ndarray, sums: np.ndarray, lo: int, hi: int) -> bool:
+        """Whether the words [lo, hi) hold the item with a few words edited."""
+        halves, most = self.edited[item]
+        if not most:
+            return False
+        here = shingles(sums, lo, hi, EDIT_SHINGLE)
+        missing = sum(int((~np.isin(s, here)).sum()) for _, s in halves)
+        return missing <= most and all(np.isin(own, w[lo:hi]).mean() >= OVERLAP - 1e-9 for own, _ in halves)
+
+
 def _item_words(texts: list[str]) -> list[np.ndarray]:
     data = [t.encode() for t in texts]
     off = np.append(0, np.cumsum([len(x) for x in data]))
@@ -239,11 +258,20 @@ def _item_words(texts: list[str]) -> list[np.ndarray]:
     return np.split(w, rows[1:-1])
 
 
-def build_indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> list[Index]:
-    """The index of each shard. Items with equal words under one id count once;
-    items without an id or words are left out."""
-    items = (benchmark.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
-             .select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).distinct())
+def _items(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    return (benchmark.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
+            .select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).distinct())
+
+
+def _shards(items: DataFrame, shard_bytes: int) -> int:
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(1, -(-size // shard_bytes))
+
+
+def build_indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> Iterator[Index]:
+    """The index of each shard, one after the other. Items with equal words
+    under one id count once; items without an id or words are left out."""
+    items = _items(benchmark, id_col, text_col)
 
     def stats(batches):
         schema = pa.schema([("term", pa.int64()), ("n", pa.int64()), ("size", pa.int64())])
@@ -258,12 +286,10 @@ def build_indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
 
     seen = items.mapInArrow(stats, "term long, n long, size long")
     total = seen.agg(F.sum("n"), F.sum("size")).first()
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     if not total[0]:
-        return []
-    shards = max(1, -(-size // shard_bytes))
+        return
+    shards = _shards(items, shard_bytes)
     frequency = seen.groupBy("term").agg(F.count("*").alias("df"))
-    out = []
     for s in range(shards):
         part = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(shards)) == s).orderBy("id", "text").collect()
         if not part:
@@ -272,15 +298,14 @@ def build_indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
         terms = sorted({int(t) for w in own for t in signed(w)})
         df = frequency.join(items.sparkSession.createDataFrame([(t,) for t in terms], "term long"), "term") if terms else frequency.limit(0)
         found = {r["term"]: r["df"] for r in df.collect()}
-        out.append(Index(list(zip((r["id"] for r in part), own)), found, total[0], total[1] / total[0]))
-    return out
+        yield Index(list(zip((r["id"] for r in part), own)), found, total[0], total[1] / total[0])
 
 
 _LEAK = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
 _LEAK_PA = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64())])
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, indexes: list[Index] | None = None) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, indexes: Iterable[Index] | None = None) -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap): one row per
     document and item found in it.
 
@@ -307,23 +332,35 @@ def leaks(docs: DataFrame, benchmark: DataFrame, indexes: list[Index] | None = N
     return out.groupBy("doc_id", "item_id").agg(*[F.max(c).alias(c) for c in ("score", "question_overlap", "answer_overlap")])
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose text holds an item; every decision is
-    made where the row is, so no text is shuffled. All columns stay."""
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """``docs`` without the rows whose text holds an item. All columns stay.
+
+    Repeated rows go or stay together, whatever their id; a null text stays.
+    With one shard every decision is made where the row is, so no text is
+    shuffled. With more, each shard's pass writes a digest of the texts that it
+    found, its index is released, and ``docs`` is read once more without them.
+    """
     spark = docs.sparkSession
-    for index in build_indexes(benchmark):
+    one, digests = _shards(_items(benchmark), shard_bytes) == 1, None
+    own = F.sha2(F.col("text").cast("string"), 256)
+    for s, index in enumerate(build_indexes(benchmark, shard_bytes=shard_bytes)):
         shared = spark.sparkContext.broadcast(index)
 
-        def run(batches, shared=shared):
+        def run(batches, shared=shared, keep_found=not one):
             for b in batches:
-                keep = np.ones(b.num_rows, bool)
+                keep = np.full(b.num_rows, not keep_found)
                 for lo, _, buf, off in text_slices(b, "text"):
                     for found in shared.value.leaks(*words(buf, off)):
-                        keep[lo + found[0]] = False
+                        keep[lo + found[0]] = keep_found
                 yield b.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+        if one:
+            return docs.mapInArrow(run, docs.schema)
+        texts = docs.select(F.col("text").cast("string").alias("text"))
+        part = stage(texts.mapInArrow(run, texts.schema).select(own.alias("__leak")).distinct(), f"leaks{s}")
+        shared.destroy()
+        digests = part if digests is None else digests.union(part)
+    return docs if digests is None else docs.join(digests.distinct(), own == F.col("__leak"), "left_anti")
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -614,9 +614,39 @@ def test_decontaminate(spark):
     assert small == found
     left = decontaminate.drop_leaks(df, bench)
     assert left.columns == df.columns and left.count() == len(rows) - len([1 for i, _ in rows if i in {d for d, _ in found}])
+    # a digest per shard takes the same rows
+    again = decontaminate.drop_leaks(df.union(df.limit(9)), bench, shard_bytes=200)
+    assert again.columns == df.columns
+    assert {r["doc_id"] for r in again.collect()} == {r["doc_id"] for r in left.collect()}
+    assert decontaminate.drop_leaks(df, bench.where("false")).count() == len(rows)
     assert decontaminate.leaks(empty(spark), bench).count() == 0 and decontaminate.leaks(df, bench.where("false")).count() == 0
 
 
+def test_decontaminate_finds_edited_items(spark):
+    rnd = random.Random(23)
+    words = [a + b + c for a in "bdfgklmnprst" for b in "aeiou" for c in ("nd", "rt", "sk", "lm")]
+    items = {n: [rnd.choice(words) for _ in range(n)] for n in (8, 12, 20, 59, 130)}
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    noise = [rnd.choice(words) for _ in range(300)]
+    texts, true = [], set()
+    for n, w in items.items():
+        for edits in range(n // 10 + 1):
+            # as many edited words as are allowed, anywhere
+            own = list(w)
+            for k in rnd.sample(range(n), edits):
+                own[k] = "edited"
+            true.add((len(texts), n))
+            texts.append(" ".join(noise[:150] + own + noise[150:]))
+        # every word of it in another order, and one half of it
+        texts += [" ".join(noise + rnd.sample(w, n) + noise), " ".join(noise + w[:n // 2] + noise), " ".join(noise)]
+    df, _ = frame(spark, texts)
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(df, bench).collect() if r["doc_id"] < len(texts)}
+    assert {x for x in found if x not in true} == set()
+    # most edits of a half may hit the share of its words, so not all texts at the bound are found
+    one_edit = {(i, n) for i, n in true if texts[i].count("edited") <= max(1, n // 20)}
+    assert one_edit <= found
+
+
 # ------------------------------------------------------------ sizes and skew
 
 def test_substring_paths_of_a_long_text_in_parts(spark):
