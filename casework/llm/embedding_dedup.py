@@ -315,7 +315,8 @@ def _in_blocks(ball: DataFrame, threshold: float, block: int) -> DataFrame:
     that the ``mine`` nodes link with; a row of n 0 for what they link with."""
     parts = lambda n: F.greatest(F.ceil(n / block), F.lit(1))
     size = ball.groupBy("hub").agg(parts(F.count_if("mine")).alias("rows"), parts(F.count("*")).alias("cols"))
-    ball = ball.join(size, "hub")
+    # a row per hub of a round, so HUBS at most; a shuffle by hub would keep a hub's blocks in one task
+    ball = ball.join(F.broadcast(size), "hub")
     i, j = F.pmod(F.xxhash64("x"), F.col("rows")), F.pmod(F.xxhash64("x"), F.col("cols"))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     sides = (ball.where("mine").select("hub", i.alias("i"), every("cols").alias("j"), F.lit(True).alias("query"), "x", "members", "v")
