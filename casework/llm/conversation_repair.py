@@ -27,6 +27,7 @@ initials are the ASCII-least are taken.
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 from math import isqrt
 
 import pandas as pd
@@ -76,42 +77,56 @@ def _back(code: int, after: tuple) -> tuple:
     return min(cost[0], INSERT + user), min(cost[1], INSERT + user), user, min(cost[3], INSERT + user)
 
 
+@lru_cache(maxsize=1 << 14)
+def _step(code: int, after: tuple) -> tuple[tuple, tuple]:
+    """(costs before a row, moves): costs are taken less their least, of which
+    few differ, so a row is a lookup. A state's move is the ASCII-least tight
+    edits up to and with the row, and the state they lead to."""
+    here = _back(code, after)
+    extra = TRUNCATED if code & _IS_TRUNCATED else 0
+    moves = []
+    for state in range(4):
+        initials = ""
+        while DELETE + after[state] != here[state] and INSERT + here[_NEXT[state]] == here[state]:
+            initials += "I"
+            state = _NEXT[state]
+        kept = None if code & _MUST_DELETE else _kept_state(code, state)
+        if DELETE + after[state] == here[state]:
+            initials += "D"
+        elif kept is not None and KEEP + extra + after[kept] == here[state]:
+            initials, state = initials + "K", kept
+        else:
+            initials, state = initials + "R", _NEXT[state]
+        moves.append((initials, state))
+    return _less_least(here), tuple(moves)
+
+
+def _less_least(costs) -> tuple:
+    least = min(costs)
+    return tuple(c - least for c in costs)
+
+
 def edits(codes: bytes, start: int, end: tuple, last: bool):
     """(edits, state after them) of a block that starts in ``start`` and ends
     with the costs ``end``."""
     n = len(codes)
     step = max(isqrt(n), 1)
-    marks, v = {n: tuple(end)}, tuple(end)
+    v = _less_least(end)
+    marks = {n: v}
     for i in range(n - 1, -1, -1):
-        v = _back(codes[i], v)
+        v = _step(codes[i], v)[0]
         if i % step == 0:
             marks[i] = v
     out, state = [], start
     for lo in range(0, n, step):
         hi = min(lo + step, n)
-        costs = [marks[hi]]
+        v, rows = marks[hi], []
         for i in range(hi - 1, lo - 1, -1):
-            costs.append(_back(codes[i], costs[-1]))
-        costs.reverse()
-        for i in range(lo, hi):
-            code, here, after = codes[i], costs[i - lo], costs[i - lo + 1]
-            while True:
-                if DELETE + after[state] == here[state]:
-                    out.append("D")
-                    break
-                if INSERT + here[_NEXT[state]] == here[state]:
-                    out.append("I")
-                    state = _NEXT[state]
-                    continue
-                kept = None if code & _MUST_DELETE else _kept_state(code, state)
-                extra = TRUNCATED if code & _IS_TRUNCATED else 0
-                if kept is not None and KEEP + extra + after[kept] == here[state]:
-                    out.append("K")
-                    state = kept
-                else:
-                    out.append("R")
-                    state = _NEXT[state]
-                break
+            v, moves = _step(codes[i], v)
+            rows.append(moves)
+        for moves in reversed(rows):
+            initials, state = moves[state]
+            out.append(initials)
     while last and state in (1, 2):
         out.append("I")
         state = _NEXT[state]
@@ -259,17 +274,19 @@ def _borders(cut: DataFrame) -> DataFrame:
     return stage(led.groupBy("conv_id").applyInPandas(starts, "block long, start long, end array<long>, last boolean"), "repair-starts")
 
 
-_WALKED = "conv_id long, block long, audit string, cost long, roles array<string>, texts array<string>"
-_WALKED_PA = pa.schema([("conv_id", _L), ("block", _L), ("audit", _S), ("cost", _L), ("roles", pa.list_(_S)), ("texts", pa.list_(_S))])
 _STATS = ["blank", "duplicate", "truncated", "illegal", "first_initial", "last_initial", "first_turn", "last_turn", "turns"]
+_WALKED_PA = pa.schema([("conv_id", _L), ("block", _L), ("audit", _S), ("cost", _L), ("roles", pa.list_(_S)), ("texts", pa.list_(_S)),
+                        *(_BLOCK_PA.field(c) for c in _STATS)])
+_WALKED = "conv_id long, block long, audit string, cost long, roles array<string>, texts array<string>, " + ", ".join(
+    f"{c} {'string' if c.endswith('initial') else 'long'}" for c in _STATS)
 
 
 def _walk(cut: DataFrame) -> DataFrame:
-    """Step 4: the edits and the repaired rows of every block."""
+    """Step 4: the edits and the repaired rows of every block, with its counts."""
     def run(batches):
         for b in batches:
             out = []
-            for conv_id, block, codes, roles, texts, start, end, last in zip(*(c.to_pylist() for c in b.columns)):
+            for codes, roles, texts, start, end, last in zip(*(c.to_pylist() for c in b.columns[2:8])):
                 state, alone = start or 0, end is None
                 audit, _ = edits(codes, state, END if alone else end, alone or last)
                 i = j = cost = 0
@@ -291,12 +308,12 @@ def _walk(cut: DataFrame) -> DataFrame:
                         new_roles.append(roles[j] if edit == "K" else _ROLE[state])
                         new_texts.append(texts[j])
                     j += not code & _MUST_DELETE
-                out.append((conv_id, block, audit, cost, new_roles, new_texts))
+                out.append((audit, cost, new_roles, new_texts))
             if out:
-                yield record_batch(_WALKED_PA, *zip(*out))
+                yield record_batch(_WALKED_PA, b.column(0), b.column(1), *zip(*out), *b.columns[8:])
 
-    given = cut.select("conv_id", "block", "codes", "roles", "texts").join(_borders(cut), "block", "left")
-    return stage(given.select("conv_id", "block", "codes", "roles", "texts", "start", "end", "last").mapInArrow(run, _WALKED), "repair-walked")
+    given = cut.join(_borders(cut), "block", "left")
+    return stage(given.select("conv_id", "block", "codes", "roles", "texts", "start", "end", "last", *_STATS).mapInArrow(run, _WALKED), "repair-walked")
 
 
 _REPORT = "conv_id long, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string, repaired_sha256 string"
@@ -364,8 +381,7 @@ def repair(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, Da
     """
     cut = blocks(rows, block_rows)
     walked = _walk(cut)
-    joined = walked.join(cut.select("block", *_STATS), "block").select("conv_id", "block", "audit", "cost", "roles", "texts", *_STATS)
-    report = stage(_reports(joined), "repair-report", rows_per_batch=_BATCH)
+    report = stage(_reports(walked), "repair-report", rows_per_batch=_BATCH)
     messages = (walked.select("conv_id", "block", F.posexplode(F.arrays_zip("roles", "texts")).alias("place", "message"))
                 .select("conv_id", "block", "place", F.col("message.roles").alias("role"), F.col("message.texts").alias("text")))
     return report, messages
