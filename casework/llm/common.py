@@ -143,6 +143,11 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 
 
+def is_space(buf: np.ndarray) -> np.ndarray:
+    """Which bytes are ASCII white space."""
+    return _ASCII_SPACE[buf]
+
+
 def lower_ascii(buf: np.ndarray) -> np.ndarray:
     return _LOWER[buf]
 

@@ -6,27 +6,32 @@ that share a minimizer (the 16-word seed of smallest hash in the window) form
 one partition, and consecutive edges of a document with the same minimizer are
 one path:
 
-1. paths: per document, one row per path (seed, fingerprint of the whole path,
+1. paths: per document, one row per path (seed, digest of the path's words,
    document, first window, number of windows);
 2. seeds that start in one document only are dropped, so unrepeated text
    leaves after one aggregate and one join;
-3. compaction: equal paths (seed, fingerprint) join into one variant with its
-   source coordinate (smallest document and place). A seed with one variant is
-   a nonbranching path: nothing needs to be opened;
-4. only the variants of branching seeds are opened, once each, at their source
-   coordinate, into single edges whose smallest document is aggregated;
-5. an occurrence in a later document than its variant's source is repeated as
-   a whole; an occurrence in the source itself is repeated where its edges
-   occur in a smaller document. Spans of a document are merged and its words
-   removed.
-
-Equality is that of two 64-bit hashes (seed, and path or window), so of 128
-bits. Every window is looked at; nothing is sampled.
+3. equal paths (seed, digest) join into one variant with its source coordinate
+   (smallest document and place). Only the variants of branching seeds are
+   opened, once each, at their source coordinate, into single edges whose
+   smallest document is aggregated;
+4. compaction: a join of each path with the one that starts where it ends gives
+   the graph's steps. Where a variant has one successor, which has no other
+   predecessor, at all their places, the two compact; joins that double the
+   reach of each pointer find the head of every nonbranching chain, and its
+   places stand for the whole chain, a long repeated span;
+5. a chain in a later document than its source is repeated as a whole; a path
+   in the source itself is repeated where its edges occur in a smaller
+   document. Spans of a document are merged and its words removed.
+
+A place is verified against the words at its source coordinate: both carry the
+128-bit BLAKE2b digest of their words, and only equal ones join, for paths and
+for edges. Every window is looked at; nothing is sampled.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from itertools import compress
 
 import numpy as np
@@ -35,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casework.llm.common import (
-    SPAN_BASE, U64, WORD_BASE, mix, prefix_sums, range_hash, record_batch, row_of, signed, split_words, stage, table,
+    U64, WORD_BASE, is_space, mix, prefix_sums, range_hash, record_batch, row_of, signed, split_words, stage, table,
     text_slices, word_hashes,
 )
 
@@ -44,10 +49,31 @@ SEED = 16
 PART = 1 << 23
 _LOW = U64((1 << 24) - 1)
 
-_PATHS = "seed long, path long, doc_id long, first int, windows int"
-_PATHS_PA = pa.schema([("seed", pa.int64()), ("path", pa.int64()), ("doc_id", pa.int64()), ("first", pa.int32()), ("windows", pa.int32())])
-_EDGES = "seed long, path long, place int, edge long, src_doc long"
-_EDGES_PA = pa.schema([("seed", pa.int64()), ("path", pa.int64()), ("place", pa.int32()), ("edge", pa.int64()), ("src_doc", pa.int64())])
+_CHUNK = 1 << 16
+HOPS = 3
+
+_PATHS = "seed long, path binary, doc_id long, first int, windows int"
+_PATHS_PA = pa.schema([("seed", pa.int64()), ("path", pa.binary()), ("doc_id", pa.int64()), ("first", pa.int32()), ("windows", pa.int32())])
+_EDGES = "seed long, path binary, place int, edge binary, src_doc long"
+_EDGES_PA = pa.schema([("seed", pa.int64()), ("path", pa.binary()), ("place", pa.int32()), ("edge", pa.binary()), ("src_doc", pa.int64())])
+
+
+class _Words:
+    """The words of a slice with one space after each, and where they stand."""
+
+    def __init__(self, buf, start, end):
+        self.end = np.cumsum(end - start + 1) - 1
+        self.start = self.end - (end - start)
+        text = np.full(int(self.end[-1]) + 1 if len(end) else 0, 0x20, np.uint8)
+        inside = np.ones(len(text), bool)
+        inside[self.end] = False
+        text[inside] = buf[~is_space(buf)]
+        self.text = memoryview(text)
+
+    def digests(self, first: np.ndarray, count: np.ndarray) -> list[bytes]:
+        """Digest of ``count`` words from each ``first``."""
+        places = zip(self.start[first].tolist(), self.end[first + count - 1].tolist())
+        return [hashlib.blake2b(self.text[lo:hi], digest_size=16).digest() for lo, hi in places]
 
 
 def _sliding_min(v: np.ndarray, width: int) -> np.ndarray:
@@ -60,20 +86,22 @@ def _sliding_min(v: np.ndarray, width: int) -> np.ndarray:
 
 
 def _slice_paths(buf, off, window, seed, most=PART):
-    """(row, seed hash, path hash, first window, windows) of the paths of one
+    """(row, seed hash, path digest, first window, windows) of the paths of one
     slice, a long text in parts of ``most`` windows."""
     start, end, words = split_words(buf, off)
     if len(start) < window:
         return
     w = word_hashes(buf, start, end)
+    given = _Words(buf, start, end)
     if len(off) > 2 or len(w) <= most:
-        yield from _word_paths(w, words, window, seed)
+        for row, s, first, count in _word_paths(w, words, window, seed):
+            yield row, s, given.digests(words[row] + first, count + window - 1), first, count
         return
     # a long text is cut into parts that share window - 1 words; no window is lost
     for at in range(0, len(w) - window + 1, most):
         part = w[at:at + most + window - 1]
-        for row, s, path, first, count in _word_paths(part, np.array([0, len(part)]), window, seed):
-            yield row, s, path, first + at, count
+        for row, s, first, count in _word_paths(part, np.array([0, len(part)]), window, seed):
+            yield row, s, given.digests(first + at, count + window - 1), first + at, count
 
 
 def _word_paths(w, words, window, seed):
@@ -92,10 +120,8 @@ def _word_paths(w, words, window, seed):
     at = np.flatnonzero(cut)
     count = np.diff(np.append(at, len(edges)))
     first, low = edges[at], low[at]
-    span = range_hash(prefix_sums(w, SPAN_BASE), first, first + count - 1 + window, SPAN_BASE)
-    path = mix(span + (low - first).astype(U64) * U64(0x100000001B3) + count.astype(U64))
     row = np.searchsorted(words, first, side="right") - 1
-    yield row, seeds[low], path, first - words[row], count
+    yield row, seeds[low], first - words[row], count
 
 
 def paths(docs: DataFrame, window: int = WINDOW, seed: int = SEED, most: int = PART) -> DataFrame:
@@ -105,7 +131,7 @@ def paths(docs: DataFrame, window: int = WINDOW, seed: int = SEED, most: int = P
             ids = b.column(0).to_numpy(zero_copy_only=False)
             for lo, hi, buf, off in text_slices(b, "text"):
                 for row, s, p, first, count in _slice_paths(buf, off, window, seed, most):
-                    yield record_batch(_PATHS_PA, signed(s), signed(p), ids[lo:hi][row], first.astype(np.int32), count.astype(np.int32))
+                    yield record_batch(_PATHS_PA, signed(s), p, ids[lo:hi][row], first.astype(np.int32), count.astype(np.int32))
 
     return docs.where("doc_id is not null and text is not null").select("doc_id", "text").mapInArrow(run, _PATHS)
 
@@ -120,21 +146,46 @@ def _open_edges(docs: DataFrame, variants: DataFrame, window: int) -> DataFrame:
             lists = b.column(b.schema.get_field_index("at"))
             for lo, hi, buf, off in text_slices(b, "text"):
                 start, end, words = split_words(buf, off)
-                sums = prefix_sums(word_hashes(buf, start, end), SPAN_BASE)
+                given = _Words(buf, start, end)
                 part = lists.slice(lo, hi - lo)
                 flat, sizes = part.flatten(), part.value_lengths().to_numpy(zero_copy_only=False)
                 row = np.repeat(np.arange(hi - lo), sizes)
-                seed, path, first, count = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+                seed, first, count = (flat.field(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3))
                 place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
                 each = np.repeat(np.arange(len(count)), count)
-                s = words[:-1][row[each]] + first[each] + place
-                edge = range_hash(sums, s, s + window, SPAN_BASE)
-                yield record_batch(_EDGES_PA, seed[each], path[each], place.astype(np.int32), signed(edge), ids[lo:hi][row[each]])
+                for k in range(0, len(each), _CHUNK):
+                    e, p = each[k:k + _CHUNK], place[k:k + _CHUNK]
+                    edge = given.digests(words[:-1][row[e]] + first[e] + p, window)
+                    yield record_batch(_EDGES_PA, seed[e], flat.field(1).take(pa.array(e)), p.astype(np.int32), edge, ids[lo:hi][row[e]])
 
     # a repeated row of a document opens the same edges again; the aggregates are minima and sets
     return docs.select("doc_id", "text").join(at, "doc_id").mapInArrow(run, _EDGES)
 
 
+def chains(found: DataFrame) -> DataFrame:
+    """Step 4: (path, head) of the variants that follow another one in a
+    nonbranching chain. Places only grow along a document, so no chain is a
+    cycle, and a chain of n variants takes log4(n) rounds of joins."""
+    ends = found.select("doc_id", (F.col("first") + F.col("windows")).alias("at"), "path")
+    begins = found.select("doc_id", F.col("first").alias("at"), F.col("path").alias("next"))
+    steps = stage(ends.join(begins, ["doc_id", "at"], "full").groupBy("path", "next").agg(F.lit(1).alias("one")).drop("one"), "sub-steps")
+    # a null stands for the start or end of a repeated stretch
+    ahead = steps.where("path is not null").groupBy("path").agg(F.count("*").alias("ways"), F.max("next").alias("next")).where("ways = 1 and next is not null")
+    back = steps.where("next is not null").groupBy("next").agg(F.count("*").alias("ways"), F.max("path").alias("path")).where("ways = 1 and path is not null")
+    now = stage(ahead.join(back, ["path", "next"]).select(F.col("next").alias("path"), F.col("path").alias("head")), "sub-links")
+    while True:
+        # each pointer moves up to three pointers on, so it reaches four times as far
+        far = now
+        for hop in range(HOPS):
+            onward = now.select(F.col("path").alias("head"), F.col("head").alias(f"far{hop}"))
+            far = far.join(onward, "head", "left").select("path", F.coalesce(f"far{hop}", "head").alias("head"), F.col(f"far{hop}").isNotNull().alias("moved"))
+        now = stage(far, "sub-chains")
+        # where the last hop moved none, every pointer is at its head
+        if now.where("moved").isEmpty():
+            return now.drop("moved")
+        now = now.drop("moved")
+
+
 def repeated_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """(doc_id, first, windows, src_doc, src_first): runs of windows of a
     document that also start in a document with a smaller id. ``src_doc`` and
@@ -142,18 +193,21 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
     null where several smaller documents share parts of it."""
     found = stage(paths(docs, window, seed), "sub-paths")
     shared = stage(found.groupBy("seed").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("seed"), "sub-seeds")
-    found = stage(found.join(shared, "seed"), "sub-shared")
+    # a repeated row's places count once
+    found = stage(found.join(shared, "seed").dropDuplicates(["doc_id", "first", "path"]), "sub-shared")
     variants = stage(found.groupBy("seed", "path", "windows").agg(F.min(F.struct("doc_id", "first")).alias("src"))
                      .select("seed", "path", "windows", F.col("src.doc_id").alias("src_doc"), F.col("src.first").alias("src_first")), "sub-variants")
     branching = stage(variants.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed"), "sub-branching")
     edges = stage(_open_edges(docs, variants.join(branching, "seed"), window), "sub-edges")
     lowest = stage(edges.groupBy("seed", "edge").agg(F.min("src_doc").alias("lo"), F.max("src_doc").alias("hi")).where("lo <> hi").drop("hi"), "sub-lowest")
-    own = (edges.join(lowest, ["seed", "edge"]).where("lo < src_doc").groupBy("seed", "path")
-           .agg(F.collect_set("place").alias("places")))
-    known = stage(variants.join(own, ["seed", "path"], "left"), "sub-known")
-    at = found.join(known.drop("windows"), ["seed", "path"])
-    whole = at.where("doc_id > src_doc").select("doc_id", "first", "windows", "src_doc", "src_first")
-    parts = (at.where("doc_id = src_doc and places is not null").select("doc_id", "first", F.explode("places").alias("place"))
+    own = stage(edges.join(lowest, ["seed", "edge"]).where("lo < src_doc").groupBy("path", "src_doc").agg(F.collect_set("place").alias("places")), "sub-own")
+    followers = chains(found)
+    length = (variants.join(followers, "path", "left").groupBy(F.coalesce("head", "path").alias("path"))
+              .agg(F.sum("windows").cast("int").alias("windows")))
+    heads = stage(variants.drop("windows", "seed").join(length, "path"), "sub-heads")
+    whole = (found.select("path", "doc_id", "first").join(heads, "path").where("doc_id > src_doc")
+             .select("doc_id", "first", "windows", "src_doc", "src_first"))
+    parts = (found.join(own, "path").where("doc_id = src_doc").select("doc_id", "first", F.explode("places").alias("place"))
              .select("doc_id", (F.col("first") + F.col("place")).alias("first"), F.lit(1).alias("windows"),
                      F.lit(None).cast("long").alias("src_doc"), F.lit(None).cast("int").alias("src_first")))
     return whole.union(parts)

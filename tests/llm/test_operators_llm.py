@@ -94,6 +94,28 @@ def test_substring_spans_name_their_source(spark):
     assert spans and all(r["doc_id"] == 2 and r["src_doc"] == 1 and r["first"] - r["src_first"] == 2 for r in spans)
 
 
+def test_substring_chains_compact_nonbranching_paths(spark):
+    base = [f"w{i}" for i in range(300)]
+    texts = {1: base, 2: ["x"] + base, 3: ["y", "y"] + base + ["z"], 4: base[100:220]}
+    df = spark.createDataFrame([(i, "  ".join(t)) for i, t in texts.items()] * 2, "doc_id long, text string")
+    spans = substring_dedup.repeated_spans(df, 20, 6).distinct().collect()
+    windows = {i: sorted({k for r in spans if r["doc_id"] == i for k in range(r["first"], r["first"] + r["windows"])}) for i in texts}
+    assert windows == {1: [], 2: list(range(1, 282)), 3: list(range(2, 283)), 4: list(range(101))}
+    # paths branch only where document 4 starts and ends within the others
+    assert len([r for r in spans if r["doc_id"] == 2 and r["src_doc"] is not None]) <= 5 < len(substring_dedup.paths(df.where("doc_id = 2"), 20, 6).distinct().collect())
+    found = substring_dedup.paths(df, 20, 6)
+    heads = substring_dedup.chains(found).collect()
+    followers = {bytes(r["path"]) for r in heads}
+    assert len(heads) == len(followers) and not followers & {bytes(r["head"]) for r in heads}
+
+
+def test_substring_digest_is_of_the_words(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    df = spark.createDataFrame([(1, text), (2, text.replace(" ", "\t\n")), (3, text.replace("w30", "w30x"))], "doc_id long, text string")
+    of = {i: [bytes(r["path"]) for r in substring_dedup.paths(df.where(F.col("doc_id") == i)).orderBy("first").collect()] for i in (1, 2, 3)}
+    assert of[1] and of[1] == of[2] and not set(of[1]) & set(of[3])
+
+
 # ------------------------------------------------------------ 2 WARC
 
 def test_warc_round_trip(spark, tmp_path):
